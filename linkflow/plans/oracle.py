@@ -247,3 +247,209 @@ SELECT time_bucket(INTERVAL 5 MINUTE, dumped_at) AS window_start,
          AS max_event_to_dump_latency_seconds
 FROM dump
 GROUP BY 1, 2"""
+
+# ------------------------------------------------------------------ ingest shapes
+SQL["scan_jsonl_dump"] = BASE + """
+SELECT topic, "partition", "offset", kafka_key AS key, dumped_at FROM dump"""
+
+# shapes: by event_id % 4: 0 wrapped in value, 1 wrapped in value_json, 2 bare, 3 '[1]'
+SQL["normalize_payload"] = """
+SELECT CAST(event_id AS BIGINT) AS "offset", CAST(user_id % 10 AS INTEGER) AS link_id,
+       event_id % 4 IN (0, 1) AS wrapped
+FROM events WHERE event_id % 4 <> 3"""
+
+SQL["kafka_shape"] = BASE + """
+SELECT "partition", "offset", CASE WHEN event_id % 25 = 0 THEN NULL ELSE kafka_key END AS key,
+       link_id,
+       CASE WHEN event_id % 33 = 0 AND name IS NOT NULL THEN name || chr(65533) ELSE name END AS road_name
+FROM dump"""
+
+SQL["kafka_out_frame"] = BASE + """
+SELECT CAST(link AS VARCHAR) AS key, link AS link_id, 'travel_time_api' AS source_type FROM ev"""
+
+# raw responses by event_id % 5: 0 [rec, 7]; 1 data:[rec]; 2 items:[rec, rec]; 3 rec; 4 results:[]
+RESPONSES = """
+WITH r AS (
+  SELECT event_id, user_id,
+         CASE event_id % 5 WHEN 2 THEN 2 WHEN 4 THEN 0 ELSE 1 END AS cnt
+  FROM events
+), recs AS (
+  SELECT event_id, user_id, unnest(range(cnt)) AS pos FROM r
+)"""
+
+SQL["extract_records"] = RESPONSES + """
+SELECT event_id AS response_id, CAST(pos AS INTEGER) AS pos,
+       'road-' || CAST(user_id % 10 AS INTEGER) AS road_name
+FROM recs"""
+
+# key field by event_id % 4: link_id int, linkId text, id float (skipped), ID int
+SQL["guess_key"] = RESPONSES + """
+SELECT event_id AS response_id, CAST(pos AS INTEGER) AS pos,
+       CASE WHEN event_id % 4 = 2 THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS key
+FROM recs"""
+
+SQL["build_envelope"] = """
+SELECT 'travel_time_api' AS source_type, CAST(user_id % 10 AS INTEGER) AS link_id, ts AS ingested_at
+FROM events"""
+
+SQL["observations_flat"] = BASE + """
+SELECT topic, "partition", "offset", kafka_key AS key,
+       strftime(dumped_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS dumped_at,
+       strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingested_at,
+       strftime(interval_start + INTERVAL 11 HOUR, '%Y-%m-%dT%H:%M:%S') || '+11:00' AS interval_start,
+       link_id, name AS road_name, travel_time_seconds, delay_seconds, speed_kmh, length_m,
+       minimum_tt_seconds,
+       CAST(enough_data AS INTEGER) AS enough_data, CAST(ignored AS INTEGER) AS ignored,
+       CAST(closed AS INTEGER) AS closed, CAST(expected_missing AS INTEGER) AS expected_missing
+FROM dump"""
+
+SQL["schema_hints"] = BASE + """
+, c AS (
+  SELECT count(*) AS n_all,
+         count(*) FILTER (WHERE name IS NOT NULL) AS n_name,
+         count(*) FILTER (WHERE draft IS NOT NULL) AS n_draft,
+         count(*) FILTER (WHERE has_stats) AS n_stats,
+         count(*) FILTER (WHERE expected_missing IS NOT NULL) AS n_em
+  FROM dump
+), k AS (
+  SELECT 'messages' AS level, 'seen' AS key, n_all AS n FROM c
+  UNION ALL SELECT 'top', unnest(['ingested_at', 'source', 'payload']), n_all FROM c
+  UNION ALL SELECT 'payload', unnest(['href', 'id', 'public_name', 'direction', 'enabled', 'length',
+                                      'minimum_tt', 'min_number_of_lanes', 'is_freeway', 'origin',
+                                      'destination', 'coordinates']), n_all FROM c
+  UNION ALL SELECT 'payload', 'name', n_name FROM c
+  UNION ALL SELECT 'payload', 'draft', n_draft FROM c
+  UNION ALL SELECT 'payload', 'latest_stats', n_stats FROM c
+  UNION ALL SELECT 'latest_stats', unnest(['interval_start', 'travel_time', 'delay', 'speed', 'density',
+                                           'average_density', 'congestion', 'estimated_percent',
+                                           'enough_data', 'ignored', 'closed']), n_stats FROM c
+  UNION ALL SELECT 'latest_stats', 'expected_missing', n_em FROM c
+)
+SELECT level, key, CAST(n AS BIGINT) AS n FROM k WHERE n > 0"""
+
+SQL["schema_hints_props"] = """
+SELECT 'props' AS level, 'k' AS key, count(*) AS n FROM events"""
+
+# ------------------------------------------------------------------ local load (replays)
+SQL["load_insert_or_ignore"] = BASE + """
+SELECT topic, "partition", "offset", dumped_at FROM dump"""
+
+SQL["load_summary"] = """
+SELECT CAST(4 AS BIGINT) AS files, count(*) AS inserted FROM events"""
+
+SQL["bronze_upsert"] = BASE + """
+SELECT topic, "partition", "offset", dumped_at FROM dump"""
+
+# ------------------------------------------------------------------ health report
+RECENT = BASE + """
+, recent AS (
+  SELECT * FROM dump WHERE dumped_at >= (SELECT max(dumped_at) FROM dump) - INTERVAL 120 MINUTE
+)"""
+
+SQL["dump_recent"] = RECENT + """
+SELECT "partition", "offset", dumped_at FROM recent"""
+
+SQL["dump_summary"] = RECENT + """
+SELECT count(*) AS messages_seen FROM recent"""
+
+for _m in (5, 7):
+    SQL[f"dump_buckets_{_m}m"] = BASE + f"""
+SELECT date_trunc('hour', dumped_at)
+         + to_minutes(CAST(floor(minute(dumped_at) / {_m}) * {_m} AS BIGINT)) AS bucket,
+       count(*) AS n
+FROM dump GROUP BY 1"""
+
+SQL["top_keys"] = BASE + """
+SELECT kafka_key AS key, count(*) AS n FROM dump WHERE kafka_key IS NOT NULL
+GROUP BY 1 ORDER BY n DESC, key LIMIT 10"""
+
+# dirty with text ids, by event_id % 30: 2 offset -1, 5 partition -1, 6 partition 'x' (skipped)
+SQL["max_offset_by_partition"] = """
+SELECT CAST(CASE WHEN m = 5 THEN -1 ELSE user_id % 3 END AS INTEGER) AS "partition",
+       max(CASE WHEN m = 2 THEN -1 ELSE event_id END) AS max_offset
+FROM (SELECT *, event_id % 30 AS m FROM events) WHERE m <> 6 GROUP BY 1"""
+
+LAG = """
+WITH o AS (
+  SELECT CAST(user_id % 3 AS INTEGER) AS "partition", min(event_id) AS begin_offset,
+         max(event_id) + 1 AS end_offset
+  FROM events GROUP BY 1
+), c AS (
+  SELECT *, CAST(CASE WHEN "partition" = 0 THEN end_offset
+                      WHEN "partition" = 1 THEN begin_offset + (end_offset - begin_offset) // 2
+                      ELSE -1001 END AS BIGINT) AS committed_offset
+  FROM o
+), l AS (
+  SELECT "partition", begin_offset, end_offset, committed_offset,
+         CAST(CASE WHEN committed_offset IS NULL OR committed_offset < 0 THEN end_offset - begin_offset
+                   ELSE greatest(0, end_offset - committed_offset) END AS BIGINT) AS lag
+  FROM c
+)"""
+
+SQL["consumer_lag"] = LAG + """
+SELECT * FROM l"""
+
+SQL["consumer_lag_totals"] = LAG + """
+SELECT CAST(greatest(0, sum(end_offset) - sum(begin_offset)) AS BIGINT) AS available,
+       CAST(sum(lag) AS BIGINT) AS lag
+FROM l"""
+
+# ------------------------------------------------------------------ dashboards
+DASH = BASE + """
+, frame AS (
+  SELECT topic, "partition", "offset", interval_start, name AS road_name, delay_seconds, speed_kmh,
+         travel_time_seconds, link_id, dumped_at
+  FROM dump
+), newest AS (
+  SELECT * FROM frame ORDER BY interval_start DESC NULLS LAST, topic, "partition", "offset" LIMIT 1000
+), win60 AS (
+  SELECT * FROM newest WHERE interval_start IS NOT NULL
+    AND interval_start >= (SELECT max(interval_start) FROM newest) - INTERVAL 60 MINUTE
+), win AS (
+  SELECT * FROM frame WHERE interval_start IS NOT NULL
+    AND interval_start >= (SELECT max(interval_start) FROM frame) - INTERVAL 240 MINUTE
+), mon AS (
+  SELECT * FROM win WHERE dumped_at IS NOT NULL
+), latest_road AS (
+  SELECT road_name, interval_start, delay_seconds, speed_kmh FROM win WHERE road_name IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY road_name
+                             ORDER BY interval_start DESC, topic DESC, "partition" DESC, "offset" DESC) = 1
+)"""
+
+SQL["dash_recent"] = DASH + """
+SELECT * FROM newest"""
+
+SQL["dash_window"] = DASH + """
+SELECT * FROM win60"""
+
+SQL["recent_50"] = DASH + """
+SELECT * FROM win ORDER BY interval_start DESC NULLS LAST, topic, "partition", "offset" LIMIT 50"""
+
+SQL["kpi_traffic"] = DASH + """
+SELECT max(interval_start) AS latest, count(*) AS n, count(DISTINCT link_id) AS links,
+       round(avg(delay_seconds), 6) AS avg_delay
+FROM win"""
+
+SQL["kpi_monitor"] = DASH + """
+SELECT max(interval_start) AS latest, count(*) FILTER (WHERE dumped_at IS NOT NULL) AS n,
+       round(avg((epoch_us(dumped_at) - epoch_us(interval_start)) / 1000000.0), 6) AS avg_lat,
+       max((epoch_us(dumped_at) - epoch_us(interval_start)) / 1000000.0) AS max_lat
+FROM win"""
+
+SQL["delay_over_time"] = DASH + """
+SELECT interval_start, round(avg(delay_seconds), 6) AS avg_delay FROM win GROUP BY 1"""
+
+SQL["latest_by_road"] = DASH + """
+SELECT * FROM latest_road"""
+
+SQL["worst_delays"] = DASH + """
+SELECT * FROM latest_road ORDER BY delay_seconds DESC NULLS LAST, road_name LIMIT 30"""
+
+SQL["records_per_5m"] = DASH + """
+SELECT time_bucket(INTERVAL 5 MINUTE, dumped_at) AS bucket, count(*) AS n FROM mon GROUP BY 1"""
+
+SQL["partition_distribution"] = DASH + """
+SELECT "partition", count(*) AS n FROM mon GROUP BY 1"""
+
+SQL["dash_max_offsets"] = DASH + """
+SELECT "partition", max("offset") AS max_offset FROM mon GROUP BY 1"""

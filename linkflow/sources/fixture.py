@@ -230,3 +230,51 @@ def offsets_table(dump: DataFrame) -> DataFrame:
         .otherwise(F.lit(-1001))
     ).cast("bigint")
     return g.withColumn("committed_offset", committed)
+
+
+def bad_lines(ev: DataFrame) -> DataFrame:
+    """Lines a dump scanner must skip (blank, not JSON, JSON non-object),
+    three per event with event_id % 100 = 7."""
+    bad = F.array(F.lit(""), F.lit("not json"), F.lit("[1]"))
+    return ev.filter(F.col("event_id") % 100 == 7).select(F.explode(bad).alias("value"))
+
+
+def landing_batches(ev: DataFrame, variant: str = "replays") -> list[tuple[str, DataFrame]]:
+    """The dump split into landing batches, in landing order, as
+    ``(file name, dump frame)``.  ``replays``: originals in three batches by
+    event_id % 3, then all replays in a fourth.  ``clean``: two batches by
+    event_id % 2."""
+    clean = dump_clean(ev)
+    if variant == "clean":
+        return [(f"{TOPIC}_{i + 1:04d}.jsonl", clean.filter(F.col("offset") % 2 == i)) for i in range(2)]
+    if variant != "replays":
+        raise ValueError(variant)
+    again = (dump_clean(ev.filter(F.col("event_id") % 20 == 0))
+             .withColumn("dumped_at", iso_text(F.col("dumped_at").try_cast("timestamp")
+                                               + F.expr("INTERVAL 3600 SECONDS"))))
+    out = [(f"{TOPIC}_{i + 1:04d}.jsonl", clean.filter(F.col("offset") % 3 == i)) for i in range(3)]
+    out.append((f"{TOPIC}_0004.jsonl", again))
+    return out
+
+
+def kafka_rows(ev: DataFrame) -> DataFrame:
+    """Rows with the Kafka source schema carrying the clean envelopes.  Keys
+    are empty for event_id % 25 = 0; for event_id % 33 = 0 the road name in
+    the value holds an invalid UTF-8 byte (0xFF) after 'road-<link>'."""
+    eid = F.col("event_id")
+    env_text = F.to_json(envelope_struct())
+    name = F.concat(F.lit("road-"), _link().cast("string"))
+    marker = F.concat(F.lit('"name":"'), name, F.lit('"'))
+    head = F.split_part(env_text, marker, F.lit(1))
+    tail = F.split_part(env_text, marker, F.lit(2))
+    broken = F.concat(F.encode(head, "UTF-8"), F.encode(F.concat(F.lit('"name":"'), name), "UTF-8"),
+                      F.unhex(F.lit("FF")), F.encode(F.concat(F.lit('"'), tail), "UTF-8"))
+    has_name = F.contains(env_text, marker)
+    value = F.when((eid % 33 == 0) & has_name, broken).otherwise(F.encode(env_text, "UTF-8"))
+    key = F.when(eid % 25 == 0, F.encode(F.lit(""), "UTF-8")).otherwise(
+        F.encode(F.col("user_id").cast("string"), "UTF-8"))
+    return ev.select(
+        key.alias("key"), value.alias("value"), F.lit(TOPIC).alias("topic"),
+        (F.col("user_id") % 3).cast("int").alias("partition"), eid.cast("bigint").alias("offset"),
+        _ts().alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
