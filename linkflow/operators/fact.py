@@ -91,9 +91,11 @@ def _with_dim(df: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, bronze_env: DataFrame | None = None,
-                       bronze_match: str = "all") -> DataFrame:
+                       bronze_match: str = "all", skew_split: bool = True) -> DataFrame:
     """25-column fact.  ``dedup_w`` is ``silver_dedup_wide`` (carries the
-    winner's metrics and dumped_at, used by ``latest`` mode)."""
+    winner's metrics and dumped_at, used by ``latest`` mode).  With
+    ``skew_split=False`` (streams: AQE does not re-plan micro-batches) the
+    bronze side is a plain left join."""
     s = dedup_w.select(*_S_COLS, *PROVIDER_METRICS, "dumped_at")
     if bronze_match == "latest":
         return _finish(_with_dim(s, dim))
@@ -104,6 +106,8 @@ def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, bronze_env: DataFrame
     b = bronze_metrics(bronze_env)
     s = s.drop(*PROVIDER_METRICS, "dumped_at")
     keys = ["link_id", "interval_start"]
+    if not skew_split:
+        return _finish(_with_dim(s.join(b, keys, "left"), dim))
     matched = s.join(b, keys, "inner")
     bkeys = b.select(*keys).dropDuplicates()
     unmatched = (

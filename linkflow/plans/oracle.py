@@ -453,3 +453,35 @@ SELECT "partition", count(*) AS n FROM mon GROUP BY 1"""
 
 SQL["dash_max_offsets"] = DASH + """
 SELECT "partition", max("offset") AS max_offset FROM mon GROUP BY 1"""
+
+# ------------------------------------------------------------------ streaming (same results as batch)
+SQL["stream_bronze"] = SQL["bronze"]
+SQL["stream_bronze_upsert"] = SQL["bronze_upsert"]
+SQL["stream_incremental_load"] = SQL["load_insert_or_ignore"]
+SQL["stream_silver_dedup"] = SQL["silver_dedup"]
+SQL["stream_layered"] = SQL["silver_dedup"]
+SQL["stream_fact"] = SQL["fact_link_interval"]
+SQL["stream_delay_sliding_complete"] = SQL["delay_sliding"]
+SQL["stream_monitor_5m"] = SQL["monitor_5m"]
+
+SQL["stream_dedup"] = BASE + """
+SELECT DISTINCT link_id, interval_start FROM strict"""
+
+# append mode + 30-minute watermark: exactly the windows whose end is at or
+# before max(event_time) - 30 minutes are emitted
+SQL["stream_delay_sliding"] = BASE + """
+, sd AS (
+  SELECT * FROM strict
+  QUALIFY row_number() OVER (PARTITION BY link_id, interval_start
+                             ORDER BY dumped_at, topic, "partition", "offset") = 1
+), w AS (
+  SELECT road_name_fb AS road_name, delay_seconds,
+         unnest([time_bucket(INTERVAL 5 MINUTE, event_time),
+                 time_bucket(INTERVAL 5 MINUTE, event_time) - INTERVAL 5 MINUTE]) AS window_start
+  FROM sd
+)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, road_name,
+       round(avg(delay_seconds), 6) AS avg_delay_seconds
+FROM w
+WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(event_time) FROM sd) - INTERVAL 30 MINUTE
+GROUP BY window_start, road_name"""
