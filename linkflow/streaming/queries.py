@@ -277,11 +277,14 @@ def q_stream_late_drop(spark, sf_dir):
     """Events landed out of order (first 60 % by time, then the last 20 %,
     then the middle 20 %): with a 30-minute watermark the late rows are
     dropped; counts per 5-minute landing window of what was kept."""
-    out, _ = late_drop_run(spark, sf_dir)
+    out, _, _ = late_drop_run(spark, sf_dir)
     return out
 
 
-def late_drop_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+def late_drop_run(spark: SparkSession, sf_dir: str, count_late: bool = False) -> tuple[DataFrame, int, int]:
+    """Returns (kept counts, rows the stateful operator dropped as late --
+    counted after map-side partial aggregation, so aggregated rows --,
+    rows landed in the late step if ``count_late``)."""
     ws = rn.Workspace(spark, "late")
     ev = fx.events(spark, sf_dir)
     dump = fx.dump_clean(ev)
@@ -304,4 +307,5 @@ def late_drop_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
                 n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
                 dropped += int(n or 0)
     res = spark.read.parquet(target)
-    return publish(res.select("window_start", "n")), dropped
+    late = steps[-1].count() if count_late else -1
+    return publish(res.select("window_start", "n")), dropped, late
