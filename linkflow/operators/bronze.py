@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkflow.functions.columns import tcast, to_ts
-from linkflow.operators.quality import expect, expectation_report
+from linkflow.operators.quality import expectation_report, guard
 from linkflow.schemas import ENVELOPE_SCHEMA
 
 ENV = "env"
@@ -65,7 +65,7 @@ def bronze_rules() -> dict[str, Column]:
 
 def bronze_parsed(dump: DataFrame, null_passes: bool = False) -> DataFrame:
     """Guarded bronze rows with the parsed envelope kept for later layers."""
-    return expect(bronze_columns(dump), bronze_rules(), null_passes)
+    return guard(bronze_columns(dump), bronze_rules(), "bronze_expectations", null_passes)
 
 
 def bronze(dump: DataFrame, null_passes: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from linkflow.functions.columns import iso_text, tcast
 from linkflow.operators.bronze import value_text
+from linkflow.operators.quality import metrics_name as unique_name
 
 # Wrapper keys that may hold the record list of an API
 # response, tried in this order, and the candidate message-key fields.
@@ -81,52 +82,65 @@ def kafka_frame(records: DataFrame, key: Column, value: Column) -> DataFrame:
 
 
 # ----------------------------------------------------------------- dump normalisation
-def normalize_payload(dump: DataFrame) -> DataFrame:
+FLAGS = ("enough_data", "ignored", "closed", "expected_missing")
+
+# Leaves read by the local observation row.  Measurements stay text (cast
+# later, like a column with type affinity); the four flags are typed
+# boolean, so only JSON booleans yield a value and a JSON string "true"
+# gives NULL.
+_OBS_STATS = T.StructType([T.StructField(n, T.StringType()) for n in
+                           ("interval_start", "travel_time", "delay", "speed")]
+                          + [T.StructField(n, T.BooleanType()) for n in FLAGS])
+_OBS_PAYLOAD_FIELDS = [T.StructField(n, T.StringType()) for n in ("id", "name", "length", "minimum_tt")] \
+    + [T.StructField("latest_stats", _OBS_STATS)]
+_OBS_PAYLOAD = T.StructType(_OBS_PAYLOAD_FIELDS)
+# Envelope and bare-payload shapes in one parse: a wrapped record fills
+# ``payload``, an unwrapped one fills the top-level payload fields.
+_OBS_ENVELOPE = T.StructType([T.StructField("ingested_at", T.StringType()),
+                              T.StructField("payload", _OBS_PAYLOAD)] + _OBS_PAYLOAD_FIELDS)
+
+
+def normalize_payload(dump: DataFrame, metrics_name: str = "payload_normalisation") -> DataFrame:
     """Envelope object (``value_json`` else parsed ``value``) and payload
     object (the envelope's ``payload`` if that is an object, else the whole
-    envelope).  Records whose envelope is not a JSON object are dropped.
-    Adds ``envelope_json``, ``payload_json`` and ``wrapped``."""
-    env = value_text(dump)
-    inner = F.get_json_object(env, "$.payload")
-    wrapped = _is_object(inner)
-    return (
-        dump.withColumn("envelope_json", env)
-            .filter(_is_object(F.col("envelope_json")))
-            .withColumn("wrapped", F.coalesce(wrapped, F.lit(False)))
-            .withColumn("payload_json", F.when(F.col("wrapped"), inner).otherwise(F.col("envelope_json")))
-    )
-
+    envelope).  Records whose envelope is not a JSON object are dropped
+    (counted as ``not_object`` in the observed metrics ``metrics_name``).
 
-_FLAG_SCHEMA = T.StructType([T.StructField(n, T.BooleanType()) for n in
-                             ("enough_data", "ignored", "closed", "expected_missing")])
-
-_OBS_PAYLOAD = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("length", T.StringType()),
-    T.StructField("minimum_tt", T.StringType()),
-    T.StructField("latest_stats", T.StringType()),
-])
-
-_OBS_STATS = T.StructType([T.StructField(n, T.StringType()) for n in
-                           ("interval_start", "travel_time", "delay", "speed")])
+    Adds ``envelope_json``, ``wrapped``, ``payload_json`` and the parsed
+    payload struct ``payload`` -- one JSON parse per row.
+    """
+    env_ok = _is_object(F.col("envelope_json"))
+    df = (dump.withColumn("envelope_json", value_text(dump))
+              .withColumn("_obj", env_ok)
+              .observe(unique_name(metrics_name), F.count(F.lit(1)).alias("rows"),
+                       F.count_if(~F.col("_obj")).alias("not_object"))
+              .filter(F.col("_obj")).drop("_obj"))
+    env = F.from_json("envelope_json", _OBS_ENVELOPE)
+    df = df.withColumn("_env", env)
+    wrapped = F.col("_env.payload").isNotNull()
+    bare = F.struct(*[F.col(f"_env.{f.name}").alias(f.name) for f in _OBS_PAYLOAD_FIELDS])
+    return (df.withColumn("wrapped", wrapped)
+              .withColumn("payload", F.when(F.col("wrapped"), F.col("_env.payload")).otherwise(bare))
+              .withColumn("ingested_at_text", F.col("_env.ingested_at"))
+              .withColumn("payload_json", F.when(F.col("wrapped"),
+                                                 F.get_json_object("envelope_json", "$.payload"))
+                                           .otherwise(F.col("envelope_json")))
+              .drop("_env"))
 
 
 def flatten_observations(normalized: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The 19-column local observation row.  Instants stay as their text;
     numbers are ``try_cast`` (non-numeric text -> NULL); the four quality
     flags are 1/0 only for JSON booleans, NULL otherwise."""
-    p = F.from_json("payload_json", _OBS_PAYLOAD)
-    ls_text = F.when(_is_object(p["latest_stats"]), p["latest_stats"])
-    ls = F.from_json(ls_text, _OBS_STATS)
-    flags = F.from_json(ls_text, _FLAG_SCHEMA)
+    p = F.col("payload")
+    ls = p["latest_stats"]
     return normalized.select(
         F.col("topic").cast("string").alias("topic"),
         tcast("partition", "int").alias("partition"),
         tcast("offset", "bigint").alias("offset"),
         F.col("key").cast("string").alias("key"),
         F.col("dumped_at").cast("string").alias("dumped_at"),
-        F.get_json_object("envelope_json", "$.ingested_at").alias("ingested_at"),
+        F.col("ingested_at_text").alias("ingested_at"),
         ls["interval_start"].alias("interval_start"),
         p["id"].try_cast("int").alias("link_id"),
         p["name"].alias("road_name"),
@@ -135,8 +149,7 @@ def flatten_observations(normalized: DataFrame, carry: Sequence[str] = ()) -> Da
         ls["speed"].try_cast("double").alias("speed_kmh"),
         p["length"].try_cast("double").alias("length_m"),
         p["minimum_tt"].try_cast("double").alias("minimum_tt_seconds"),
-        *[F.when(flags[n], F.lit(1)).when(~flags[n], F.lit(0)).otherwise(F.lit(None).cast("int")).alias(n)
-          for n in ("enough_data", "ignored", "closed", "expected_missing")],
+        *[ls[n].cast("int").alias(n) for n in FLAGS],
         F.col("payload_json"),
         *carry,
     )

@@ -9,6 +9,8 @@ and are all kept.  Against an existing table only new keys are inserted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,21 +22,26 @@ from linkflow.schemas import OBSERVATION_COLUMNS
 PK = ["topic", "partition", "offset"]
 
 
-def load_observations(dump: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Observation rows a load inserts (``existing=None``: an empty table).
+def load_observations(dump: DataFrame, existing: DataFrame | None = None,
+                      columns: Sequence[str] = OBSERVATION_COLUMNS) -> DataFrame:
+    """Observation rows a load inserts (``existing=None``: an empty table),
+    restricted to ``columns`` (the key columns are always kept).
 
     The first-wins pick is a ``min_by`` aggregation per key (map-side
     partial aggregation, so a replayed hot key never gathers in one task).
+    Only ``columns`` are packed into the aggregation, so a reader that needs
+    a few columns does not shuffle the payload text.
     """
+    cols = list(PK) + [c for c in columns if c not in PK]
     has_file = "source_file" in dump.columns
     flat = flatten_observations(normalize_payload(dump), carry=("source_file",) if has_file else ())
     flat = flat.withColumn("_file", F.col("source_file") if has_file else F.lit(""))
     flat = flat.withColumn("_seq", to_ts("dumped_at"))
     key_ok = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    firsts = first_by(flat.filter(key_ok), PK, ["_file", "_seq", "dumped_at", "payload_json"],
-                      [c for c in OBSERVATION_COLUMNS if c not in PK])
-    out = firsts.select(*OBSERVATION_COLUMNS).unionByName(
-        flat.filter(~key_ok).select(*OBSERVATION_COLUMNS))
+    rest = [c for c in cols if c not in PK]
+    order = ["_file", "_seq", "dumped_at"] + [c for c in rest if c != "dumped_at"]
+    firsts = first_by(flat.filter(key_ok), PK, order, rest)
+    out = firsts.select(*cols).unionByName(flat.filter(~key_ok).select(*cols))
     if existing is not None:
         out = insert_only(out, existing, PK)
     return out

@@ -7,12 +7,22 @@ rule evaluating to NULL counts as a violation (SQL filter logic) unless
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_SEQ = itertools.count(1)
+
+
+def metrics_name(prefix: str) -> str:
+    """A unique observation name: Spark requires one definition per name
+    in a plan, and one plan may guard several different inputs."""
+    return f"{prefix}_{next(_SEQ)}"
+
+
 def _passes(rule: Column, null_passes: bool) -> Column:
     return F.coalesce(rule, F.lit(bool(null_passes)))
 
@@ -50,6 +60,20 @@ def expectation_report(df: DataFrame, rules: Mapping[str, Column],
     return out if with_kept else out.drop("kept")
 
 
+def guard(df: DataFrame, rules: Mapping[str, Column], name: str,
+          null_passes: bool = False) -> DataFrame:
+    """Count violations per rule (``DataFrame.observe`` metrics named
+    ``name`` plus a unique suffix, as an expectations report) and drop the
+    violating rows.
+
+    The observation also fences the plan: Catalyst does not push filters
+    through it, so predicates of later layers are evaluated on the columns
+    computed below (e.g. a parsed JSON struct) instead of being inlined into
+    -- and re-running -- the parse for every predicate.
+    """
+    return expect(observe_expectations(df, rules, metrics_name(name), null_passes), rules, null_passes)
+
+
 def observe_expectations(df: DataFrame, rules: Mapping[str, Column], name: str,
                          null_passes: bool = False) -> DataFrame:
     """Attach per-rule violation counters to a (streaming) frame via

@@ -151,8 +151,7 @@ def q_scan_jsonl_dump(spark, sf_dir):
 @query("normalize_payload")
 def q_normalize_payload(spark, sf_dir):
     d = ig.normalize_payload(_layers(spark, sf_dir, "shapes").dump)
-    return d.select("offset", F.get_json_object("payload_json", "$.id").try_cast("int").alias("link_id"),
-                    "wrapped")
+    return d.select("offset", F.col("payload.id").try_cast("int").alias("link_id"), "wrapped")
 
 
 @query("kafka_shape")
@@ -300,7 +299,7 @@ def q_consumer_lag_totals(spark, sf_dir):
 
 # --------------------------------------------------------------- dashboards
 def _obs(spark, sf_dir):
-    return ld.load_observations(_layers(spark, sf_dir).dump)
+    return ld.load_observations(_layers(spark, sf_dir).dump, columns=db.FRAME_COLUMNS)
 
 
 def _window(spark, sf_dir, minutes=240, row_limit=None):

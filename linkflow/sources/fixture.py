@@ -42,7 +42,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    """The events table, spread over the cluster when its files scan into
+    fewer partitions than there are task slots (a single-row-group file is
+    one task).  Every dump derivation is per-row JSON work, so this is a
+    cheap shuffle of the narrow raw rows that buys full parallelism; a
+    large input already scans into many splits and is left as it is."""
+    ev = read_table(spark, sf_dir, "events")
+    return spread(ev, "event_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition on a unique key when the scan is under-parallel.
+    Hash (not round-robin) keeps a retried task's output identical."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
 
 
 def _link() -> Column:
