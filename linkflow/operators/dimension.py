@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.functions.columns import tcast
-from linkflow.operators.bronze import ENV
 from linkflow.operators.latest import latest_by
 
-P = f"{ENV}.payload"
-
 DIM_COLUMNS = (
     "link_id", "href", "name", "public_name", "direction", "enabled", "draft",
     "length_m", "min_number_of_lanes", "minimum_tt_seconds", "is_freeway",
@@ -18,26 +14,13 @@ DIM_COLUMNS = (
 )
 
 
-def dim_link(bronze_env: DataFrame) -> DataFrame:
+def dim_link(typed: DataFrame) -> DataFrame:
     """One row per link id: metadata of its most recently landed record
     (ties broken by transport id).  Records without a payload id are
     skipped; coordinates stay JSON text."""
-    rows = bronze_env.filter(F.col(f"{P}.id").isNotNull()).select(
-        tcast(f"{P}.id", "int").alias("link_id"),
-        F.col(f"{P}.href").alias("href"),
-        F.col(f"{P}.name").alias("name"),
-        F.col(f"{P}.public_name").alias("public_name"),
-        F.col(f"{P}.direction").alias("direction"),
-        tcast(f"{P}.enabled", "boolean").alias("enabled"),
-        tcast(f"{P}.draft", "boolean").alias("draft"),
-        tcast(f"{P}.length", "double").alias("length_m"),
-        tcast(f"{P}.min_number_of_lanes", "int").alias("min_number_of_lanes"),
-        tcast(f"{P}.minimum_tt", "double").alias("minimum_tt_seconds"),
-        tcast(f"{P}.is_freeway", "boolean").alias("is_freeway"),
-        tcast(f"{P}.origin.id", "bigint").alias("origin_site_id"),
-        tcast(f"{P}.destination.id", "bigint").alias("destination_site_id"),
-        F.col(f"{P}.coordinates").alias("coordinates_json"),
-        F.col("dumped_at").alias("last_seen_at"),
+    rows = typed.filter(F.col("has_link_id")).select(
+        *[F.col("road_name").alias("name") if c == "name" else F.col("dumped_at").alias("last_seen_at")
+          if c == "last_seen_at" else F.col(c) for c in DIM_COLUMNS],
         "topic", "partition", "offset",
     )
     latest = latest_by(rows, ["link_id"], ["last_seen_at", "topic", "partition", "offset"])

@@ -21,12 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.functions.columns import epoch_seconds, tcast, to_ts
-from linkflow.operators.bronze import ENV
+from linkflow.functions.columns import epoch_seconds
 from linkflow.operators.silver import PROVIDER_METRICS
 
-LS = f"{ENV}.payload.latest_stats"
-
 FACT_COLUMNS = (
     "link_id", "interval_start",
     "travel_time_seconds", "delay_seconds", "speed_kmh",
@@ -47,17 +44,9 @@ _D_COLS = ("road_name", "direction", "is_freeway", "length_m", "minimum_tt_secon
            "origin_site_id", "destination_site_id")
 
 
-def bronze_metrics(bronze_env: DataFrame) -> DataFrame:
+def bronze_metrics(typed: DataFrame) -> DataFrame:
     """Join keys and the provider metrics of every bronze row."""
-    return bronze_env.select(
-        tcast(f"{ENV}.payload.id", "int").alias("link_id"),
-        to_ts(f"{LS}.interval_start").alias("interval_start"),
-        tcast(f"{LS}.density", "double").alias("density"),
-        tcast(f"{LS}.average_density", "double").alias("average_density"),
-        tcast(f"{LS}.congestion", "double").alias("congestion_score"),
-        tcast(f"{LS}.estimated_percent", "double").alias("estimated_percent"),
-        "dumped_at",
-    )
+    return typed.select("link_id", "interval_start", *PROVIDER_METRICS, "dumped_at")
 
 
 def _dim_side(dim: DataFrame) -> DataFrame:
@@ -90,7 +79,7 @@ def _with_dim(df: DataFrame, dim: DataFrame) -> DataFrame:
     return df.join(d, F.col("link_id") == F.col("d_link_id"), "left").drop("d_link_id")
 
 
-def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, bronze_env: DataFrame | None = None,
+def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, typed: DataFrame | None = None,
                        bronze_match: str = "all", skew_split: bool = True) -> DataFrame:
     """25-column fact.  ``dedup_w`` is ``silver_dedup_wide`` (carries the
     winner's metrics and dumped_at, used by ``latest`` mode).  With
@@ -101,9 +90,9 @@ def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, bronze_env: DataFrame
         return _finish(_with_dim(s, dim))
     if bronze_match != "all":
         raise ValueError(f"bronze_match must be 'all' or 'latest', not {bronze_match!r}")
-    if bronze_env is None:
+    if typed is None:
         raise ValueError("bronze_match='all' needs the bronze frame")
-    b = bronze_metrics(bronze_env)
+    b = bronze_metrics(typed)
     s = s.drop(*PROVIDER_METRICS, "dumped_at")
     keys = ["link_id", "interval_start"]
     if not skew_split:

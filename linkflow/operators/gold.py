@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.functions.columns import epoch_seconds, round6, tcast, to_ntz, to_ts
-from linkflow.operators.bronze import ENV
+from linkflow.functions.columns import epoch_seconds, round6, to_ntz
 
 # Window sizes and topic partitions used by the published tables.
 DELAY_WINDOW = "10 minutes"
@@ -39,14 +38,8 @@ def delay_sliding(fact: DataFrame, size: str = DELAY_WINDOW, slide: str = DELAY_
                     avg.alias("avg_delay_seconds"))
 
 
-def monitor_base(bronze_env: DataFrame) -> DataFrame:
-    return bronze_env.select(
-        "dumped_at",
-        to_ts(f"{ENV}.ingested_at").alias("ingested_at"),
-        to_ts(f"{ENV}.payload.latest_stats.interval_start").alias("interval_start"),
-        tcast("partition", "int").alias("partition"),
-        tcast("offset", "bigint").alias("offset"),
-    )
+def monitor_base(typed: DataFrame) -> DataFrame:
+    return typed.select("dumped_at", "ingested_at", "interval_start", "partition", "offset")
 
 
 def monitor(base: DataFrame, width: str = MONITOR_WINDOW,

@@ -27,26 +27,37 @@ def load_observations(dump: DataFrame, existing: DataFrame | None = None,
     """Observation rows a load inserts (``existing=None``: an empty table),
     restricted to ``columns`` (the key columns are always kept).
 
-    The first-wins pick is a ``min_by`` aggregation per key (map-side
-    partial aggregation, so a replayed hot key never gathers in one task).
-    Only ``columns`` are packed into the aggregation, so a reader that needs
-    a few columns does not shuffle the payload text.
+    One pass: the first-wins pick is a ``min_by`` aggregation per key (map-
+    side partial aggregation, so a replayed hot key never gathers in one
+    task).  A row with a NULL key part gets a unique row tag as an extra
+    grouping key, so it never conflicts and is kept as it is.  Only
+    ``columns`` are packed into the aggregation, so a reader that needs a
+    few columns does not shuffle the payload text.
     """
     cols = list(PK) + [c for c in columns if c not in PK]
     has_file = "source_file" in dump.columns
-    flat = flatten_observations(normalize_payload(dump), carry=("source_file",) if has_file else ())
-    flat = flat.withColumn("_file", F.col("source_file") if has_file else F.lit(""))
-    flat = flat.withColumn("_seq", to_ts("dumped_at"))
+    f = flatten_observations(normalize_payload(dump), carry=("source_file",) if has_file else ())
+    f = f.withColumn("_file", F.col("source_file") if has_file else F.lit(""))
+    f = f.withColumn("_seq", to_ts("dumped_at"))
     key_ok = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    f = f.withColumn("_nk", F.when(key_ok, F.lit(None).cast("bigint")).otherwise(F.monotonically_increasing_id()))
     rest = [c for c in cols if c not in PK]
     order = ["_file", "_seq", "dumped_at"] + [c for c in rest if c != "dumped_at"]
-    firsts = first_by(flat.filter(key_ok), PK, order, rest)
-    out = firsts.select(*cols).unionByName(flat.filter(~key_ok).select(*cols))
+    out = first_by(f, PK + ["_nk"], order, rest).select(*cols)
     if existing is not None:
         out = insert_only(out, existing, PK)
     return out
 
 
+def observation_table(spark, obs: DataFrame) -> DataFrame:
+    """Write loaded observations as a table in the shared scratch folder
+    and read it back (the table the dashboards query)."""
+    from linkflow.session import scratch_path
+    path = scratch_path(spark, "observations")
+    obs.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def load_summary(dump_with_files: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """``files, inserted``: landing files read and rows a load inserts."""
     files = dump_with_files.select(F.count_distinct("source_file")).scalar()

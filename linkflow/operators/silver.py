@@ -1,6 +1,6 @@
 """Silver layers: typed measurements, live-record filter, derived measures.
 
-Input is ``bronze_parsed`` (bronze columns + parsed envelope ``env``).
+Input is ``bronze.typed`` (guarded bronze rows, fields typed once).
 """
 
 from __future__ import annotations
@@ -8,14 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.functions.columns import null_safe_div, tcast, to_ts
-from linkflow.operators.bronze import ENV
+from linkflow.functions.columns import null_safe_div
 from linkflow.operators.latest import first_by, latest_by
 from linkflow.operators.quality import expect, expectation_report
 
-P = f"{ENV}.payload"
-LS = f"{ENV}.payload.latest_stats"
-
 # Unit factor and thresholds of the derived measures.
 MS_TO_KMH = 3.6
 INCIDENT_RATIO = 0.7
@@ -39,31 +35,11 @@ PROVIDER_METRICS = ("density", "average_density", "congestion_score", "estimated
 TRANSPORT_ID = ("topic", "partition", "offset")
 
 
-def extract(bronze_env: DataFrame) -> DataFrame:
+def extract(typed: DataFrame) -> DataFrame:
     """The 14 typed silver fields, plus transport id, dumped_at, ingested_at,
-    public_name and the four provider metrics."""
-    return bronze_env.select(
-        tcast(f"{P}.id", "int").alias("link_id"),
-        F.col(f"{P}.name").alias("road_name"),
-        tcast(f"{P}.enabled", "boolean").alias("enabled"),
-        tcast(f"{P}.draft", "boolean").alias("draft"),
-        to_ts(f"{LS}.interval_start").alias("interval_start"),
-        tcast(f"{LS}.travel_time", "double").alias("travel_time_seconds"),
-        tcast(f"{LS}.delay", "double").alias("delay_seconds"),
-        tcast(f"{LS}.speed", "double").alias("speed_kmh"),
-        tcast(f"{LS}.enough_data", "boolean").alias("enough_data"),
-        tcast(f"{LS}.ignored", "boolean").alias("ignored"),
-        tcast(f"{LS}.closed", "boolean").alias("closed"),
-        tcast(f"{LS}.expected_missing", "boolean").alias("expected_missing"),
-        tcast(f"{P}.length", "double").alias("length_m"),
-        tcast(f"{P}.minimum_tt", "double").alias("minimum_tt_seconds"),
-        "dumped_at", "ingested_at", *TRANSPORT_ID,
-        F.col(f"{P}.public_name").alias("public_name"),
-        tcast(f"{LS}.density", "double").alias("density"),
-        tcast(f"{LS}.average_density", "double").alias("average_density"),
-        tcast(f"{LS}.congestion", "double").alias("congestion_score"),
-        tcast(f"{LS}.estimated_percent", "double").alias("estimated_percent"),
-    )
+    public_name and the four provider metrics (from ``bronze.typed``)."""
+    return typed.select(*EXTRACT_COLUMNS, "dumped_at", "ingested_at", *TRANSPORT_ID, "public_name",
+                        *PROVIDER_METRICS)
 
 
 def live_filter(df: DataFrame) -> DataFrame:
@@ -111,19 +87,19 @@ def silver_rules() -> dict[str, Column]:
     }
 
 
-def silver_wide(bronze_env: DataFrame, unit_fix: bool = False, null_passes: bool = False) -> DataFrame:
+def silver_wide(typed: DataFrame, unit_fix: bool = False, null_passes: bool = False) -> DataFrame:
     """Silver rows with the carried columns (transport id, metrics)."""
-    return expect(derive(live_filter(extract(bronze_env)), unit_fix), silver_rules(), null_passes)
+    return expect(derive(live_filter(extract(typed)), unit_fix), silver_rules(), null_passes)
 
 
-def silver(bronze_env: DataFrame, unit_fix: bool = False, null_passes: bool = False) -> DataFrame:
+def silver(typed: DataFrame, unit_fix: bool = False, null_passes: bool = False) -> DataFrame:
     """Published silver: 18 columns (+ offset, the transport id)."""
-    return silver_wide(bronze_env, unit_fix, null_passes).select(*SILVER_COLUMNS, "offset")
+    return silver_wide(typed, unit_fix, null_passes).select(*SILVER_COLUMNS, "offset")
 
 
-def silver_expectations(bronze_env: DataFrame, null_passes: bool = False) -> DataFrame:
+def silver_expectations(typed: DataFrame, null_passes: bool = False) -> DataFrame:
     """``rule, violations`` of the silver row guards over live records."""
-    return expectation_report(derive(live_filter(extract(bronze_env))), silver_rules(),
+    return expectation_report(derive(live_filter(extract(typed))), silver_rules(),
                               null_passes, with_kept=False)
 
 
@@ -144,10 +120,10 @@ def congestion_flag() -> Column:
     return speed.isNotNull() & ff.isNotNull() & (speed < F.lit(CONGESTION_RATIO) * ff)
 
 
-def silver_strict(bronze_env: DataFrame) -> DataFrame:
+def silver_strict(typed: DataFrame) -> DataFrame:
     """Strict live records: live filter, enough_data TRUE, delay > 60 s;
     road_name falls back to public_name, event_time to ingested_at."""
-    df = extract(bronze_env)
+    df = extract(typed)
     df = df.withColumn("road_name", F.coalesce("road_name", "public_name"))
     df = live_filter(df).filter(
         (F.col("enough_data") == F.lit(True))

@@ -53,7 +53,7 @@ def q_bronze_expectations(spark, sf_dir):
 @query("silver_extract")
 def q_silver_extract(spark, sf_dir):
     L = _layers(spark, sf_dir)
-    return publish(sv.extract(L.bronze_env).select(*sv.EXTRACT_COLUMNS, "offset"))
+    return publish(sv.extract(L.typed).select(*sv.EXTRACT_COLUMNS, "offset"))
 
 
 @query("silver")
@@ -63,7 +63,7 @@ def q_silver(spark, sf_dir):
 
 @query("silver_expectations")
 def q_silver_expectations(spark, sf_dir):
-    return sv.silver_expectations(_layers(spark, sf_dir).bronze_env)
+    return sv.silver_expectations(_layers(spark, sf_dir).typed)
 
 
 @query("silver_incidents")
@@ -75,7 +75,7 @@ def q_silver_incidents(spark, sf_dir):
 @query("congestion_flag")
 def q_congestion_flag(spark, sf_dir):
     L = _layers(spark, sf_dir)
-    df = sv.derive(sv.extract(L.bronze_env)).withColumn("congestion_flag", sv.congestion_flag())
+    df = sv.derive(sv.extract(L.typed)).withColumn("congestion_flag", sv.congestion_flag())
     return df.groupBy("link_id", "congestion_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -101,19 +101,21 @@ def q_dim_link(spark, sf_dir):
     return publish(_layers(spark, sf_dir).dim)
 
 
+# The fact reads typed bronze three times (silver, dimension, bronze join):
+# it is written once to the shared scratch folder and read back (pruned).
 @query("fact_link_interval")
 def q_fact_link_interval(spark, sf_dir):
-    return publish(_layers(spark, sf_dir).fact("all"))
+    return publish(_layers(spark, sf_dir, materialize=True).fact("all"))
 
 
 @query("fact_link_interval_latest")
 def q_fact_link_interval_latest(spark, sf_dir):
-    return publish(_layers(spark, sf_dir).fact("latest"))
+    return publish(_layers(spark, sf_dir, materialize=True).fact("latest"))
 
 
 @query("delay_sliding")
 def q_delay_sliding(spark, sf_dir):
-    return _layers(spark, sf_dir).delay_sliding("all")
+    return _layers(spark, sf_dir, materialize=True).delay_sliding("all")
 
 
 @query("monitor_5m")
@@ -299,7 +301,9 @@ def q_consumer_lag_totals(spark, sf_dir):
 
 # --------------------------------------------------------------- dashboards
 def _obs(spark, sf_dir):
-    return ld.load_observations(_layers(spark, sf_dir).dump, columns=db.FRAME_COLUMNS)
+    """The loaded observation table the dashboards read (written once)."""
+    obs = ld.load_observations(_layers(spark, sf_dir).dump, columns=db.FRAME_COLUMNS)
+    return ld.observation_table(spark, obs)
 
 
 def _window(spark, sf_dir, minutes=240, row_limit=None):

@@ -56,11 +56,17 @@ def dump_glob(folder: str, topic: str | None = None) -> str:
 
 def parse_dump_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Text lines -> dump records; blank, unparseable and non-object lines
-    are skipped."""
+    are skipped and counted (observed metrics ``dump_scan_<n>``: ``lines``,
+    ``skipped``).  The observation also keeps later filters from being
+    pushed into -- and re-running -- the line parse."""
+    from linkflow.operators.quality import metrics_name
     t = F.trim(F.col(line_col))
-    ok = lines.filter((t != "") & F.json_object_keys(t).isNotNull())
-    keep = [c for c in ok.columns if c != line_col]
-    return ok.select(*keep, F.from_json(t, DUMP_SCHEMA).alias("r")).select(*keep, "r.*")
+    keep = [c for c in lines.columns if c != line_col]
+    parsed = lines.select(*keep, ((t != "") & F.json_object_keys(t).isNotNull()).alias("_ok"),
+                          F.from_json(t, DUMP_SCHEMA).alias("r"))
+    parsed = parsed.observe(metrics_name("dump_scan"), F.count(F.lit(1)).alias("lines"),
+                            F.count_if(~F.col("_ok")).alias("skipped"))
+    return parsed.filter("_ok").select(*keep, "r.*")
 
 
 def read_jsonl_dump(spark: SparkSession, folder: str, topic: str | None = None,

@@ -118,7 +118,7 @@ def q_stream_incremental_load(spark, sf_dir):
 
 # ------------------------------------------------------------------ silver dedup (CDC)
 def _silver_wide_stream(stream: DataFrame) -> DataFrame:
-    return sv.silver_wide(br.bronze_parsed(stream))
+    return sv.silver_wide(br.bronze_typed(stream))
 
 
 @stream_query("stream_silver_dedup")
@@ -152,8 +152,8 @@ def q_stream_layered(spark, sf_dir):
         rn.append_parquet(br.bronze(source_stream(spark, src, dump.schema)), b_t,
                           ws.checkpoint("bronze"), "layer-bronze")
         b_stream = spark.readStream.schema(bronze_schema).parquet(b_t)
-        b_env = b_stream.withColumn(br.ENV, F.from_json("value_str", br.ENVELOPE_SCHEMA))
-        rn.append_parquet(sv.silver_wide(b_env), s_t, ws.checkpoint("silver"), "layer-silver")
+        rn.append_parquet(sv.silver_wide(br.typed_from_table(b_stream)), s_t, ws.checkpoint("silver"),
+                          "layer-silver")
         if silver_schema is None:
             silver_schema = spark.read.parquet(s_t).schema
         s_stream = spark.readStream.schema(silver_schema).parquet(s_t)
@@ -172,7 +172,7 @@ def q_stream_dedup(spark, sf_dir):
     src, target = ws.path("source"), ws.path("strict")
     for r in (0, 1):
         land_parquet(dump.filter(F.col("offset") % 2 == r), src)
-        strict = sv.silver_strict(br.bronze_parsed(source_stream(spark, src, dump.schema)))
+        strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, dump.schema)))
         out = strict.dropDuplicates(DEDUP_KEYS).select(*DEDUP_KEYS, "road_name", "event_time",
                                                        "delay_seconds", "offset")
         rn.append_parquet(out, target, ws.checkpoint("strict"), "strict-dedup")
@@ -205,7 +205,7 @@ def q_stream_delay_sliding(spark, sf_dir):
     rows = strict_fixture(spark, sf_dir)
     src, target = ws.path("source"), ws.path("agg")
     land_parquet(rows, src)
-    strict = sv.silver_strict(br.bronze_parsed(source_stream(spark, src, rows.schema)))
+    strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, rows.schema)))
     rn.append_parquet(delay_watermarked(strict), target, ws.checkpoint("agg"), "delay-agg")
     t = spark.read.parquet(target)
     return t.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
@@ -218,7 +218,7 @@ def q_stream_delay_sliding_complete(spark, sf_dir):
     watermark; every window is kept and re-emitted)."""
     from linkflow.plans.layers import Layers
     ws = rn.Workspace(spark, "delay-complete")
-    fact = Layers.from_events(spark, sf_dir).fact("all")
+    fact = Layers.from_events(spark, sf_dir, materialize=True).fact("all")
     src, target = ws.path("fact"), ws.path("agg")
     for r in (0, 1):
         land_parquet(fact.filter(F.col("link_id") % 2 == r), src)
@@ -238,7 +238,7 @@ def q_stream_monitor_5m(spark, sf_dir):
     src, target = ws.path("source"), ws.path("monitor")
     for r in (0, 1):
         land_parquet(dump.filter(F.col("offset") % 2 == r), src)
-        m = gd.monitor(gd.monitor_base(br.bronze_parsed(source_stream(spark, src, dump.schema))),
+        m = gd.monitor(gd.monitor_base(br.bronze_typed(source_stream(spark, src, dump.schema))),
                        publish=False)
         rn.foreach_batch(m, rn.complete_batches(target), ws.checkpoint("monitor"), "monitor-5m",
                          output_mode="complete")
@@ -259,13 +259,13 @@ def q_stream_fact(spark, sf_dir):
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     b_t, d_t, dim_t = ws.path("bronze"), ws.path("silver_dedup"), ws.path("dim_link")
     br.bronze(dump).write.parquet(b_t)
-    b_env = spark.read.parquet(b_t).withColumn(br.ENV, F.from_json("value_str", br.ENVELOPE_SCHEMA))
-    dm.dim_link(b_env).write.parquet(dim_t)
-    dedup = sv.silver_dedup_wide(sv.silver_wide(b_env))
+    typed = br.typed_from_table(spark.read.parquet(b_t))
+    dm.dim_link(typed).write.parquet(dim_t)
+    dedup = sv.silver_dedup_wide(sv.silver_wide(typed))
     dedup.write.parquet(d_t)
     dim = spark.read.parquet(dim_t)
     stream = spark.readStream.schema(spark.read.parquet(d_t).schema).parquet(d_t)
-    fact = ft.fact_link_interval(stream, dim, b_env, "all", skew_split=False)
+    fact = ft.fact_link_interval(stream, dim, typed, "all", skew_split=False)
     target = ws.path("fact")
     rn.append_parquet(fact, target, ws.checkpoint("fact"), "fact-link-interval")
     return publish(spark.read.parquet(target))

@@ -53,7 +53,7 @@ def test_sample_line_through_silver(spark):
     d = dump_of(spark, [SAMPLE])
     b = br.bronze_parsed(d)
     assert b.count() == 1  # value_json-only record survives the bronze guards
-    s = sv.silver(b).collect()
+    s = sv.silver(br.typed(b)).collect()
     assert len(s) == 1
     r = s[0]
     assert r.link_id == 3
@@ -101,13 +101,13 @@ def test_no_latest_stats_kept_in_bronze_dropped_in_silver(spark):
     d = dump_of(spark, [rec(1, envelope({"id": 3, "enabled": True, "length": 10}))])
     b = br.bronze_parsed(d)
     assert b.count() == 1
-    assert sv.silver(b).count() == 0
+    assert sv.silver(br.typed(b)).count() == 0
 
 
 def test_zero_minimum_tt(spark):
     p = {"id": 3, "enabled": True, "length": 2000, "minimum_tt": 0,
          "latest_stats": {"interval_start": "2026-01-01T10:00:00+00:00", "travel_time": 10, "speed": 1}}
-    s = sv.silver(br.bronze_parsed(dump_of(spark, [rec(1, envelope(p))]))).first()
+    s = sv.silver(br.bronze_typed(dump_of(spark, [rec(1, envelope(p))]))).first()
     assert s.free_flow_speed_kmh is None and s.potential_incident is False
 
 
@@ -129,7 +129,7 @@ def test_out_of_order_cdc_keeps_latest(spark):
     p2["latest_stats"]["delay"] = 2
     d = dump_of(spark, [rec(1, envelope(p2), dumped_at="2026-01-01T10:10:00+00:00"),   # t2 arrives first
                         rec(2, envelope(p), dumped_at="2026-01-01T10:05:00+00:00")])   # t1 later
-    got = sv.silver_dedup(sv.silver_wide(br.bronze_parsed(d))).collect()
+    got = sv.silver_dedup(sv.silver_wide(br.bronze_typed(d))).collect()
     assert len(got) == 1 and got[0].delay_seconds == 2.0
 
 
@@ -146,9 +146,9 @@ def test_strict_event_time_falls_back_to_ingested_at(spark):
          "latest_stats": {"enough_data": True, "delay": 90}}
     d = dump_of(spark, [rec(1, envelope(p, ingested="2026-01-01T09:00:00+00:00"))])
     b = br.bronze_parsed(d)
-    st = sv.silver_strict(b).collect()
+    st = sv.silver_strict(br.typed(b)).collect()
     assert len(st) == 1 and st[0].event_time == dt.datetime(2026, 1, 1, 9, 0)
-    assert sv.silver(b).count() == 0
+    assert sv.silver(br.typed(b)).count() == 0
 
 
 def test_json_text_boolean(spark):
@@ -156,7 +156,7 @@ def test_json_text_boolean(spark):
          "latest_stats": {"interval_start": "2026-01-01T10:00:00+00:00", "travel_time": 10, "speed": 1,
                           "ignored": "false", "closed": False}}
     d = dump_of(spark, [rec(1, envelope(p))])
-    s = sv.silver(br.bronze_parsed(d)).collect()
+    s = sv.silver(br.bronze_typed(d)).collect()
     assert len(s) == 1 and s[0].ignored is False  # text "false" casts to false: kept
     o = load_observations(d).first()
     assert o.ignored is None and o.closed == 0  # strict flags: only JSON booleans count

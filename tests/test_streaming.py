@@ -70,7 +70,7 @@ def test_stream_bronze_equals_batch(spark):
 def test_run_batch_materialises_every_layer(spark):
     dump = fx.dump_clean(fx.events(spark, SF_SMALL))
     paths = run_batch(spark, dump)
-    assert set(paths) == {"traffic_bronze", "traffic_silver", "traffic_silver_dedup", "dim_link",
+    assert set(paths) == {"traffic_bronze", "traffic_bronze_typed", "traffic_silver", "traffic_silver_dedup", "dim_link",
                           "fact_link_interval", "fact_kafka_monitor_5m", "traffic_delay_agg"}
     L = Layers(spark, dump)
     assert spark.read.parquet(paths["fact_link_interval"]).count() == L.fact("all").count()
