@@ -180,6 +180,23 @@ def q_kafka_out_frame(spark, sf_dir):
                       F.get_json_object(text, "$.source.type").alias("source_type"))
 
 
+@query("land_dump")
+def q_land_dump(spark, sf_dir):
+    """Kafka rows landed as JSON lines (dumped_at = broker time + offset % 97 s
+    here, for a deterministic result; live landing uses the current time),
+    read back and summarised per partition."""
+    from linkflow.sources import jsonl
+    rows = fx.kafka_rows(fx.events(spark, sf_dir))
+    landed = jsonl.landing_frame(rows, F.col("timestamp") + F.make_interval(
+        secs=(F.col("offset") % 97).cast("decimal(18,6)")))
+    folder = scratch_path(spark, "landing")
+    jsonl.land_dump(landed, folder, f"{fx.TOPIC}_0001.jsonl")
+    back = jsonl.read_jsonl_dump(spark, folder, topic=fx.TOPIC)
+    return (back.groupBy(F.col("partition").try_cast("int").alias("partition"))
+                .agg(F.count(F.lit(1)).alias("n"),
+                     F.max(F.col("offset").try_cast("bigint")).alias("max_offset")))
+
+
 @query("extract_records")
 def q_extract_records(spark, sf_dir):
     recs = ig.extract_records(fx.raw_responses(fx.events(spark, sf_dir)))

@@ -485,3 +485,7 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, road_name,
 FROM w
 WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(event_time) FROM sd) - INTERVAL 30 MINUTE
 GROUP BY window_start, road_name"""
+
+SQL["land_dump"] = """
+SELECT CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS n, max(event_id) AS max_offset
+FROM events GROUP BY 1"""

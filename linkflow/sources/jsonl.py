@@ -86,13 +86,16 @@ def read_jsonl_dump(spark: SparkSession, folder: str, topic: str | None = None,
 
 
 def landing_frame(kafka_rows: DataFrame, dumped_at: Column | None = None) -> DataFrame:
-    """Kafka source rows -> dump records (decoded key/value, ``[type, ms]``
-    timestamp, ``dumped_at`` landing time as ISO text)."""
+    """Kafka source rows -> dump records: decoded key/value, ``[type, ms]``
+    timestamp, ``value_json`` (the value when it is a JSON object, else
+    NULL) and the landing time ``dumped_at`` as ISO text (default: now)."""
     from linkflow.sources.kafka import shape_kafka
     shaped = shape_kafka(kafka_rows)
+    v = F.col("value")
     return shaped.select(
         "topic", "partition", "offset",
         F.array(F.col("timestampType").cast("bigint"), F.unix_millis("timestamp")).alias("timestamp"),
         "key", "value",
+        F.when(F.json_object_keys(v).isNotNull(), v).alias("value_json"),
         iso_text(dumped_at if dumped_at is not None else F.current_timestamp()).alias("dumped_at"),
     )

@@ -79,3 +79,15 @@ def test_run_batch_materialises_every_layer(spark):
     day = spark.read.parquet(paths["fact_link_interval"]).filter(F.col("interval_day") == "2024-01-02")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_bounded_dedup_keeps_one_row_per_key(spark):
+    ws = rn.Workspace(spark, "bounded")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    src, target = ws.path("src"), ws.path("t")
+    sq.land_parquet(dump.unionByName(dump.filter(F.col("offset") % 10 == 0)), src)
+    strict = sv.silver_strict(br.bronze_typed(sq.source_stream(spark, src, dump.schema)))
+    out = sq.dedup_stream(strict, watermark="30 minutes").select(*sq.DEDUP_KEYS, "offset")
+    rn.append_parquet(out, target, ws.checkpoint("t"))
+    got = spark.read.parquet(target)
+    assert got.count() == got.select(*sq.DEDUP_KEYS).distinct().count() > 0
