@@ -167,7 +167,7 @@ def q_kafka_shape(spark, sf_dir):
 
 @query("kafka_out_frame")
 def q_kafka_out_frame(spark, sf_dir):
-    ev = fx.events(spark, sf_dir)
+    ev = fx.base(fx.events(spark, sf_dir))
     rec = ev.select(F.to_json(fx.payload_struct()).alias("record"),
                     fx._ts().alias("ts"), F.concat(F.lit("/links/"), fx._link().cast("string")).alias("url"))
     keyed = rec.select(ig.guess_key(F.col("record")).alias("k"),
@@ -211,7 +211,7 @@ def q_guess_key(spark, sf_dir):
 
 @query("build_envelope")
 def q_build_envelope(spark, sf_dir):
-    ev = fx.events(spark, sf_dir)
+    ev = fx.base(fx.events(spark, sf_dir))
     env = ev.select(ig.build_envelope(F.to_json(fx.payload_struct()), F.lit(fx.SOURCE_TYPE),
                                       F.concat(F.lit("/links/"), fx._link().cast("string")),
                                       fx._ts()).alias("envelope"))

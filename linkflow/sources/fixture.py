@@ -60,16 +60,29 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(slots, key)
 
 
+def base(ev: DataFrame) -> DataFrame:
+    """Events plus the mapping's shared inputs, computed once per row:
+    ``link`` = user_id % 10, ``k`` = props.k, ``t`` = ts as an instant."""
+    if "link" in ev.columns:
+        return ev
+    return ev.select(
+        "event_id", "user_id", "event_type", "value", "ts",
+        (F.col("user_id") % 10).cast("int").alias("link"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+        F.col("ts").cast("timestamp").alias("t"),
+    )
+
+
 def _link() -> Column:
-    return (F.col("user_id") % 10).cast("int")
+    return F.col("link")
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+    return F.col("k")
 
 
 def _ts() -> Column:
-    return F.col("ts").cast("timestamp")
+    return F.col("t")
 
 
 def _plus_seconds(ts: Column, n: Column) -> Column:
@@ -147,7 +160,7 @@ def dump_columns(value: Column, value_json: Column | None = None) -> list[Column
 
 def dump_clean(ev: DataFrame) -> DataFrame:
     """One landed message per event; the envelope is in ``value``."""
-    return ev.select(*dump_columns(F.to_json(envelope_struct())))
+    return base(ev).select(*dump_columns(F.to_json(envelope_struct())))
 
 
 def dump_replays(ev: DataFrame) -> DataFrame:
@@ -193,7 +206,7 @@ def dump_shapes(ev: DataFrame) -> DataFrame:
     value = (F.when(m == 0, env).when(m == 2, bare).when(m == 3, F.lit("[1]"))
              .otherwise(F.lit(None).cast("string")))
     value_json = F.when(m == 1, env).otherwise(F.lit(None).cast("string"))
-    return ev.select(*dump_columns(value, value_json))
+    return base(ev).select(*dump_columns(value, value_json))
 
 
 def dump_strict_input(ev: DataFrame) -> DataFrame:
@@ -226,8 +239,8 @@ def raw_responses(ev: DataFrame) -> DataFrame:
         .when(m == 3, rec)
         .otherwise(F.lit('{"results":[]}'))
     )
-    return ev.select(F.col("event_id").alias("response_id"), body.alias("body"),
-                     F.concat(F.lit("/links/"), link.cast("string")).alias("url"))
+    return base(ev).select(F.col("event_id").alias("response_id"), body.alias("body"),
+                           F.concat(F.lit("/links/"), link.cast("string")).alias("url"))
 
 
 def offsets_table(dump: DataFrame) -> DataFrame:
@@ -288,7 +301,7 @@ def kafka_rows(ev: DataFrame) -> DataFrame:
     value = F.when((eid % 33 == 0) & has_name, broken).otherwise(F.encode(env_text, "UTF-8"))
     key = F.when(eid % 25 == 0, F.encode(F.lit(""), "UTF-8")).otherwise(
         F.encode(F.col("user_id").cast("string"), "UTF-8"))
-    return ev.select(
+    return base(ev).select(
         key.alias("key"), value.alias("value"), F.lit(TOPIC).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"), eid.cast("bigint").alias("offset"),
         _ts().alias("timestamp"), F.lit(0).alias("timestampType"),
