@@ -97,11 +97,19 @@ def q_stream_incremental_load(spark, sf_dir):
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        dump = jsonl.parse_dump_lines(batch)
-        existing = rn._committed(s, target, batch_id)
-        rows = load_observations(dump, existing)
-        rn.ensure_target(s, target, rows)
-        rows.write.mode("overwrite").parquet(f"{target}/{rn.BATCH_COL}={batch_id}")
+        batch.persist()  # read twice: offset ranges, then the load itself
+        try:
+            dump = jsonl.parse_dump_lines(batch)
+            keyed = dump.select("topic", F.col("partition").try_cast("int").alias("partition"),
+                                F.col("offset").try_cast("bigint").alias("offset"))
+            ranges = rn.seq_ranges(keyed, PK[:2], "offset")
+            existing = rn.candidate_rows(s, target, ranges, batch_id, PK[:2])
+            rows = load_observations(dump, existing)
+            rn.ensure_target(s, target, rows)
+            rows.write.mode("overwrite").parquet(f"{target}/{rn.BATCH_COL}={batch_id}")
+            rn.write_manifest(target, batch_id, ranges)
+        finally:
+            batch.unpersist()
 
     batches = fx.landing_batches(ev, "replays")
     for run in (batches[:2], batches[2:]):

@@ -92,17 +92,70 @@ def ensure_target(spark: SparkSession, target: str, like: DataFrame) -> None:
         _write_batch(like.limit(0), target, -1)
 
 
+def _manifest_path(target: str) -> str:
+    return f"{target.rstrip('/')}_manifest"
+
+
+def seq_ranges(rows: DataFrame, range_keys: Sequence[str], seq: str) -> DataFrame:
+    """``seq`` range per ``range_keys`` of some rows (one row per topic
+    partition: a frame bounded by the topic's partition count)."""
+    return (rows.select(*range_keys, F.col(seq).cast("bigint").alias(seq))
+                .filter(F.col(seq).isNotNull()).groupBy(*range_keys)
+                .agg(F.min(seq).alias("seq_min"), F.max(seq).alias("seq_max")))
+
+
+def write_manifest(target: str, batch_id: int, ranges: DataFrame) -> None:
+    """Record the ranges a committed batch may hold (a superset is safe: it
+    only widens later candidate reads, it never hides a collision)."""
+    ranges.write.mode("overwrite").parquet(f"{_manifest_path(target)}/{BATCH_COL}={batch_id}")
+
+
+def candidate_rows(spark: SparkSession, target: str, ranges: DataFrame, batch_id: int,
+                   range_keys: Sequence[str]) -> DataFrame | None:
+    """Committed target rows that can share a key with a new batch whose
+    :func:`seq_ranges` are ``ranges``.
+
+    Transport ids grow along each topic partition, so a committed batch can
+    only collide when its range overlaps the new batch's range for the same
+    partition.  The overlapping batch ids come from the manifest (tiny); the
+    semi-join on the partition column lets Spark prune every other
+    ``batch_id`` folder at run time, so a micro-batch reads only the part of
+    the target it can collide with, not the whole history.
+    """
+    committed = _committed(spark, target, batch_id)
+    manifest = read_table(spark, _manifest_path(target))
+    if committed is None or manifest is None:
+        return committed
+    mine = ranges.select(*range_keys, F.col("seq_min").alias("lo"), F.col("seq_max").alias("hi"))
+    overlap = (manifest.filter(F.col(BATCH_COL) < batch_id).join(mine, list(range_keys))
+               .filter((F.col("seq_max") >= F.col("lo")) & (F.col("seq_min") <= F.col("hi")))
+               .select(BATCH_COL).distinct())
+    t = read_table(spark, target)
+    return t.join(overlap, BATCH_COL, "left_semi").drop(BATCH_COL)
+
+
 def insert_only_batches(target: str, keys: Sequence[str],
-                        transform: Callable[[DataFrame], DataFrame] | None = None):
+                        transform: Callable[[DataFrame], DataFrame] | None = None,
+                        range_keys: Sequence[str] = ("topic", "partition"), seq: str = "offset"):
     """``foreachBatch`` callback: insert the batch rows whose key is not in
-    the target yet (MERGE ... WHEN NOT MATCHED THEN INSERT)."""
+    the target yet (MERGE ... WHEN NOT MATCHED THEN INSERT), reading only
+    the committed batches whose offset ranges overlap (see
+    :func:`candidate_rows`)."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = transform(batch) if transform else batch
         ensure_target(spark, target, rows)
-        existing = _committed(spark, target, batch_id)
+        # ranges from the raw batch's transport columns: no transform work,
+        # and a superset of the inserted rows' ranges (safe, see manifest)
+        src = batch if all(c in batch.columns for c in (*range_keys, seq)) else rows
+        key_types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+        raw = src.select(*[F.col(c).cast("string").try_cast(key_types[c]).alias(c) if c in key_types
+                           else F.col(c) for c in (*range_keys, seq)])
+        ranges = seq_ranges(raw, range_keys, seq)
+        existing = candidate_rows(spark, target, ranges, batch_id, range_keys)
         _write_batch(insert_only(rows, existing, keys), target, batch_id)
+        write_manifest(target, batch_id, ranges)
 
     return fn
 

@@ -91,3 +91,19 @@ def test_bounded_dedup_keeps_one_row_per_key(spark):
     rn.append_parquet(out, target, ws.checkpoint("t"))
     got = spark.read.parquet(target)
     assert got.count() == got.select(*sq.DEDUP_KEYS).distinct().count() > 0
+
+
+def test_insert_only_reads_only_overlapping_batches(spark):
+    ws = rn.Workspace(spark, "manifest")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    target = ws.path("t")
+    pk = ["topic", "partition", "offset"]
+    fn = rn.insert_only_batches(target, pk, transform=br.bronze)
+    for i, (lo, hi) in enumerate([(0, 300), (300, 600), (600, 10**9)]):
+        fn(dump.filter((F.col("offset") >= lo) & (F.col("offset") < hi)), i)
+    replay = br.bronze(dump.filter(F.col("offset") < 100))
+    cand = rn.candidate_rows(spark, target, rn.seq_ranges(replay, pk[:2], "offset"), 3, pk[:2])
+    assert cand.count() == 300  # only batch 0 overlaps the replayed offsets
+    fn(dump.filter(F.col("offset") < 100), 3)
+    t = rn.batches_view(spark, target)
+    assert t.count() == dump.count() == t.select(*pk).distinct().count()
