@@ -62,15 +62,5 @@ def epoch_bucket(c: str | Column, minutes: int) -> Column:
     return F.window(col(c), f"{minutes} minutes").start
 
 
-def strict_flag(raw_json_token: str | Column) -> Column:
-    """JSON boolean token -> 1/0; any other token (text, number) -> NULL.
-
-    ``raw_json_token`` is the raw token text of a JSON value, so the JSON
-    string ``"true"`` arrives quoted and does not count.
-    """
-    t = col(raw_json_token)
-    return F.when(t == "true", F.lit(1)).when(t == "false", F.lit(0)).otherwise(F.lit(None).cast("int"))
-
-
 def null_safe_div(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))

@@ -40,8 +40,6 @@ _S_COLS = (
     "enough_data", "ignored", "closed", "expected_missing",
     "travel_time_minutes", "free_flow_speed_kmh", "potential_incident",
 )
-_D_COLS = ("road_name", "direction", "is_freeway", "length_m", "minimum_tt_seconds",
-           "origin_site_id", "destination_site_id")
 
 
 def bronze_metrics(typed: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from linkflow.operators import bronze as br
 from linkflow.operators import dashboard as db
-from linkflow.operators import gold as gd
 from linkflow.operators import health as hl
 from linkflow.operators import ingest as ig
 from linkflow.operators import load as ld
@@ -387,4 +386,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_delay_sliding(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "flagship", "gd"]
+__all__ = ["QUERIES", "flagship"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -96,16 +95,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of :func:`scratch_root` for one run."""
     root = scratch_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme so a path can be used with ``os`` calls."""
-    if p.startswith("file:"):
-        p = p[5:]
-        while p.startswith("//"):
-            p = p[1:]
-    return p
-
-
-def is_local(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:") or os.path.isabs(p)

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from linkflow.session import build_session
-    s = build_session("local[4]", app_name="linkflow-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="linkflow-test-")})
+    # scratch tables and stream checkpoints go to the session's
+    # spark.checkpoint.dir; linkflow creates a private one only if unset
+    s = build_session("local[4]", app_name="linkflow-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
