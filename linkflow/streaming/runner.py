@@ -174,10 +174,37 @@ def latest_batches(target: str, keys: Sequence[str], order: Sequence[str],
     return fn
 
 
+def _snapshot_path(target: str) -> str:
+    return f"{target.rstrip('/')}_snapshot"
+
+
 def latest_view(spark: SparkSession, target: str, keys: Sequence[str],
                 order: Sequence[str]) -> DataFrame:
-    t = read_table(spark, target).drop(BATCH_COL)
-    return latest_by(t, keys, order)
+    """Current state of a latest-wins target: ``latest_by`` over the newest
+    snapshot (see :func:`compact_latest`) and the batches after it.  The
+    batch folders up to the snapshot are pruned, so reads stay bounded by
+    (state + recent batches) instead of the whole history."""
+    t = read_table(spark, target)
+    snaps = read_table(spark, _snapshot_path(target))
+    if snaps is None:
+        return latest_by(t.drop(BATCH_COL), keys, order)
+    upto = snaps.select(F.max("upto")).scalar()
+    base = snaps.filter(F.col("upto") == upto).drop("upto")
+    recent = t.filter(F.col(BATCH_COL) > upto).drop(BATCH_COL)
+    return latest_by(base.unionByName(recent), keys, order)
+
+
+def compact_latest(spark: SparkSession, target: str, keys: Sequence[str],
+                   order: Sequence[str]) -> int:
+    """Write the current state as a snapshot covering every committed batch
+    so far (``upto=<last batch id>``); returns that batch id.  Idempotent:
+    re-running rewrites the same snapshot folder.  Run it between stream
+    runs (or from a scheduled job), not concurrently with the stream."""
+    t = read_table(spark, target)
+    last = t.select(F.max(BATCH_COL)).first()[0]
+    view = latest_view(spark, target, keys, order)
+    view.write.mode("overwrite").parquet(f"{_snapshot_path(target)}/upto={last}")
+    return last
 
 
 def batches_view(spark: SparkSession, target: str) -> DataFrame:

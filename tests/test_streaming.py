@@ -107,3 +107,22 @@ def test_insert_only_reads_only_overlapping_batches(spark):
     fn(dump.filter(F.col("offset") < 100), 3)
     t = rn.batches_view(spark, target)
     assert t.count() == dump.count() == t.select(*pk).distinct().count()
+
+
+def test_compacted_latest_view_equals_full_view(spark):
+    ws = rn.Workspace(spark, "compact")
+    L = Layers.from_events(spark, SF_SMALL)
+    sw = L.silver_wide
+    keys, order = sq.DEDUP_KEYS, sq.DEDUP_ORDER
+    target = ws.path("t")
+    fn = rn.latest_batches(target, keys, order)
+    parts = [sw.filter(F.col("offset") % 4 == r) for r in (3, 1, 0, 2)]
+    fn(parts[0], 0)
+    fn(parts[1], 1)
+    assert rn.compact_latest(spark, target, keys, order) == 1
+    fn(parts[2], 2)
+    fn(parts[3], 3)
+    view = rn.latest_view(spark, target, keys, order).select(*sv.DEDUP_COLUMNS)
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    assert same(view.toPandas(), L.silver_dedup.toPandas())[0]
