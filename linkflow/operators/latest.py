@@ -1,11 +1,13 @@
 """Latest/first row per key and insert-only merge.
 
 ``latest_by`` / ``first_by`` use ``max_by`` / ``min_by`` over a struct of
-the wanted columns, ordered by a struct of (sequence, tiebreak...).  That is
-a hash aggregation with map-side partial aggregation: a hot key (even one
-holding a third of all rows) is reduced to one row per map task before the
-shuffle, with no sort and no per-group buffering, unlike ``row_number()``
-over a window which shuffles and sorts every row of the group into one task.
+the wanted columns, ordered by a struct of (sequence, tiebreak...).  Spark
+plans this as a (sort-based, since the buffer holds a struct) aggregation
+with map-side partial aggregation: every map task reduces each key --
+even one holding a third of all rows -- to a single row before the
+shuffle, so the shuffle carries at most one row per key per task and no
+task ever receives a whole hot group.  ``row_number()`` over a window would
+instead shuffle every row of the group into one task and sort it there.
 """
 
 from __future__ import annotations
