@@ -49,10 +49,15 @@ def kafka_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
 
 
 def read_topic(spark: SparkSession, topic: str, options: Mapping[str, str] | None = None,
-               stream: bool = True, starting: str = "earliest") -> DataFrame:
-    """Subscribe to one topic from the earliest offsets."""
+               stream: bool = True, starting: str = "earliest",
+               group_id: str | None = None) -> DataFrame:
+    """Subscribe to one topic from the earliest offsets.  Progress is kept
+    in the query checkpoint (exactly-once); ``group_id`` only names the
+    consumer group on the broker, e.g. for lag monitoring."""
     r = spark.readStream if stream else spark.read
     r = r.format("kafka").option("subscribe", topic).option("startingOffsets", starting)
+    if group_id:
+        r = r.option("kafka.group.id", group_id)
     for k, v in (options or kafka_options()).items():
         r = r.option(k, v)
     return r.load()
