@@ -9,6 +9,7 @@ from linkflow.session import scratch_path
 
 #: The characters that separate words: space, tab, line feed, vertical tab,
 #: form feed, carriage return.
+GAPS = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[ \t-\r]+"
 
 
@@ -38,7 +39,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def words(text: Column) -> Column:
     """Array of the words of a non-null text."""
-    return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
+    inner = F.btrim(text, F.lit(GAPS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WORD_GAP))
 
 
 def let(value: Column, body) -> Column:
@@ -58,17 +60,9 @@ def train_split(key: Column, mod: int, held: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % mod == held, F.lit(False))
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of the named columns of two frames."""
-    on = F.lit(True)
-    for k in keys:
-        on = on & left[k].eqNullSafe(right[k])
-    return on
-
-
 def ranked(df: DataFrame, keys: list[str], ident: list[str], rank: str = "rank",
            carry: DataFrame | None = None, buckets: int = 256) -> DataFrame:
-    """Adds a rank from 0 within each group of ``keys``; no group is one task.
+    """Adds a rank from 0 within each group of non-null ``keys``; no group is one task.
 
     A group is dealt over ``buckets`` by the hash of ``ident``; ranks run
     within a bucket and start at the number of rows in the group's earlier
@@ -89,14 +83,7 @@ def ranked(df: DataFrame, keys: list[str], ident: list[str], rank: str = "rank",
     more = []
     if carry is not None:
         more = [c for c in carry.columns if c not in keys]
-        c = carry.select(*[F.col(k).alias(f"{k}__c") for k in keys], *more)
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"{k}__c"))
-        base = base.join(c, on).drop(*[f"{k}__c" for k in keys])
-    right = base.select(*[F.col(k).alias(f"{k}__r") for k in [*keys, b]], before, *more)
-    on = F.lit(True)
-    for k in [*keys, b]:
-        on = on & F.col(k).eqNullSafe(F.col(f"{k}__r"))
-    out = rows.join(right, on).withColumn(rank, F.col(rank) + F.col(before))
+        base = base.join(carry, keys)
+    # a merge join: the rows are sorted by its key already, and nothing is broadcast
+    out = rows.join(base.hint("merge"), [*keys, b]).withColumn(rank, F.col(rank) + F.col(before))
     return out.select(*df.columns, rank, *more)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from linkflow.llm.common import documents
 from linkflow.llm.mixing import mix
 from linkflow.llm.packing import pack
+from linkflow.llm.rules import quality_rules
+from linkflow.llm.simhash import near_duplicates
 from linkflow.llm.token_counts import token_counts
 from linkflow.session import prepare_session
 
@@ -21,10 +23,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+#: Rows of long texts go to Python in batches of so many bytes.
+ARROW_BYTES = "8m"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare_session(spark), sf_dir)
+            prepare_session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+            return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql:
             SQL[name] = sql
@@ -45,3 +52,13 @@ def source_mixing(spark, sf_dir):
 @query("op8_token_counts")
 def count_tokens(spark, sf_dir):
     return token_counts(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op9_simhash_near_dedup")
+def simhash_near_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op10_quality_rules")
+def judge_quality(spark, sf_dir):
+    return quality_rules(documents(spark, sf_dir, "doc_id", "text", "lang"))

@@ -150,7 +150,7 @@ class WordEncoder(Encoder):
     reached, the memory is cleared and words are encoded again as they come.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         super().__init__(path)
         self.max_words = max_words
         self.plain = re.compile(PLAIN)
