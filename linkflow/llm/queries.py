@@ -10,11 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkflow.llm.common import documents
+from linkflow.llm import topk
+from linkflow.llm.common import documents, train_split
+from linkflow.llm.langid import identify
 from linkflow.llm.mixing import mix
 from linkflow.llm.packing import pack
 from linkflow.llm.rules import quality_rules
+from linkflow.llm.secret_scan import scan
 from linkflow.llm.simhash import near_duplicates
 from linkflow.llm.token_counts import token_counts
 from linkflow.session import prepare_session
@@ -62,3 +66,19 @@ def simhash_near_dedup(spark, sf_dir):
 @query("op10_quality_rules")
 def judge_quality(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+@query("op6_secret_scans")
+def scan_secrets(spark, sf_dir):
+    return scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op3_exact_topk_search", sql=topk.ORACLE)
+def exact_topk_search(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op4_language_id")
+def language_id(spark, sf_dir):
+    return identify(documents(spark, sf_dir, "doc_id", "text", "lang"), train_split(F.col("doc_id"), 4, 2))
