@@ -193,7 +193,7 @@ def predict(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
     def nearest(texts: pa.Array) -> pa.Array:
-        langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+        langs, scores, known = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         for start in range(0, len(texts), _BATCH):
             at, rows = [], []
             for i in range(start, min(start + _BATCH, len(texts))):
@@ -204,10 +204,10 @@ def predict(text: Column, model: Model) -> Column:
             if rows and model.labels:
                 near = vectors(rows, model.idf) @ model.centroids.T
                 best = np.argmax(near, axis=1)
+                known[at] = True
                 scores[at] = np.clip(near[np.arange(len(at)), best], 0, 1)
                 for i, j in zip(at, best.tolist(), strict=True):
                     langs[i] = model.labels[j]
-        known = np.array([x != "und" for x in langs], bool)
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
              pa.array(~known | (scores < model.min_score), pa.bool_())], ["lang", "score", "rejected"])

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkflow.llm import topk
+from linkflow.llm import lm, topk
 from linkflow.llm.common import documents, train_split
 from linkflow.llm.langid import identify
 from linkflow.llm.mixing import mix
@@ -82,3 +82,8 @@ def exact_topk_search(spark, sf_dir):
 @query("op4_language_id")
 def language_id(spark, sf_dir):
     return identify(documents(spark, sf_dir, "doc_id", "text", "lang"), train_split(F.col("doc_id"), 4, 2))
+
+
+@query("op2_lm_scoring")
+def lm_scoring(spark, sf_dir):
+    return lm.score(documents(spark, sf_dir, "doc_id", "text"), train_split(F.col("doc_id"), 7, 2))
