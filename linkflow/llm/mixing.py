@@ -132,6 +132,40 @@ def _plan(group: pd.DataFrame) -> pd.DataFrame:
     return group.drop(columns="n")
 
 
+_SOURCE = ["no_source", "source_key"]
+_LENGTH = [*_SOURCE, "size"]
+
+
+def _keyed(df: DataFrame, text: str, source: str) -> DataFrame:
+    """Adds the non-null source key, null last, and the size."""
+    return df.withColumns({"no_source": F.col(source).isNull(),
+                           "source_key": F.coalesce(F.col(source).cast("string"), F.lit("")),
+                           "size": n_words(F.col(text))})
+
+
+def plan(keyed: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+    """For each length of each source: its target, how often all documents are
+    taken (``whole``), and how many of them once more (``more``)."""
+    histogram = saved(keyed.groupBy(*_LENGTH).agg(F.count(F.lit(1)).alias("n")), "mixing-lengths")
+    sizes = histogram.groupBy(*_SOURCE).agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    joined = histogram.join(targets(sizes, weights, share, limit), _SOURCE)
+    schema = ("no_source boolean, source_key string, size bigint, source_size bigint, target double, "
+              "whole int, more bigint")
+    return saved(joined.groupBy(*_SOURCE).applyInPandas(_plan, schema), "mixing-plan")
+
+
+def _taken(keyed: DataFrame, planned: DataFrame, ident: list[str], seed: int) -> DataFrame:
+    """Adds ``copies``: how often the mix has the document.
+
+    The documents of a length are taken in the order of a seeded hash, which
+    also deals a frequent length over the tasks.
+    """
+    dealt = keyed.withColumn("order__", F.xxhash64(F.lit(seed), *ident))
+    rows = ranked(dealt, _LENGTH, ["order__", *ident], "rank__", carry=planned)
+    more = F.when(F.col("rank__") < F.col("more"), 1).otherwise(0)
+    return rows.withColumn("copies", F.col("whole") + more)
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 42) -> DataFrame:
     """(id, size, source_size, target, taken) of every row.
@@ -143,23 +177,27 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     Null and empty texts have size 0 and none taken.  A null source is a source
     of its own, the last.  Null or repeated ids and repeated rows are documents
     of their own; equal rows are interchangeable, so one of them may be taken
-    more often than the other.  Sources with equal size keep code point order.
-    An empty table gives no rows.  Other columns are not read.
+    more often than the other.  An empty table gives no rows.  Other columns
+    are not read.
     """
-    narrow = saved(df.select(
-        F.col(id_col).alias("id__"), F.col(source_col).isNull().alias("no_source"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source_key"),
-        n_words(F.col(text_col)).alias("size")), "mixing-sizes")
-    source, length = ["no_source", "source_key"], ["no_source", "source_key", "size"]
-    histogram = saved(narrow.groupBy(*length).agg(F.count(F.lit(1)).alias("n")), "mixing-lengths")
-    sizes = histogram.groupBy(*source).agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    planned = histogram.join(targets(sizes, weights, share, limit), source)
-    schema = ("no_source boolean, source_key string, size bigint, source_size bigint, target double, "
-              "whole int, more bigint")
-    plan = saved(planned.groupBy(*source).applyInPandas(_plan, schema), "mixing-plan")
-    # the seeded order: by hash, which also deals a frequent length over the tasks
-    dealt = narrow.withColumn("order__", F.xxhash64(F.lit(seed), F.col("id__")))
-    rows = ranked(dealt, length, ["order__", "id__"], "rank__", carry=plan)
-    copies = F.col("whole") + F.when(F.col("rank__") < F.col("more"), 1).otherwise(0)
-    return rows.select(F.col("id__").alias(id_col), "size", "source_size", "target",
-                       (F.col("size") * copies).cast("bigint").alias("taken"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    narrow = saved(_keyed(rows, "text", "source").select("id", *_LENGTH), "mixing-sizes")
+    out = _taken(narrow, plan(narrow, weights, share, limit), ["id"], seed)
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
+                      (F.col("size") * F.col("copies")).cast("bigint").alias("taken"))
+
+
+def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 42) -> DataFrame:
+    """The rows of ``df`` as often as ``mix`` takes them, all columns as they are.
+
+    Documents without a word are in the mix as often as their source as a
+    whole, so a source below its target keeps them.
+    """
+    inner = {c: f"c{i}__" for i, c in enumerate(df.columns)}  # free for names of our own
+    rows = _keyed(df.toDF(*inner.values()), inner[text_col], inner[source_col]) \
+        .withColumn("hash__", F.xxhash64(inner[text_col]))
+    out = _taken(rows, plan(rows, weights, share, limit), [inner[id_col], "hash__"], seed)
+    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return out.filter("copies > 0").withColumn("copy__", each) \
+        .select(*[F.col(v).alias(k) for k, v in inner.items()])

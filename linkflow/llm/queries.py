@@ -17,6 +17,7 @@ from linkflow.llm.common import documents, train_split
 from linkflow.llm.langid import identify
 from linkflow.llm.mixing import mix
 from linkflow.llm.packing import pack
+from linkflow.llm.quality import classify
 from linkflow.llm.rules import quality_rules
 from linkflow.llm.secret_scan import scan
 from linkflow.llm.simhash import near_duplicates
@@ -31,18 +32,26 @@ SQL: dict[str, str] = {}
 ARROW_BYTES = "8m"
 
 
+def configured(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators rely on."""
+    prepare_session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare_session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
-            return fn(spark, sf_dir)
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: fn(configured(spark), sf_dir)
         if sql:
             SQL[name] = sql
         return fn
     return register
 
 
+@query("op1_quality_classifier")
+def quality_classifier(spark, sf_dir):
+    return classify(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @query("op5_best_fit_packing")
 def best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir, "doc_id", "text"))
