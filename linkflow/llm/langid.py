@@ -5,7 +5,8 @@ byte pairs and triples are counted in ``DIMS`` hashed dimensions.  Its vector
 has (1 + log count) * idf, scaled to length one.  Each language has several
 centroids, found by clustering its documents, and a text gets the language of
 the centroid with the largest cosine.  A text too far from every centroid is
-rejected.
+rejected; as short texts of a language are far from its centroids too, the
+limit rises with the number of different n-grams.
 
 Learning covers all training documents: their document frequencies give the
 idf, and every one of them moves its nearest centroid of its language.  Only
@@ -39,6 +40,10 @@ class Model:
     idf: np.ndarray
     min_score: float
 
+    def least(self, n_grams: np.ndarray) -> np.ndarray:
+        """The cosine that texts with so many different n-grams need."""
+        return self.min_score * (0.15 + 0.85 * (1 - np.exp(-n_grams / 100)))
+
 
 def counts(text: str) -> np.ndarray | None:
     """Hashed n-gram counts of a text; None if it has no letter."""
@@ -71,22 +76,24 @@ def vectors(rows: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
 def cluster(v: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     """Unit centroids of at most ``k`` spherical clusters of unit rows.
 
-    Starts with the row nearest to the mean, then rows farthest from those
-    chosen; ties go to the first row.
+    Starts with the row nearest to the mean, then rows drawn (seeded) by their
+    distance from those chosen.  Clusters of less than a fiftieth of the
+    rows are outliers (wrong labels, junk) and go.
     """
+    rng = np.random.default_rng(42)
     chosen = [int(np.argmax(v @ v.mean(axis=0)))]
     while len(chosen) < min(k, len(v)):
-        near = (v @ v[chosen].T).max(axis=1)
-        far = int(np.argmin(near))
-        if near[far] > 1 - 1e-6:  # the rest are copies
+        far = np.maximum(1 - (v @ v[chosen].T).max(axis=1), 0).astype(np.float64)
+        if far.max() < 1e-6:  # the rest are copies
             break
-        chosen.append(far)
+        chosen.append(int(rng.choice(len(v), p=far / far.sum())))
     centroids = v[chosen]
     for _ in range(rounds):
         own = np.argmax(v @ centroids.T, axis=1)
         sums = np.stack([v[own == j].sum(axis=0) if (own == j).any() else c for j, c in enumerate(centroids)])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centroids
+    sizes = np.bincount(np.argmax(v @ centroids.T, axis=1), minlength=len(centroids))
+    return centroids[sizes >= max(1, len(v) / 50)]
 
 
 def _document_frequencies(texts: Column, train: DataFrame) -> tuple[np.ndarray, int]:
@@ -166,7 +173,7 @@ def _moved_centroids(train: DataFrame, labels: list[str], centroids: np.ndarray,
 
 def train_model(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
                 lang_col: str = "lang", per_lang: int = 4, sample_per_lang: int = 256,
-                min_score: float = 0.05) -> Model:
+                min_score: float = 0.15) -> Model:
     """Learns from the rows of ``df`` where ``learn`` holds and the language is known.
 
     What reaches the driver is bounded by ``DIMS``, the languages and
@@ -188,7 +195,7 @@ def predict(text: Column, model: Model) -> Column:
 
     ``score``: the largest cosine, 0 to 1.  A null text, one without a letter
     and any text under a model without a language are ``und`` with score 0 and
-    rejected; others are rejected below the model's ``min_score``.
+    rejected; others are rejected below the cosine that their length needs.
     """
 
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
@@ -204,13 +211,13 @@ def predict(text: Column, model: Model) -> Column:
             if rows and model.labels:
                 near = vectors(rows, model.idf) @ model.centroids.T
                 best = np.argmax(near, axis=1)
-                known[at] = True
                 scores[at] = np.clip(near[np.arange(len(at)), best], 0, 1)
+                known[at] = scores[at] >= model.least(np.array([(c > 0).sum() for c in rows]))
                 for i, j in zip(at, best.tolist(), strict=True):
                     langs[i] = model.labels[j]
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-             pa.array(~known | (scores < model.min_score), pa.bool_())], ["lang", "score", "rejected"])
+             pa.array(~known, pa.bool_())], ["lang", "score", "rejected"])
 
     # evaluated once, not again for each field or filter
     return nearest.asNondeterministic()(text)

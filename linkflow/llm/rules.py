@@ -39,6 +39,8 @@ class Limits:
     words_from: int = 100          # words from which the word histogram is judged
     max_chars: float = 0.28        # largest class distance that is kept
     max_words: float = 0.45        # largest word distance that is kept
+    reference_docs: int = 20       # documents that a language needs for a reference,
+    reference_words: int = 1000    # and words
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -113,29 +115,35 @@ def base_columns(text: Column, w: Column) -> list[Column]:
 def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> list[dict]:
     """Per language: class shares, and the shares of its common words.
 
-    Measured over all documents; those without a language make a reference of
-    their own.  One row per language and ``top_words`` words for each reach
-    the driver.  Words are pre-aggregated in the scan's tasks.
+    Measured over all documents.  A language with too few documents or words
+    has none, so that a rare or wrong label is not its own measure; if no
+    language has enough, all documents make one.  One row per language and
+    ``top_words`` words for each reach the driver: languages are codes, a
+    bounded set.  Words are pre-aggregated in the scan's tasks.
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__")
     text = F.coalesce(F.col(text_col), F.lit(""))
     classes = df.select(lang, class_counts(text).alias("c"), F.size(words(text)).alias("n"))
-    sums = classes.groupBy("lang__").agg(
-        F.sum("n").alias("n"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(N_CLASSES)])
+    figures = [F.count(F.lit(1)), F.sum("n"), *[F.sum(F.col("c")[i]) for i in range(N_CLASSES)]]
+    sums = {r[0]: list(r)[1:] for r in classes.groupBy("lang__").agg(*figures).collect()}
+    enough = sorted(k for k, v in sums.items()
+                    if k and v[0] >= limits.reference_docs and v[1] >= limits.reference_words)
+    if not enough:
+        sums = {"": [sum(x) for x in zip(*sums.values(), strict=True)]}
+        lang, enough = F.lit("").alias("lang__"), [k for k, v in sums.items() if v and v[1]]
     short = df.select(lang, F.explode(words(F.lower(text))).alias("w")) \
-        .filter(F.length("w") <= limits.max_word_chars)
+        .filter(F.col("lang__").isin(enough) & (F.length("w") <= limits.max_word_chars))
     order = Window.partitionBy("lang__").orderBy(F.desc("k"), "w")
     common = short.groupBy("lang__", "w").agg(F.count(F.lit(1)).alias("k")) \
         .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= limits.top_words)
     found: dict[str, list] = {}
-    for r in common.collect():
+    for r in common.collect() if enough else []:
         found.setdefault(r["lang__"], []).append((r["w"], r["k"]))
     out = []
-    for r in sums.orderBy("lang__").collect():
-        chars = sum(r[f"c{i}"] for i in range(N_CLASSES))
-        if chars and r["n"]:
-            out.append({"lang": r["lang__"], "classes": [r[f"c{i}"] / chars for i in range(N_CLASSES)],
-                        "words": {w: k / r["n"] for w, k in sorted(found.get(r["lang__"], []))}})
+    for k in enough:
+        _, n, *chars = sums[k]
+        out.append({"lang": k, "classes": [c / sum(chars) for c in chars],
+                    "words": {w: m / n for w, m in sorted(found.get(k, []))}})
     return out
 
 
