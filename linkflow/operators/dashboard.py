@@ -44,11 +44,23 @@ def anchored(frame: DataFrame, window_minutes: int = DEFAULT_WINDOW_MINUTES) ->
     return df.filter(F.col("interval_start") >= latest - F.make_interval(mins=F.lit(window_minutes)))
 
 
-def window_frame(obs: DataFrame, row_limit: int | None = DEFAULT_ROW_LIMIT,
+def window_frame(obs: DataFrame, row_limit: int | None = None,
                  window_minutes: int = DEFAULT_WINDOW_MINUTES) -> DataFrame:
+    if row_limit is None and "interval_day" in obs.columns:
+        obs = _recent_days(obs, window_minutes)
     return anchored(newest(obs, row_limit), window_minutes)
 
 
+def _recent_days(obs: DataFrame, window_minutes: int) -> DataFrame:
+    """The day partitions that a window before the latest interval touches.
+
+    The latest interval is found in the newest day, so neither step reads the
+    history."""
+    last_day = obs.select(F.max("interval_day")).scalar()
+    latest = obs.filter(F.col("interval_day") == last_day).select(F.max("interval_start")).scalar()
+    return obs.filter(F.col("interval_day") >= F.to_date(latest - F.make_interval(mins=F.lit(window_minutes))))
+
+
 def kpi_traffic(window: DataFrame) -> DataFrame:
     """latest interval, rows, distinct links, mean delay of the window (the
     window always contains the latest interval of the loaded frame)."""
@@ -61,7 +73,9 @@ def kpi_traffic(window: DataFrame) -> DataFrame:
 
 
 def delay_over_time(window: DataFrame) -> DataFrame:
-    return window.groupBy("interval_start").agg(round6(F.avg("delay_seconds")).alias("avg_delay"))
+    """The series in time order."""
+    return window.groupBy("interval_start").agg(round6(F.avg("delay_seconds")).alias("avg_delay")) \
+                 .orderBy("interval_start")
 
 
 def latest_by_road(window: DataFrame) -> DataFrame:
@@ -101,12 +115,14 @@ def kpi_monitor(window: DataFrame) -> DataFrame:
 
 
 def records_per_5m(mon: DataFrame) -> DataFrame:
-    return mon.groupBy(epoch_bucket("dumped_at", 5).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    """The series in time order."""
+    return mon.groupBy(epoch_bucket("dumped_at", 5).alias("bucket")).agg(F.count(F.lit(1)).alias("n")) \
+              .orderBy("bucket")
 
 
 def partition_distribution(mon: DataFrame) -> DataFrame:
-    return mon.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+    return mon.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).orderBy("partition")
 
 
 def max_offset_by_partition(mon: DataFrame) -> DataFrame:
-    return mon.groupBy("partition").agg(F.max("offset").alias("max_offset"))
+    return mon.groupBy("partition").agg(F.max("offset").alias("max_offset")).orderBy("partition")

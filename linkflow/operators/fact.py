@@ -80,9 +80,10 @@ def _with_dim(df: DataFrame, dim: DataFrame) -> DataFrame:
 def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, typed: DataFrame | None = None,
                        bronze_match: str = "all", skew_split: bool = True) -> DataFrame:
     """25-column fact.  ``dedup_w`` is ``silver_dedup_wide`` (carries the
-    winner's metrics and dumped_at, used by ``latest`` mode).  With
-    ``skew_split=False`` (streams: AQE does not re-plan micro-batches) the
-    bronze side is a plain left join."""
+    winner's metrics and dumped_at, used by ``latest`` mode).  The left join
+    with bronze is an inner join, whose hot keys AQE can split on either side,
+    and the keys without a match; ``skew_split=False`` (a streaming dedup
+    side, which cannot be read twice) makes it one left join."""
     s = dedup_w.select(*_S_COLS, *PROVIDER_METRICS, "dumped_at")
     if bronze_match == "latest":
         return _finish(_with_dim(s, dim))

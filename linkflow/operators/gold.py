@@ -44,9 +44,16 @@ def monitor_base(typed: DataFrame) -> DataFrame:
 
 def monitor(base: DataFrame, width: str = MONITOR_WINDOW,
             partitions: Sequence[int] = MONITOR_PARTITIONS,
-            keep_struct: bool = False, publish: bool = True) -> DataFrame:
+            keep_struct: bool = False, publish: bool = True, watermark: str | None = None) -> DataFrame:
     """Tumbling landing-time windows: records, per-partition counts and max
-    offsets, producer->dump and event->dump latency (whole seconds)."""
+    offsets, producer->dump and event->dump latency (whole seconds).
+
+    ``watermark`` bounds a stream's state: a window closes when no later
+    landing can reach it.  Without it every window stays in state.  The
+    partition columns are those of ``partitions``; ``monitor_partitions`` has a
+    row for every partition that occurs."""
+    if watermark is not None:
+        base = base.withWatermark("dumped_at", watermark)
     lat_ing = epoch_seconds("dumped_at") - epoch_seconds("ingested_at")
     lat_evt = epoch_seconds("dumped_at") - epoch_seconds("interval_start")
     aggs = [F.count(F.lit(1)).alias("records_processed")]
@@ -75,3 +82,11 @@ def monitor(base: DataFrame, width: str = MONITOR_WINDOW,
     cols += [a1.alias("avg_ingest_to_dump_latency_seconds"), "max_ingest_to_dump_latency_seconds",
              a2.alias("avg_event_to_dump_latency_seconds"), "max_event_to_dump_latency_seconds"]
     return g.select(*cols)
+
+
+def monitor_partitions(base: DataFrame, width: str = MONITOR_WINDOW) -> DataFrame:
+    """Records and max offset per landing-time window and topic partition,
+    whatever partitions the topic has."""
+    g = base.groupBy(F.window("dumped_at", width).alias("w"), "partition").agg(
+        F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset"))
+    return g.select(to_ntz("w.start").alias("window_start"), "partition", "n", "max_offset")

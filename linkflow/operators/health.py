@@ -44,7 +44,7 @@ def recent(dump: DataFrame, since_minutes: int | None = DEFAULT_SINCE_MINUTES,
 def buckets(df: DataFrame, minutes: int = DEFAULT_BUCKET_MINUTES) -> DataFrame:
     """Messages per ``minutes`` bucket floored within the UTC hour."""
     return (df.groupBy(hour_local_bucket("dumped_at_ts", minutes).alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(F.count(F.lit(1)).alias("n")).orderBy("bucket"))
 
 
 def top_keys(df: DataFrame, k: int = TOP_KEYS) -> DataFrame:
@@ -61,7 +61,7 @@ def max_offsets(df: DataFrame) -> DataFrame:
     typed = df.select(tcast(F.col("partition").cast("string"), "int").alias("partition"),
                       tcast(F.col("offset").cast("string"), "bigint").alias("offset"))
     return (typed.filter(F.col("partition").isNotNull() & F.col("offset").isNotNull())
-                 .groupBy("partition").agg(F.max("offset").alias("max_offset")))
+                 .groupBy("partition").agg(F.max("offset").alias("max_offset")).orderBy("partition"))
 
 
 def summary(df: DataFrame) -> DataFrame:

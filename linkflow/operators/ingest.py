@@ -24,8 +24,23 @@ def _is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def _is_array(text: Column) -> Column:
-    return F.coalesce(F.ltrim(text).startswith("["), F.lit(False))
+def _kind(text: Column, path: str = "$") -> Column:
+    """JSON type at ``path``: ARRAY, OBJECT, STRING, BIGINT, ... (NULL if absent).
+
+    A string is a string, whatever its text looks like."""
+    found = F.try_variant_get(F.try_parse_json(text), path, "variant")
+    return F.regexp_extract(F.schema_of_variant(found), "^[A-Z]+", 0)
+
+
+def _objects(text: Column, path: str) -> Column:
+    """(pos, record) of the object items of the list at ``path``; the record's
+    JSON text is kept as it is."""
+    items = F.from_json(text if path == "$" else F.get_json_object(text, path), T.ArrayType(T.StringType()))
+    kinds = F.transform(F.try_variant_get(F.try_parse_json(text), path, "array<variant>"),
+                        lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    tagged = F.transform(items, lambda t, i: F.struct(i.alias("pos"), t.alias("record"),
+                                                      F.coalesce(F.get(kinds, i), F.lit(False)).alias("ok")))
+    return F.filter(tagged, lambda x: x["ok"])
 
 
 def extract_records(responses: DataFrame, body: str = "body",
@@ -39,14 +54,12 @@ def extract_records(responses: DataFrame, body: str = "body",
     (JSON text).
     """
     b = F.col(body)
-    as_list = F.from_json(b, T.ArrayType(T.StringType()))
-    items = F.when(_is_array(b), as_list)
+    whole = F.array(F.struct(F.lit(0).alias("pos"), b.alias("record"), F.lit(True).alias("ok")))
+    items = F.when(_kind(b) == "ARRAY", _objects(b, "$"))
     for k in RECORD_LIST_KEYS:
-        v = F.get_json_object(b, f"$.{k}")
-        items = items.when(_is_object(b) & _is_array(v), F.from_json(v, T.ArrayType(T.StringType())))
-    items = items.when(_is_object(b), F.array(b))
-    exploded = responses.select(*keep, F.posexplode(items).alias("pos", "record"))
-    return exploded.filter(_is_object(F.col("record")))
+        items = items.when(_kind(b, f"$.{k}") == "ARRAY", _objects(b, f"$.{k}"))
+    items = items.when(_is_object(b), whole)
+    return responses.select(*keep, F.explode(items).alias("r")).select(*keep, "r.pos", "r.record")
 
 
 def guess_key(record: Column) -> Column:
@@ -59,8 +72,9 @@ def guess_key(record: Column) -> Column:
         field = F.try_variant_get(v, f"$.{k}", "variant")
         kind = F.schema_of_variant(field)
         text = F.get_json_object(record, f"$.{k}")
+        # integers beyond 64 bits are decimals or doubles by type; their token has digits only
         cand = (F.when(kind == "BOOLEAN", F.initcap(text))
-                 .when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "STRING"), text))
+                 .when((kind == "STRING") | (kind.rlike("INT|DECIMAL|DOUBLE") & text.rlike("^-?[0-9]+$")), text))
         out = cand if out is None else F.coalesce(out, cand)
     return out
 
@@ -164,6 +178,7 @@ def schema_hints(dump: DataFrame) -> DataFrame:
     env = value_text(dump)
     payload = F.get_json_object(env, "$.payload")
     stats = F.get_json_object(payload, "$.latest_stats")
+    inner = _kind(env, "$.payload")  # a string that holds JSON is not an object
 
     def tagged(level: str, keys: Column) -> Column:
         return F.transform(F.coalesce(keys, F.array().cast("array<string>")),
@@ -172,12 +187,13 @@ def schema_hints(dump: DataFrame) -> DataFrame:
     keys = F.concat(
         F.array(F.struct(F.lit("messages").alias("level"), F.lit("seen").alias("key"))),
         tagged("top", F.json_object_keys(env)),
-        tagged("payload", F.when(_is_object(env), F.json_object_keys(payload))),
-        tagged("latest_stats", F.when(_is_object(env) & _is_object(payload), F.json_object_keys(stats))),
+        tagged("payload", F.when(inner == "OBJECT", F.json_object_keys(payload))),
+        tagged("latest_stats", F.when((inner == "OBJECT") & (_kind(payload, "$.latest_stats") == "OBJECT"),
+                                      F.json_object_keys(stats))),
     )
     return (dump.select(F.explode(keys).alias("h"))
                 .groupBy(F.col("h.level").alias("level"), F.col("h.key").alias("key"))
-                .agg(F.count(F.lit(1)).alias("n")))
+                .agg(F.count(F.lit(1)).alias("n")).orderBy("level", F.desc("n"), "key"))
 
 
 def json_key_counts(df: DataFrame, text_col: str, level: str) -> DataFrame:

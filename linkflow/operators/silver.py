@@ -24,6 +24,9 @@ EXTRACT_COLUMNS = (
     "ignored", "closed", "expected_missing", "length_m", "minimum_tt_seconds",
 )
 
+# Flags that take a record out of the live set when TRUE.
+HIDING_FLAGS = ("draft", "ignored", "closed", "expected_missing")
+
 SILVER_COLUMNS = EXTRACT_COLUMNS + (
     "dumped_at", "travel_time_minutes", "free_flow_speed_kmh", "potential_incident",
 )
@@ -45,14 +48,8 @@ def extract(typed: DataFrame) -> DataFrame:
 def live_filter(df: DataFrame) -> DataFrame:
     """enabled is TRUE and none of draft/ignored/closed/expected_missing is
     TRUE (NULL counts as FALSE there; a NULL ``enabled`` is dropped)."""
-    off = F.lit(False)
-    return df.filter(
-        (F.col("enabled") == F.lit(True))
-        & (F.coalesce("draft", off) == off)
-        & (F.coalesce("ignored", off) == off)
-        & (F.coalesce("closed", off) == off)
-        & (F.coalesce("expected_missing", off) == off)
-    )
+    hidden = F.array_contains(F.array(*HIDING_FLAGS), True)
+    return df.filter("enabled").filter(~F.coalesce(hidden, F.lit(False)))
 
 
 def free_flow_speed_kmh() -> Column:
@@ -115,9 +112,9 @@ def silver_dedup(silver_w: DataFrame) -> DataFrame:
 
 
 def congestion_flag() -> Column:
-    """speed and free flow known and speed below 30 % of free flow."""
-    speed, ff = F.col("speed_kmh"), F.col("free_flow_speed_kmh")
-    return speed.isNotNull() & ff.isNotNull() & (speed < F.lit(CONGESTION_RATIO) * ff)
+    """The share of free flow that is driven is below 30 %; an unknown share is not."""
+    slow = F.col("speed_kmh") < F.col("free_flow_speed_kmh") * CONGESTION_RATIO
+    return F.coalesce(slow, F.lit(False))
 
 
 def silver_strict(typed: DataFrame) -> DataFrame:

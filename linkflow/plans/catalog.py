@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from linkflow.operators import bronze as br
 from linkflow.operators import dashboard as db
+from linkflow.operators import gold as gd
 from linkflow.operators import health as hl
 from linkflow.operators import ingest as ig
 from linkflow.operators import load as ld
@@ -122,6 +123,11 @@ def q_monitor_5m(spark, sf_dir):
     return _layers(spark, sf_dir).monitor()
 
 
+@query("monitor_partitions")
+def q_monitor_partitions(spark, sf_dir):
+    return gd.monitor_partitions(gd.monitor_base(_layers(spark, sf_dir).typed))
+
+
 # --------------------------------------------------------------- ingest shapes
 def _land(spark, sf_dir, variant, with_bad=False, extra_topic=False) -> str:
     """Land the fixture dump as JSON-lines batches in a fresh scratch folder."""
@@ -182,18 +188,23 @@ def q_kafka_out_frame(spark, sf_dir):
 @query("land_dump")
 def q_land_dump(spark, sf_dir):
     """Kafka rows landed as JSON lines (dumped_at = broker time + offset % 97 s
-    here, for a deterministic result; live landing uses the current time),
-    read back and summarised per partition."""
+    here, for a deterministic result; live landing uses the current time)
+    and read back."""
     from linkflow.sources import jsonl
     rows = fx.kafka_rows(fx.events(spark, sf_dir))
     landed = jsonl.landing_frame(rows, F.col("timestamp") + F.make_interval(
         secs=(F.col("offset") % 97).cast("decimal(18,6)")))
     folder = scratch_path(spark, "landing")
     jsonl.land_dump(landed, folder, f"{fx.TOPIC}_0001.jsonl")
-    back = jsonl.read_jsonl_dump(spark, folder, topic=fx.TOPIC)
-    return (back.groupBy(F.col("partition").try_cast("int").alias("partition"))
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.max(F.col("offset").try_cast("bigint")).alias("max_offset")))
+    return publish(landed_values(jsonl.read_jsonl_dump(spark, folder, topic=fx.TOPIC))
+                   .withColumn("dumped_at", F.col("dumped_at").try_cast("timestamp")))
+
+
+def landed_values(dump: DataFrame) -> DataFrame:
+    """What came back from a landing folder, with a field of the value."""
+    return dump.select(F.col("partition").try_cast("int").alias("partition"),
+                       F.col("offset").try_cast("bigint").alias("offset"), "key",
+                       F.get_json_object("value", "$.payload.id").try_cast("int").alias("link_id"), "dumped_at")
 
 
 @query("extract_records")
@@ -255,8 +266,9 @@ def q_load_insert_or_ignore(spark, sf_dir):
 def q_load_summary(spark, sf_dir):
     from linkflow.sources import jsonl
     folder = _land(spark, sf_dir, "replays")
+    jsonl.write_jsonl(fx.bad_lines(fx.events(spark, sf_dir)), folder, f"{fx.TOPIC}_0005.jsonl")
     d = jsonl.read_jsonl_dump(spark, folder, with_file=True)
-    return ld.load_summary(d)
+    return ld.load_summary(d, jsonl.landed_files(spark, folder))
 
 
 @query("bronze_upsert")
@@ -333,7 +345,7 @@ def q_dash_recent(spark, sf_dir):
 
 @query("dash_window")
 def q_dash_window(spark, sf_dir):
-    return publish(db.window_frame(_obs(spark, sf_dir), db.DEFAULT_ROW_LIMIT, db.DEFAULT_WINDOW_MINUTES))
+    return publish(db.window_frame(_obs(spark, sf_dir), window_minutes=db.DEFAULT_WINDOW_MINUTES))
 
 
 @query("recent_50")

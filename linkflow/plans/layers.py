@@ -43,11 +43,12 @@ def publish(df: DataFrame) -> DataFrame:
 class Layers:
     """Lazily composed layer frames over one source dump.
 
-    With ``materialize=True`` the typed bronze frame (the input every later
-    layer shares) is written once as a parquet table in the shared scratch
-    folder and read back, so a plan that uses it several times (the fact
-    reads it for silver, the dimension and the bronze join) parses the JSON
-    once and reads pruned columns afterwards.
+    With ``materialize=True`` the typed bronze frame and the de-duplicated
+    silver (what later layers share) are written once as parquet tables in the
+    shared scratch folder and read back, so a plan that uses them several times
+    (the fact reads typed bronze for silver, the dimension and the bronze join,
+    and the winners for both branches of its union) parses the JSON once,
+    de-duplicates once and reads pruned columns afterwards.
     """
 
     def __init__(self, spark: SparkSession, dump: DataFrame, unit_fix: bool = False,
@@ -79,11 +80,13 @@ class Layers:
 
     @cached_property
     def typed(self) -> DataFrame:
-        t = br.typed(self.bronze_env)
+        return self._shared("bronze-typed", br.typed(self.bronze_env))
+
+    def _shared(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
-            return t
-        path = scratch_path(self.spark, "bronze-typed")
-        t.write.parquet(path)
+            return df
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
         return self.spark.read.parquet(path)
 
     @cached_property
@@ -96,7 +99,7 @@ class Layers:
 
     @cached_property
     def dedup_wide(self) -> DataFrame:
-        return sv.silver_dedup_wide(self.silver_wide)
+        return self._shared("silver-dedup", sv.silver_dedup_wide(self.silver_wide))
 
     @cached_property
     def silver_dedup(self) -> DataFrame:
@@ -145,13 +148,15 @@ def run_batch(spark: SparkSession, dump: DataFrame, out_dir: str | None = None,
     # bronze keeps the raw envelope text (replayable); its typed form is an
     # internal table every later layer reads, so the JSON is parsed once
     b = write("traffic_bronze", br.bronze(dump))
+    # (the published bronze has the envelope as text, so this is its one parse)
     t = write("traffic_bronze_typed", br.typed_from_table(b))
     s = write("traffic_silver", sv.silver_wide(t))
     d = write("traffic_silver_dedup", sv.silver_dedup_wide(s))
     dim = write("dim_link", dm.dim_link(t))
     fact = ft.fact_link_interval(d, dim, t, bronze_match)
-    fact = write("fact_link_interval", fact.withColumn("interval_day", F.to_date("interval_start")),
-                 partition_by="interval_day")
+    # a day's rows meet in few files; large days are split
+    by_day = fact.withColumn("interval_day", F.to_date("interval_start")).hint("rebalance", "interval_day")
+    fact = write("fact_link_interval", by_day, partition_by="interval_day")
     write("fact_kafka_monitor_5m", gd.monitor(gd.monitor_base(t), keep_struct=True))
     write("traffic_delay_agg", gd.delay_sliding(fact, publish=False))
     return paths

@@ -9,6 +9,8 @@ averages rounded to 6 decimals, counts cast to BIGINT.
 
 from __future__ import annotations
 
+from linkflow.operators.silver import HIDING_FLAGS
+
 # The dump mapping as columns (one row per event).
 EV = """
 ev AS (
@@ -59,6 +61,9 @@ dump AS (
   FROM ev
 )"""
 
+# The live set: enabled, and no flag says otherwise.
+LIVE = " AND ".join(["enabled"] + [f"{flag} IS NOT TRUE" for flag in HIDING_FLAGS])
+
 # Silver semantics over the dump (live filter, derived measures, guards).
 SILVER = """
 derived AS (
@@ -77,8 +82,7 @@ flagged AS (
 ),
 live AS (
   SELECT * FROM flagged
-  WHERE enabled = true AND COALESCE(draft, false) = false AND COALESCE(ignored, false) = false
-    AND COALESCE(closed, false) = false AND COALESCE(expected_missing, false) = false
+  WHERE """ + LIVE + """
 ),
 silver AS (
   SELECT * FROM live
@@ -102,8 +106,7 @@ strict AS (
   SELECT *, COALESCE(name, public_name) AS road_name_fb,
          COALESCE(interval_start, ingested_at) AS event_time
   FROM flagged
-  WHERE enabled = true AND COALESCE(draft, false) = false AND COALESCE(ignored, false) = false
-    AND COALESCE(closed, false) = false AND COALESCE(expected_missing, false) = false
+  WHERE """ + LIVE + """
     AND enough_data = true AND delay_seconds > 60.0
 )"""
 
@@ -248,6 +251,11 @@ SELECT time_bucket(INTERVAL 5 MINUTE, dumped_at) AS window_start,
 FROM dump
 GROUP BY 1, 2"""
 
+SQL["monitor_partitions"] = BASE + """
+SELECT time_bucket(INTERVAL 5 MINUTE, dumped_at) AS window_start, "partition", count(*) AS n,
+       max("offset") AS max_offset
+FROM dump GROUP BY 1, 2"""
+
 # ------------------------------------------------------------------ ingest shapes
 SQL["scan_jsonl_dump"] = BASE + """
 SELECT topic, "partition", "offset", kafka_key AS key, dumped_at FROM dump"""
@@ -267,14 +275,15 @@ FROM dump"""
 SQL["kafka_out_frame"] = BASE + """
 SELECT CAST(link AS VARCHAR) AS key, link AS link_id, 'travel_time_api' AS source_type FROM ev"""
 
-# raw responses by event_id % 5: 0 [rec, 7]; 1 data:[rec]; 2 items:[rec, rec]; 3 rec; 4 results:[]
+# raw responses by event_id % 8: 0 [rec, 7]; 1 data:[rec]; 2 items:[rec, rec]; 3 rec; 4 results:[];
+# 5 rec with data: "[1]"; 6 ["{...}", rec]; 7 rec with a link_id beyond 64 bits
 RESPONSES = """
 WITH r AS (
   SELECT event_id, user_id,
-         CASE event_id % 5 WHEN 2 THEN 2 WHEN 4 THEN 0 ELSE 1 END AS cnt
+         CASE event_id % 8 WHEN 2 THEN 2 WHEN 4 THEN 0 ELSE 1 END AS cnt
   FROM events
 ), recs AS (
-  SELECT event_id, user_id, unnest(range(cnt)) AS pos FROM r
+  SELECT event_id, user_id, unnest(range(cnt)) + CASE event_id % 8 WHEN 6 THEN 1 ELSE 0 END AS pos FROM r
 )"""
 
 SQL["extract_records"] = RESPONSES + """
@@ -285,7 +294,8 @@ FROM recs"""
 # key field by event_id % 4: link_id int, linkId text, id float (skipped), ID int
 SQL["guess_key"] = RESPONSES + """
 SELECT event_id AS response_id, CAST(pos AS INTEGER) AS pos,
-       CASE WHEN event_id % 4 = 2 THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS key
+       CASE WHEN event_id % 8 = 7 THEN '12345678901234567890'
+            WHEN event_id % 4 = 2 THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS key
 FROM recs"""
 
 SQL["build_envelope"] = """
@@ -335,7 +345,7 @@ SQL["load_insert_or_ignore"] = BASE + """
 SELECT topic, "partition", "offset", dumped_at FROM dump"""
 
 SQL["load_summary"] = """
-SELECT CAST(4 AS BIGINT) AS files, count(*) AS inserted FROM events"""
+SELECT CAST(5 AS BIGINT) AS files, count(*) AS inserted FROM events"""
 
 SQL["bronze_upsert"] = BASE + """
 SELECT topic, "partition", "offset", dumped_at FROM dump"""
@@ -403,8 +413,8 @@ DASH = BASE + """
 ), newest AS (
   SELECT * FROM frame ORDER BY interval_start DESC NULLS LAST, topic, "partition", "offset" LIMIT 1000
 ), win60 AS (
-  SELECT * FROM newest WHERE interval_start IS NOT NULL
-    AND interval_start >= (SELECT max(interval_start) FROM newest) - INTERVAL 60 MINUTE
+  SELECT * FROM frame WHERE interval_start IS NOT NULL
+    AND interval_start >= (SELECT max(interval_start) FROM frame) - INTERVAL 60 MINUTE
 ), win AS (
   SELECT * FROM frame WHERE interval_start IS NOT NULL
     AND interval_start >= (SELECT max(interval_start) FROM frame) - INTERVAL 240 MINUTE
@@ -486,6 +496,27 @@ FROM w
 WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(event_time) FROM sd) - INTERVAL 30 MINUTE
 GROUP BY window_start, road_name"""
 
-SQL["land_dump"] = """
-SELECT CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS n, max(event_id) AS max_offset
-FROM events GROUP BY 1"""
+SQL["land_dump"] = BASE + """
+SELECT "partition", "offset", CASE WHEN event_id % 25 = 0 THEN NULL ELSE kafka_key END AS key, link_id, dumped_at
+FROM dump"""
+SQL["stream_land_dump"] = BASE + """
+SELECT "partition", "offset", CASE WHEN event_id % 25 = 0 THEN NULL ELSE kafka_key END AS key, link_id
+FROM dump"""
+
+# the last fifth of the landing-time span comes before the fifth in front of
+# it; what ends at or before max(dumped_at) - 30 minutes is emitted
+SQL["stream_late_drop"] = BASE + """
+, span AS (
+  SELECT epoch_us(min(dumped_at)) AS lo, epoch_us(max(dumped_at)) AS hi, max(dumped_at) AS last FROM dump
+), kept AS (
+  SELECT dumped_at FROM dump, span
+  WHERE epoch_us(dumped_at) < lo + CAST(floor((hi - lo) * 6 / 10) AS BIGINT)
+     OR epoch_us(dumped_at) >= lo + CAST(floor((hi - lo) * 8 / 10) AS BIGINT)
+)
+SELECT time_bucket(INTERVAL 5 MINUTE, dumped_at) AS window_start, count(*) AS n
+FROM kept GROUP BY 1
+HAVING time_bucket(INTERVAL 5 MINUTE, dumped_at) + INTERVAL 5 MINUTE <= (SELECT last FROM span) - INTERVAL 30 MINUTE"""
+SQL["stream_fact_upsert"] = SQL["fact_link_interval"]
+SQL["stream_dedup_bounded"] = SQL["stream_dedup"]
+SQL["stream_monitor_watermarked"] = "SELECT * FROM (" + SQL["monitor_5m"] + """)
+WHERE window_end <= (SELECT max(ts + to_seconds(event_id % 97)) FROM events) - INTERVAL 30 MINUTE"""

@@ -77,13 +77,16 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (must be on shared storage).
-    Only when the session has none (local runs and tests) a private
-    directory is created and registered as the checkpoint directory.
+    Only a local session (tests) that has none gets a private directory,
+    registered as the checkpoint directory; on a cluster executors would not
+    share it, so there the setting is required.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="linkflow-ckpt-")
         sc.setCheckpointDir(d)

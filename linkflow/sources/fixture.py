@@ -42,22 +42,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table, spread over the cluster when its files scan into
-    fewer partitions than there are task slots (a single-row-group file is
-    one task).  Every dump derivation is per-row JSON work, so this is a
-    cheap shuffle of the narrow raw rows that buys full parallelism; a
-    large input already scans into many splits and is left as it is."""
-    ev = read_table(spark, sf_dir, "events")
-    return spread(ev, "event_id")
-
+    """The events table, dealt over the shuffle partitions by ``event_id``.
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on a unique key when the scan is under-parallel.
-    Hash (not round-robin) keeps a retried task's output identical."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, key)
+    Every dump derivation is per-row JSON work, so this shuffle of the narrow
+    raw rows (one row group may be the whole file) is the same cheap step at
+    every size.  Hash, not round-robin, keeps a retried task's output identical."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
 
 
 def base(ev: DataFrame) -> DataFrame:
@@ -215,10 +206,16 @@ def dump_strict_input(ev: DataFrame) -> DataFrame:
     return clean.unionByName(clean.filter(F.col("offset") % 10 == 0))
 
 
+#: An integer beyond 64 bits.
+BIG_ID = "12345678901234567890"
+
+
 def raw_responses(ev: DataFrame) -> DataFrame:
-    """Raw API response bodies (one per event), chosen by event_id % 5:
+    """Raw API response bodies (one per event), chosen by event_id % 8:
     0 bare list of one record and one number; 1 {"data":[rec]};
-    2 {"items":[rec, rec]}; 3 the record itself; 4 {"results":[]}.
+    2 {"items":[rec, rec]}; 3 the record itself; 4 {"results":[]};
+    5 a record whose ``data`` is the string "[1]"; 6 a list of a string that
+    holds JSON and a record; 7 a record with a link_id beyond 64 bits.
     The record's key field is chosen by event_id % 4: link_id (int),
     linkId (text), id (float), ID (int)."""
     link = _link()
@@ -231,12 +228,15 @@ def raw_responses(ev: DataFrame) -> DataFrame:
         F.concat(F.lit("road-"), link.cast("string")).alias("name"),
         F.col("value").alias("speed"),
     ))
-    m = F.col("event_id") % 5
+    m = F.col("event_id") % 8
     body = (
         F.when(m == 0, F.concat(F.lit("["), rec, F.lit(",7]")))
         .when(m == 1, F.concat(F.lit('{"data":['), rec, F.lit("]}")))
         .when(m == 2, F.concat(F.lit('{"items":['), rec, F.lit(","), rec, F.lit("]}")))
         .when(m == 3, rec)
+        .when(m == 5, F.concat(F.lit('{"data":"[1]",'), F.substr(rec, F.lit(2))))
+        .when(m == 6, F.concat(F.lit('["{\\"id\\":1}",'), rec, F.lit("]")))
+        .when(m == 7, F.concat(F.lit('{"link_id":' + BIG_ID + ',"name":"road-'), link.cast("string"), F.lit('"}')))
         .otherwise(F.lit('{"results":[]}'))
     )
     return base(ev).select(F.col("event_id").alias("response_id"), body.alias("body"),

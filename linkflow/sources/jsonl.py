@@ -80,11 +80,31 @@ def read_jsonl_dump(spark: SparkSession, folder: str, topic: str | None = None,
     prepare_session(spark)
     raw = spark.read.text(dump_glob(folder, topic))
     if with_file:
-        raw = raw.withColumn("source_file", F.regexp_extract(
-            F.col("_metadata.file_path"), r"([^/]+\.jsonl)(/[^/]*)?$", 1))
+        raw = raw.withColumn("source_file", _batch_name(F.col("_metadata.file_path")))
     return parse_dump_lines(raw)
 
 
+def _batch_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+\.jsonl)(/[^/]*)?$", 1)
+
+
+def landed_files(spark: SparkSession, folder: str, topic: str | None = None) -> DataFrame:
+    """``source_file`` of every landing file, from the listing alone (no
+    content is read), so files without a valid line count too."""
+    files = spark.read.format("binaryFile").load(dump_glob(folder, topic)).select("path")
+    return files.select(_batch_name(F.col("path")).alias("source_file")).distinct()
+
+
+def land_batches(folder: str, topic: str):
+    """``foreachBatch`` callback that lands Kafka rows as JSON-lines batches.
+
+    A retried micro-batch overwrites its own batch, so lines land once."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        land_dump(landing_frame(batch), folder, f"{topic}_{batch_id:08d}.jsonl")
+
+    return fn
+
+
 def landing_frame(kafka_rows: DataFrame, dumped_at: Column | None = None) -> DataFrame:
     """Kafka source rows -> dump records: decoded key/value, ``[type, ms]``
     timestamp, ``value_json`` (the value when it is a JSON object, else

@@ -9,6 +9,7 @@ offset, timestamp, timestampType).
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ ENV_SETTINGS = {
     "KAFKA_SASL_MECHANISM": "sasl.mechanism",
 }
 EXTRA_PREFIX = "KAFKA_EXTRA_CONFIG__"
+LOGIN = {"username": "KAFKA_SASL_USERNAME", "password": "KAFKA_SASL_PASSWORD"}
+LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
+ON = "1|true|yes|y"
 DEFAULT_BOOTSTRAP = "localhost:9092"
 
 
@@ -34,18 +38,22 @@ def kafka_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
     for var, key in ENV_SETTINGS.items():
         if env.get(var):
             opts[f"kafka.{key}"] = env[var]
-    user, pwd = env.get("KAFKA_SASL_USERNAME"), env.get("KAFKA_SASL_PASSWORD")
-    if user and pwd:
-        opts["kafka.sasl.jaas.config"] = (
-            "org.apache.kafka.common.security.plain.PlainLoginModule required "
-            f'username="{user}" password="{pwd}";')
-    if env.get("KAFKA_ENABLE_IDEMPOTENCE", "true").lower() in {"1", "true", "yes", "y"}:
+    login = {name: env.get(var) for name, var in LOGIN.items()}
+    if all(login.values()):
+        entry = " ".join(f'{name}="{_jaas_text(value)}"' for name, value in login.items())
+        opts["kafka.sasl.jaas.config"] = f"{LOGIN_MODULE} required {entry};"
+    elif any(login.values()):
+        raise ValueError(f"{' and '.join(LOGIN.values())} go together; only one is set")
+    if re.fullmatch(ON, env.get("KAFKA_ENABLE_IDEMPOTENCE", "true"), re.IGNORECASE):
         opts["kafka.enable.idempotence"] = "true"
-    for var, val in env.items():
-        if var.startswith(EXTRA_PREFIX):
-            key = var[len(EXTRA_PREFIX):].replace("__", ".")
-            opts[f"kafka.{key}"] = val
-    return opts
+    extra = {f"kafka.{var.removeprefix(EXTRA_PREFIX)}".replace("__", "."): value
+             for var, value in env.items() if var.startswith(EXTRA_PREFIX)}
+    return opts | extra
+
+
+def _jaas_text(value: str) -> str:
+    """A value for a quoted JAAS string."""
+    return value.replace("\\", "\\\\").replace('"', '\\"')
 
 
 def read_topic(spark: SparkSession, topic: str, options: Mapping[str, str] | None = None,

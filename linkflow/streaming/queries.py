@@ -29,6 +29,9 @@ STREAM_QUERIES: dict = {}
 # Lateness allowed by the strict aggregate.
 WATERMARK = "30 minutes"
 
+# Trigger interval of the layers that run side by side here (production: minutes).
+EVERY = "0 seconds"
+
 DEDUP_KEYS = ["link_id", "interval_start"]
 DEDUP_ORDER = ["dumped_at", "topic", "partition", "offset"]
 
@@ -45,11 +48,12 @@ def land_parquet(batch: DataFrame, folder: str) -> None:
     batch.write.mode("append").parquet(folder)
 
 
-def source_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(folder)
+#: Files of a micro-batch: a backlog is worked off in bounded batches.
+MAX_FILES = 1000
+
+
+def source_stream(spark: SparkSession, folder: str, schema, max_files: int = MAX_FILES) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
 # ------------------------------------------------------------------ bronze
@@ -149,25 +153,31 @@ def q_stream_silver_dedup(spark, sf_dir):
 @stream_query("stream_layered")
 def q_stream_layered(spark, sf_dir):
     """One checkpointed query per layer, each reading the previous layer's
-    table: dump -> bronze -> silver -> silver_dedup, in two landing steps."""
+    table, running side by side: dump -> bronze -> silver -> silver_dedup, in
+    two landing steps.  A layer starts once the table that it reads is there."""
     ws = rn.Workspace(spark, "layered")
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src = ws.path("source")
     b_t, s_t, d_t = ws.path("bronze"), ws.path("silver"), ws.path("silver_dedup")
     fn = rn.latest_batches(d_t, DEDUP_KEYS, DEDUP_ORDER)
     bronze_schema = spark.createDataFrame([], br.bronze(dump).schema).schema
-    silver_schema = None
-    for r in (0, 1):
-        land_parquet(dump.filter(F.col("offset") % 2 == r), src)
-        rn.append_parquet(br.bronze(source_stream(spark, src, dump.schema)), b_t,
-                          ws.checkpoint("bronze"), "layer-bronze")
-        b_stream = spark.readStream.schema(bronze_schema).parquet(b_t)
-        rn.append_parquet(sv.silver_wide(br.typed_from_table(b_stream)), s_t, ws.checkpoint("silver"),
-                          "layer-silver")
-        if silver_schema is None:
-            silver_schema = spark.read.parquet(s_t).schema
-        s_stream = spark.readStream.schema(silver_schema).parquet(s_t)
-        rn.foreach_batch(s_stream, fn, ws.checkpoint("dedup"), "layer-dedup")
+    running = []
+    try:
+        land_parquet(dump.filter(F.col("offset") % 2 == 0), src)
+        running.append(rn.append_parquet(br.bronze(source_stream(spark, src, dump.schema)), b_t,
+                                         ws.checkpoint("bronze"), "layer-bronze", every=EVERY))
+        rn.drain(*running)
+        b_stream = source_stream(spark, b_t, bronze_schema)
+        running.append(rn.append_parquet(sv.silver_wide(br.typed_from_table(b_stream)), s_t,
+                                         ws.checkpoint("silver"), "layer-silver", every=EVERY))
+        rn.drain(*running)
+        s_stream = source_stream(spark, s_t, spark.read.parquet(s_t).schema)
+        running.append(rn.foreach_batch(s_stream, fn, ws.checkpoint("dedup"), "layer-dedup", every=EVERY))
+        land_parquet(dump.filter(F.col("offset") % 2 == 1), src)
+        rn.drain(*running)
+    finally:
+        for q in running:
+            q.stop()
     return publish(rn.latest_view(spark, d_t, DEDUP_KEYS, DEDUP_ORDER).select(*sv.DEDUP_COLUMNS))
 
 
@@ -189,6 +199,23 @@ def q_stream_dedup(spark, sf_dir):
     return publish(spark.read.parquet(target).select(*DEDUP_KEYS))
 
 
+@stream_query("stream_dedup_bounded")
+def q_stream_dedup_bounded(spark, sf_dir):
+    """The same with a watermark ahead of the de-duplication: a key leaves the
+    state once the watermark has passed it.  Landed in time order."""
+    ws = rn.Workspace(spark, "dedup-bounded")
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    t = F.unix_micros(F.col("dumped_at").try_cast("timestamp"))
+    middle = dump.select(F.floor((F.min(t) + F.max(t)) / 2)).scalar()
+    src, target = ws.path("source"), ws.path("strict")
+    for step in (dump.filter(t < middle), dump.filter(t >= middle)):
+        land_parquet(step.coalesce(8), src)
+        strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, dump.schema)))
+        out = dedup_stream(strict, watermark="2 hours").select(*DEDUP_KEYS, "event_time", "offset")
+        rn.append_parquet(out, target, ws.checkpoint("strict"), "strict-dedup-bounded")
+    return publish(spark.read.parquet(target).select(*DEDUP_KEYS))
+
+
 def dedup_stream(stream: DataFrame, keys=DEDUP_KEYS, watermark: str | None = None,
                  time_col: str = "event_time") -> DataFrame:
     """Streaming de-duplication on ``keys``, first arrival wins.
@@ -216,11 +243,8 @@ def strict_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delay_watermarked(strict_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Dedup, then watermark on event time, then sliding-window mean delay
     (append mode emits a window once the watermark passes its end)."""
-    d = dedup_stream(strict_stream).withWatermark("event_time", watermark)
-    g = d.groupBy(F.window("event_time", gd.DELAY_WINDOW, gd.DELAY_SLIDE).alias("w"), "road_name") \
-         .agg(F.avg("delay_seconds").alias("avg_delay_seconds"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "road_name", "avg_delay_seconds")
+    marked = dedup_stream(strict_stream).withWatermark("event_time", watermark)
+    return gd.delay_sliding(marked, time_col="event_time", publish=False)
 
 
 @stream_query("stream_delay_sliding")
@@ -266,7 +290,10 @@ def q_stream_monitor_5m(spark, sf_dir):
                        publish=False)
         rn.foreach_batch(m, rn.complete_batches(target), ws.checkpoint("monitor"), "monitor-5m",
                          output_mode="complete")
-    t = rn.complete_view(spark, target)
+    return _published_monitor(rn.complete_view(spark, target))
+
+
+def _published_monitor(t: DataFrame) -> DataFrame:
     return t.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
                     *[c for c in t.columns if c not in ("window_start", "window_end")
                       and not c.startswith("avg_")],
@@ -274,6 +301,86 @@ def q_stream_monitor_5m(spark, sf_dir):
                     round6("avg_event_to_dump_latency_seconds").alias("avg_event_to_dump_latency_seconds"))
 
 
+@stream_query("stream_monitor_watermarked")
+def q_stream_monitor_watermarked(spark, sf_dir):
+    """The monitor with a watermark, in append mode: closed windows only, state
+    bounded by the watermark."""
+    ws = rn.Workspace(spark, "monitor-watermarked")
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    src, target = ws.path("source"), ws.path("monitor")
+    land_parquet(dump.coalesce(8), src)
+    typed = br.bronze_typed(source_stream(spark, src, dump.schema))
+    m = gd.monitor(gd.monitor_base(typed), publish=False, watermark=WATERMARK)
+    rn.append_parquet(m, target, ws.checkpoint("monitor"), "monitor-watermarked")
+    return _published_monitor(spark.read.parquet(target))
+
+
+# ------------------------------------------------------------------ landing
+@stream_query("stream_land_dump")
+def q_stream_land_dump(spark, sf_dir):
+    """A stream of Kafka-shaped rows landed as JSON lines, two steps, read back."""
+    from linkflow.plans.catalog import landed_values
+    ws = rn.Workspace(spark, "land")
+    rows = fx.kafka_rows(fx.events(spark, sf_dir))
+    src, folder = ws.path("source"), ws.path("landing")
+    for r in (0, 1):
+        land_parquet(rows.filter(F.col("offset") % 2 == r), src)
+        rn.foreach_batch(source_stream(spark, src, rows.schema), jsonl.land_batches(folder, fx.TOPIC),
+                         ws.checkpoint("land"), "land-dump")
+    return landed_values(jsonl.read_jsonl_dump(spark, folder, topic=fx.TOPIC)).drop("dumped_at")
+
+
+# ------------------------------------------------------------------ incremental fact
+class FactTables:
+    """Typed bronze by day, the dimension's winners, and the fact by day.
+
+    Each micro-batch adds its typed rows, then rebuilds the days that it
+    touched, from those days of typed bronze alone: a re-published record
+    rebuilds its key with the new winner.  Every write replaces its own
+    partitions, so a retried batch changes nothing.  A dimension change
+    reaches the days rebuilt from then on.
+    """
+
+    DIM_KEYS, DIM_ORDER = ["link_id"], ["dumped_at", "topic", "partition", "offset"]
+
+    def __init__(self, root: str):
+        self.typed, self.dim, self.fact = f"{root}/typed", f"{root}/dim", f"{root}/fact"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = f"{self.typed}/{rn.BATCH_COL}={batch_id}"
+        typed = br.bronze_typed(batch).withColumn("interval_day", F.to_date("interval_start"))
+        typed.hint("rebalance", "interval_day").write.mode("overwrite").partitionBy("interval_day").parquet(mine)
+        landed = spark.read.parquet(mine)
+        rn.latest_batches(self.dim, self.DIM_KEYS, self.DIM_ORDER)(landed.filter("has_link_id"), batch_id)
+        # the days between the oldest and the newest landing: bounded by the time span
+        days = [r[0] for r in landed.select("interval_day").distinct().collect() if r[0] is not None]
+        if days:
+            self.rebuilt(spark, days, batch_id).hint("rebalance", "interval_day").write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("interval_day").parquet(self.fact)
+
+    def rebuilt(self, spark: SparkSession, days: list, batch_id: int) -> DataFrame:
+        """The fact of some days, from the batches up to ``batch_id``."""
+        table = spark.read.parquet(self.typed)
+        typed = table.filter((F.col(rn.BATCH_COL) <= batch_id) & F.col("interval_day").isin(days))
+        dim = dm.dim_link(rn.latest_view(spark, self.dim, self.DIM_KEYS, self.DIM_ORDER))
+        dedup = sv.silver_dedup_wide(sv.silver_wide(typed))
+        return ft.fact_link_interval(dedup, dim, typed, "all").withColumn("interval_day", F.to_date("interval_start"))
+
+
+@stream_query("stream_fact_upsert")
+def q_stream_fact_upsert(spark, sf_dir):
+    """The fact kept up to date by micro-batches; the second step holds later
+    records of the same keys, so winners change."""
+    ws = rn.Workspace(spark, "fact-upsert")
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    src, tables = ws.path("source"), FactTables(ws.path("tables"))
+    for r in (1, 0):
+        land_parquet(dump.filter(F.col("offset") % 2 == r), src)
+        rn.foreach_batch(source_stream(spark, src, dump.schema), tables, ws.checkpoint("fact"), "fact-upsert")
+    return publish(spark.read.parquet(tables.fact).drop("interval_day"))
+
+
 # ------------------------------------------------------------------ stream-static fact
 @stream_query("stream_fact")
 def q_stream_fact(spark, sf_dir):
@@ -298,9 +405,10 @@ def q_stream_fact(spark, sf_dir):
 # ------------------------------------------------------------------ late data
 @stream_query("stream_late_drop")
 def q_stream_late_drop(spark, sf_dir):
-    """Events landed out of order (first 60 % by time, then the last 20 %,
-    then the middle 20 %): with a 30-minute watermark the late rows are
-    dropped; counts per 5-minute landing window of what was kept."""
+    """Events landed out of order (the first 60 % of the landing-time span,
+    then the last 20 %, then what lies between, each in one micro-batch): with
+    a 30-minute watermark the late rows are dropped; counts per 5-minute
+    landing window of what was kept."""
     out, _, _ = late_drop_run(spark, sf_dir)
     return out
 
@@ -312,16 +420,15 @@ def late_drop_run(spark: SparkSession, sf_dir: str, count_late: bool = False) ->
     ws = rn.Workspace(spark, "late")
     ev = fx.events(spark, sf_dir)
     dump = fx.dump_clean(ev)
-    q = ev.select(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), [0.6, 0.8], 10000)
-                  .alias("q"))
-    cut60, cut80 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
-    t = F.col("dumped_at").try_cast("timestamp").cast("double")
+    t = F.unix_micros(F.col("dumped_at").try_cast("timestamp"))
+    span = dump.agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
+    cut60, cut80 = (span.select(F.col("lo") + F.floor((F.col("hi") - F.col("lo")) * n / 10)).scalar() for n in (6, 8))
     src, target = ws.path("source"), ws.path("counts")
     dropped = 0
     steps = [dump.filter(t < cut60), dump.filter(t >= cut80), dump.filter((t >= cut60) & (t < cut80))]
     schema = dump.schema
     for step in steps:
-        land_parquet(step, src)
+        land_parquet(step.coalesce(8), src)
         b = br.bronze(source_stream(spark, src, schema)).withWatermark("dumped_at", WATERMARK)
         agg = b.groupBy(F.window("dumped_at", "5 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
         agg = agg.select(F.col("w.start").alias("window_start"), "n")

@@ -36,32 +36,45 @@ class Workspace:
         return f"{self.root}/_checkpoints/{name}"
 
 
-def run_available(writer, checkpoint: str, query_name: str | None = None,
-                  timeout_s: float | None = 600) -> StreamingQuery:
-    """Start a query with ``trigger(availableNow=True)`` and wait for it:
-    everything available is processed (in as many micro-batches as the
-    source limits allow), then the query stops.  Rerunning with the same
-    checkpoint resumes after the last committed batch."""
-    w = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+def run(writer, checkpoint: str, query_name: str | None = None,
+        every: str | None = None) -> StreamingQuery:
+    """Start a query.
+
+    ``every=None`` uses ``trigger(availableNow=True)`` and waits until all that
+    is available is processed, in as many micro-batches as the source limits
+    allow, however long it takes.  With ``every`` (a processing-time interval
+    such as ``"300 seconds"``) the query runs on and is returned while active.
+    Rerunning with the same checkpoint resumes after the last committed batch.
+    """
+    w = writer.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    q = w.start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {query_name or checkpoint} did not finish")
+    if every is not None:
+        return w.trigger(processingTime=every).start()
+    q = w.trigger(availableNow=True).start()
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
 
 
+def drain(*queries: StreamingQuery) -> None:
+    """Wait until each running query, in the given order, has processed what is available."""
+    for q in queries:
+        q.processAllAvailable()
+
+
 def append_parquet(stream: DataFrame, target: str, checkpoint: str, query_name: str | None = None,
-                   partition_by: Sequence[str] = ()) -> StreamingQuery:
+                   partition_by: Sequence[str] = (), every: str | None = None) -> StreamingQuery:
     """Append-mode file sink (exactly-once through its metadata log)."""
     w = stream.writeStream.format("parquet").outputMode("append").option("path", target)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    return run_available(w, checkpoint, query_name)
+    return run(w, checkpoint, query_name, every)
+
+
+#: Error conditions of a table that nothing was written to yet.
+NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -71,8 +84,10 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         if schema is not None:
             r = r.schema(schema)
         return r.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in NOT_THERE:
+            return None
+        raise
 
 
 def _write_batch(df: DataFrame, target: str, batch_id: int) -> None:
@@ -229,6 +244,6 @@ def complete_view(spark: SparkSession, target: str) -> DataFrame:
 
 
 def foreach_batch(stream: DataFrame, fn, checkpoint: str, query_name: str | None = None,
-                  output_mode: str = "append") -> StreamingQuery:
+                  output_mode: str = "append", every: str | None = None) -> StreamingQuery:
     w = stream.writeStream.outputMode(output_mode).foreachBatch(fn)
-    return run_available(w, checkpoint, query_name)
+    return run(w, checkpoint, query_name, every)

@@ -3,10 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from linkflow.plans.catalog import QUERIES
+from linkflow.plans.oracle import SQL
+from linkflow.streaming.queries import STREAM_QUERIES
 from tests.conftest import SF_SMALL
 from tools.compare import same
 
-TWINS = sorted(E.oracle_sql())
+TWINS = sorted(SQL)
 
 
 @pytest.mark.parametrize("name", TWINS)
@@ -20,8 +23,7 @@ def test_query_matches_sql_twin(spark, duck, name):
 def test_every_query_registered_and_twinned_or_rows_only():
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
-    rows_only = set(qs) - set(E.oracle_sql())
-    assert rows_only == {"stream_late_drop"}
+    assert set(QUERIES) | set(STREAM_QUERIES) == set(SQL) <= set(qs)
 
 
 def test_entry_smoke(spark):

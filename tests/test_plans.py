@@ -6,9 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from linkflow.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
-BATCH = sorted(n for n in E.queries() if not n.startswith("stream_"))
+BATCH = sorted(QUERIES)
 
 
 def plan_of(df) -> str:
@@ -34,3 +35,24 @@ def test_envelope_parsed_once_per_row(spark):
     plan = plan_of(E.queries()["silver"](spark, SF_SMALL))
     assert plan.count("from_json(") == 1
     assert "CollectMetrics" in plan  # the observed row guards fence the parse
+
+
+def test_fact_deduplicates_once(spark):
+    """The union's branches read the winners' table; typed bronze is scanned at most three times."""
+    plan = plan_of(E.queries()["fact_link_interval"](spark, SF_SMALL))
+    assert "max_by" not in plan.split("silver-dedup")[0] or plan.count("silver-dedup") >= 2
+    assert plan.count("bronze-typed") <= 3 and plan.count("silver-dedup") == 2
+
+
+@pytest.mark.parametrize("name", ["dash_window", "kpi_traffic", "delay_over_time", "latest_by_road"])
+def test_window_queries_prune_days(spark, name):
+    plan = plan_of(E.queries()[name](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(interval_day" in plan
+
+
+@pytest.mark.parametrize("name,column", [("delay_over_time", "interval_start"), ("records_per_5m", "bucket"),
+                                         ("partition_distribution", "partition"), ("dash_max_offsets", "partition"),
+                                         ("dump_buckets_5m", "bucket")])
+def test_series_come_in_order(spark, name, column):
+    got = [r[column] for r in E.queries()[name](spark, SF_SMALL).collect()]
+    assert got == sorted(got) and got

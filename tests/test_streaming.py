@@ -1,5 +1,6 @@
 """Stream = batch under split, shuffled and replayed input; late data."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkflow.operators import bronze as br
@@ -126,3 +127,81 @@ def test_compacted_latest_view_equals_full_view(spark):
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     assert same(view.toPandas(), L.silver_dedup.toPandas())[0]
+
+
+def test_layers_run_side_by_side(spark, monkeypatch):
+    seen = []
+    drain = rn.drain
+    monkeypatch.setattr(rn, "drain", lambda *q: (seen.append(len(spark.streams.active)), drain(*q)))
+    sq.q_stream_layered(spark, SF_SMALL)
+    assert max(seen) == 3 and not spark.streams.active
+
+
+def test_processing_time_stream_picks_up_new_landings(spark):
+    ws = rn.Workspace(spark, "ticks")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    src, target = ws.path("src"), ws.path("t")
+    sq.land_parquet(dump.filter(F.col("offset") < 400), src)
+    q = rn.append_parquet(br.bronze(sq.source_stream(spark, src, dump.schema)), target, ws.checkpoint("t"),
+                          every="1 second")
+    try:
+        rn.drain(q)
+        assert spark.read.parquet(target).count() == dump.filter(F.col("offset") < 400).count()
+        sq.land_parquet(dump.filter(F.col("offset") >= 400), src)
+        rn.drain(q)
+        assert q.isActive and spark.read.parquet(target).count() == dump.count()
+    finally:
+        q.stop()
+
+
+def test_source_bounds_micro_batches(spark):
+    ws = rn.Workspace(spark, "bounds")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    src, target = ws.path("src"), ws.path("t")
+    sq.land_parquet(dump.repartition(4), src)
+    q = rn.append_parquet(br.bronze(sq.source_stream(spark, src, dump.schema, max_files=1)), target, ws.checkpoint("t"))
+    assert len([p for p in q.recentProgress if p.numInputRows]) == 4
+    assert spark.read.parquet(target).count() == dump.count()
+
+
+def test_fact_rebuild_reads_touched_days_of_typed_bronze(spark):
+    ws = rn.Workspace(spark, "fact-plan")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    tables = sq.FactTables(ws.path("tables"))
+    tables(dump.filter(F.col("offset") % 2 == 1), 0)
+    tables(dump.filter(F.col("offset") % 2 == 0), 1)
+    tables(dump.filter(F.col("offset") % 2 == 0), 1)  # a retried batch changes nothing
+    want = Layers(spark, dump).fact("all")
+    got = spark.read.parquet(tables.fact)
+    assert same(got.drop("interval_day").toPandas(), want.toPandas())[0]
+    day = got.select("interval_day").first()[0]
+    plan = tables.rebuilt(spark, [day], 1)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan
+    assert f"interval_day#" in plan and "PartitionFilters: [isnotnull(batch_id" in plan
+
+
+def test_dedup_state_stops_growing(spark):
+    """With the watermark, keys leave the state as event time moves on."""
+    ws = rn.Workspace(spark, "state")
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    t = F.unix_micros(F.col("dumped_at").try_cast("timestamp"))
+    lo, hi = dump.agg(F.min(t), F.max(t)).first()
+    src, target = ws.path("src"), ws.path("t")
+    states, keys = [], 0
+    for i in range(4):
+        step = dump.filter((t >= lo + (hi - lo) * i // 4) & (t < lo + (hi - lo) * (i + 1) // 4 + (i == 3)))
+        sq.land_parquet(step.coalesce(4), src)
+        strict = sv.silver_strict(br.bronze_typed(sq.source_stream(spark, src, dump.schema)))
+        out = sq.dedup_stream(strict, watermark="30 minutes").select(*sq.DEDUP_KEYS, "event_time")
+        q = rn.append_parquet(out, target, ws.checkpoint("t"))
+        states.append(q.recentProgress[-1].stateOperators[0].numRowsTotal)
+        keys = spark.read.parquet(target).count()
+    assert max(states) < keys / 2
+
+
+def test_missing_table_is_none_and_other_errors_are_raised(spark, tmp_path):
+    assert rn.read_table(spark, str(tmp_path / "nothing")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        rn.read_table(spark, str(tmp_path / "bad"))
