@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkflow.llm import lm, topk
-from linkflow.llm.common import documents, train_split
+from linkflow.llm.common import documents, ship_package, train_split
 from linkflow.llm.langid import identify
 from linkflow.llm.mixing import mix
 from linkflow.llm.packing import pack
@@ -35,6 +35,7 @@ ARROW_BYTES = "8m"
 def configured(spark: SparkSession) -> SparkSession:
     """The session with the settings that the operators rely on."""
     prepare_session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    ship_package(spark)
     return spark
 
 
