@@ -2,9 +2,9 @@
 
 The envelope is parsed once per row with ``from_json`` into a struct whose
 leaves are strings (see ``schemas.ENVELOPE_SCHEMA``); downstream layers
-``try_cast`` the leaves they need.  Catalyst prunes the parse schema to the
-fields actually referenced, so a layer that only needs two fields only
-materialises two.
+``try_cast`` the leaves they need.  The observed row guards fence the parse, so
+Catalyst does not prune its schema; what needs the two instants alone (the
+published table, the monitor) parses with ``schemas.TIMES_SCHEMA``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linkflow.functions.columns import tcast, to_ts
 from linkflow.operators.quality import expectation_report, guard
-from linkflow.schemas import ENVELOPE_SCHEMA
+from linkflow.schemas import ENVELOPE_SCHEMA, TIMES_SCHEMA
 
 ENV = "env"
 
@@ -32,10 +32,10 @@ def value_text(dump: DataFrame) -> Column:
     return F.col("value").cast("string")
 
 
-def bronze_columns(dump: DataFrame) -> DataFrame:
+def bronze_columns(dump: DataFrame, schema=ENVELOPE_SCHEMA) -> DataFrame:
     """Bronze projection plus the parsed envelope struct ``env``."""
     vs = value_text(dump)
-    env = F.from_json(vs, ENVELOPE_SCHEMA)
+    env = F.from_json(vs, schema)
     return dump.select(
         F.col("topic").cast("string").alias("topic"),
         tcast("partition", "int").alias("partition"),
@@ -63,14 +63,14 @@ def bronze_rules() -> dict[str, Column]:
     }
 
 
-def bronze_parsed(dump: DataFrame, null_passes: bool = False) -> DataFrame:
+def bronze_parsed(dump: DataFrame, null_passes: bool = False, schema=ENVELOPE_SCHEMA) -> DataFrame:
     """Guarded bronze rows with the parsed envelope kept for later layers."""
-    return guard(bronze_columns(dump), bronze_rules(), "bronze_expectations", null_passes)
+    return guard(bronze_columns(dump, schema), bronze_rules(), "bronze_expectations", null_passes)
 
 
 def bronze(dump: DataFrame, null_passes: bool = False) -> DataFrame:
     """The published bronze table (9 columns)."""
-    return bronze_parsed(dump, null_passes).select(*BRONZE_COLUMNS)
+    return bronze_parsed(dump, null_passes, TIMES_SCHEMA).select(*BRONZE_COLUMNS)
 
 
 P = f"{ENV}.payload"
@@ -136,4 +136,4 @@ def typed_from_table(bronze_table: DataFrame) -> DataFrame:
 
 def bronze_expectations(dump: DataFrame, null_passes: bool = False) -> DataFrame:
     """``rule, violations, kept`` for the bronze row guards."""
-    return expectation_report(bronze_columns(dump).drop(ENV), bronze_rules(), null_passes)
+    return expectation_report(bronze_columns(dump, TIMES_SCHEMA).drop(ENV), bronze_rules(), null_passes)

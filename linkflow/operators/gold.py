@@ -38,8 +38,9 @@ def delay_sliding(fact: DataFrame, size: str = DELAY_WINDOW, slide: str = DELAY_
                     avg.alias("avg_delay_seconds"))
 
 
-def monitor_base(typed: DataFrame) -> DataFrame:
-    return typed.select("dumped_at", "ingested_at", "interval_start", "partition", "offset")
+def monitor_base(bronze: DataFrame) -> DataFrame:
+    """The monitor's columns, of the published or the typed bronze."""
+    return bronze.select("dumped_at", "ingested_at", "interval_start", "partition", "offset")
 
 
 def monitor(base: DataFrame, width: str = MONITOR_WINDOW,

@@ -125,7 +125,7 @@ def q_monitor_5m(spark, sf_dir):
 
 @query("monitor_partitions")
 def q_monitor_partitions(spark, sf_dir):
-    return gd.monitor_partitions(gd.monitor_base(_layers(spark, sf_dir).typed))
+    return gd.monitor_partitions(gd.monitor_base(_layers(spark, sf_dir).bronze))
 
 
 # --------------------------------------------------------------- ingest shapes

@@ -61,6 +61,12 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("payload", PAYLOAD_SCHEMA),
 ])
 
+# The leaves that the published bronze table and the monitor read.
+TIMES_SCHEMA = T.StructType([
+    T.StructField("ingested_at", T.StringType()),
+    T.StructField("payload", T.StructType([T.StructField("latest_stats", T.StructType(_strings("interval_start")))])),
+])
+
 # Broker offsets per partition (for consumer lag).
 OFFSETS_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),

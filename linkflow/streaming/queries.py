@@ -286,7 +286,7 @@ def q_stream_monitor_5m(spark, sf_dir):
     src, target = ws.path("source"), ws.path("monitor")
     for r in (0, 1):
         land_parquet(dump.filter(F.col("offset") % 2 == r), src)
-        m = gd.monitor(gd.monitor_base(br.bronze_typed(source_stream(spark, src, dump.schema))),
+        m = gd.monitor(gd.monitor_base(br.bronze(source_stream(spark, src, dump.schema))),
                        publish=False)
         rn.foreach_batch(m, rn.complete_batches(target), ws.checkpoint("monitor"), "monitor-5m",
                          output_mode="complete")
@@ -309,8 +309,8 @@ def q_stream_monitor_watermarked(spark, sf_dir):
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src, target = ws.path("source"), ws.path("monitor")
     land_parquet(dump.coalesce(8), src)
-    typed = br.bronze_typed(source_stream(spark, src, dump.schema))
-    m = gd.monitor(gd.monitor_base(typed), publish=False, watermark=WATERMARK)
+    b = br.bronze(source_stream(spark, src, dump.schema))
+    m = gd.monitor(gd.monitor_base(b), publish=False, watermark=WATERMARK)
     rn.append_parquet(m, target, ws.checkpoint("monitor"), "monitor-watermarked")
     return _published_monitor(spark.read.parquet(target))
 

@@ -56,3 +56,9 @@ def test_window_queries_prune_days(spark, name):
 def test_series_come_in_order(spark, name, column):
     got = [r[column] for r in E.queries()[name](spark, SF_SMALL).collect()]
     assert got == sorted(got) and got
+
+
+def test_monitor_parses_two_leaves(spark):
+    plan = plan_of(E.queries()["monitor_5m"](spark, SF_SMALL))
+    assert "from_json(StructField(ingested_at,StringType,true), StructField(payload,StructType(StructField(" \
+           "latest_stats,StructType(StructField(interval_start,StringType,true)),true)),true)" in plan
