@@ -97,4 +97,23 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of :func:`scratch_root` for one run."""
     root = scratch_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_scratch: dict[str, list[str]] = {}
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application has made so far.
+
+    For the end of a job, or between jobs: frames that still read such a
+    folder (a query's lazy result) must have been used or written before.
+    Returns the number of folders deleted."""
+    sc = spark.sparkContext
+    n = 0
+    for p in _scratch.pop(sc.applicationId, []):
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        n += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return n

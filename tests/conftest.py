@@ -13,11 +13,12 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from linkflow.session import build_session
+    from linkflow.session import build_session, clear_scratch
     # scratch tables and stream checkpoints go to the session's
     # spark.checkpoint.dir; linkflow creates a private one only if unset
     s = build_session("local[4]", app_name="linkflow-tests", shuffle_partitions=4)
     yield s
+    clear_scratch(s)
     s.stop()
 
 

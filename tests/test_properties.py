@@ -71,3 +71,17 @@ def test_sliding_windows_cover_each_row_twice(spark):
     fact = L.fact("all").filter(F.col("interval_start").isNotNull())
     g = fact.groupBy(F.window("interval_start", gd.DELAY_WINDOW, gd.DELAY_SLIDE)).count()
     assert g.agg(F.sum("count")).first()[0] == 2 * fact.count()
+
+
+def test_clear_scratch_deletes_what_was_made(spark, tmp_path):
+    import os
+
+    from linkflow import session
+    before, session._scratch[spark.sparkContext.applicationId] = session._scratch.get(
+        spark.sparkContext.applicationId, []), []
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.clear_scratch(spark) == 1
+    assert not os.path.exists(path.removeprefix("file://"))
+    session._scratch[spark.sparkContext.applicationId] = before
