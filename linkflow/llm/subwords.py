@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text encoded at a time, and of a piece of a long text.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 PIECE_BYTES = 64 << 10
 
 # The pre-token pattern of the vocabularies that the route by
@@ -111,7 +111,7 @@ class Encoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order (uint32) and each text's bounds in them; null is empty."""
         flat, lengths = [], []
-        for part in by_bytes(texts, BATCH_BYTES // 8):
+        for part in by_bytes(texts, BATCH_BYTES // 2):
             pieces = [self._pieces(t or "") for t in part.to_pylist()]
             got = iter(self._batch([p for ps in pieces for p in ps]))
             for ps in pieces:
@@ -150,7 +150,7 @@ class WordEncoder(Encoder):
     reached, the memory is cleared and words are encoded again as they come.
     """
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 250_000):
         super().__init__(path)
         self.max_words = max_words
         self.plain = re.compile(PLAIN)
