@@ -140,11 +140,13 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300) ->
     return w
 
 
-def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_side: int = 2048) -> DataFrame:
-    """(id, weak_good, score, kept) of every row.
+def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_side: int = 2048,
+             with_votes: bool = False) -> DataFrame:
+    """(id, score, kept) of every row.
 
-    ``weak_good``: the label model's posterior from the votes; ``score``: the
-    scorer's P(good); ``kept``: the score is 0.5 or more.
+    ``score``: the scorer's P(good); ``kept``: the score is 0.5 or more.
+    ``with_votes`` adds ``weak_good``, the label model's posterior, for which
+    the labellers vote on all documents once more.
 
     Null and empty texts are like texts of white space: votes and features of
     the empty string.  Null or repeated ids and repeated rows give a row each.
@@ -156,8 +158,8 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
     judged = rows.withColumn("votes", votes(F.col("text")))
     counted = judged.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counted:
-        return rows.select(F.col("id").alias(id_col), F.lit(0.0).alias("weak_good"), F.lit(0.0).alias("score"),
-                           F.lit(False).alias("kept"))
+        weak = [F.lit(0.0).alias("weak_good")] if with_votes else []
+        return rows.select(F.col("id").alias(id_col), *weak, F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     counted.sort(key=lambda r: r["votes"])
     patterns, n = np.array([r["votes"] for r in counted]), np.array([r["n"] for r in counted], float)
     posterior = estimate(patterns, n).posterior(patterns)
@@ -166,7 +168,7 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
     code = lambda v: F.aggregate(v, F.lit(0), lambda a, x: a * 3 + x)
     numbers = patterns @ 3 ** np.arange(patterns.shape[1])[::-1]
     of = F.create_map(*[F.lit(x) for k, p in zip(numbers.tolist(), posterior.tolist(), strict=True) for x in (k, p)])
-    weak = judged.select("id", "text", let(code(F.col("votes")), lambda k: F.element_at(of, k)).alias("weak_good"))
+    weak_good = let(code(F.col("votes")), lambda k: F.element_at(of, k))
 
     @F.arrow_udf("binary")
     def hashed(texts: pa.Array) -> pa.Array:
@@ -178,7 +180,9 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
     share = [min(1 << 30, int((2 * per_side << 30) / max(1, s)) + 1) for s in sides.tolist()]
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     order = Window.partitionBy("good").orderBy("draw", "id")
-    sample = weak.withColumn("good", good).withColumn("draw", draw) \
+    drawn = rows.withColumn("draw", draw).filter(F.col("draw") < max(share))  # before the labellers vote
+    voted = drawn.withColumn("votes", votes(F.col("text")))
+    sample = voted.withColumn("weak_good", weak_good).withColumn("good", good) \
         .filter(F.col("draw") < F.when(F.col("good"), share[1]).otherwise(share[0])) \
         .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_side) \
         .select("good", "weak_good", "draw", hashed("text").alias("x"), F.lit(0).alias("all"))
@@ -197,5 +201,6 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
         out = [float(features((t.as_py() or "").encode()) @ w[:-1] + w[-1]) for t in texts]
         return pa.array(1 / (1 + np.exp(-np.clip(np.array(out, float), -50, 50))), pa.float64())
 
-    out = weak.select(F.col("id").alias(id_col), "weak_good", score("text").alias("score"))
+    weak = [weak_good.alias("weak_good")] if with_votes else []
+    out = (judged if with_votes else rows).select(F.col("id").alias(id_col), *weak, score("text").alias("score"))
     return out.withColumn("kept", F.col("score") >= 0.5)

@@ -186,7 +186,8 @@ def test_classifier_separates_junk(spark):
 
 def test_classifier_edges(spark):
     got = quality.classify(docs(spark))
-    assert got.columns == ["doc_id", "weak_good", "score", "kept"]
+    assert got.columns == ["doc_id", "score", "kept"]
+    assert quality.classify(docs(spark), with_votes=True).columns == ["doc_id", "weak_good", "score", "kept"]
     rows = got.collect()
     assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 for r in rows)
     assert quality.classify(docs(spark, [])).count() == 0
