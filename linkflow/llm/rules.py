@@ -1,7 +1,9 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 Each language's reference is measured over all of its documents: the shares of
-character classes, and the shares of its most frequent short words.  A
+character classes, and the shares of its words: a bin for each of the most
+frequent ones, and a bin for each band of the next ranks, doubling in width, so
+that most of the running text is in a bin and a short text still fills it.  A
 document's own shares are compared with every reference by Jensen-Shannon
 distance (base 2, 0 to 1), and the nearest reference counts, so a wrong or
 missing language label does no harm.  A histogram of too few characters or
@@ -13,13 +15,16 @@ three-word windows.
 
 from __future__ import annotations
 
+import json
+import math
 import string
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import GAPS, let, words
+from linkflow.llm.common import GAPS, let, saved, words
 
 # Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -33,8 +38,8 @@ class Limits:
 
     min_words: int = 50            # base rule: fewer words fail
     max_repeat_percent: int = 50   # base rule: more words in repeated windows fail
-    top_words: int = 32            # words per reference
-    max_word_chars: int = 5        # common words are short; longer ones count as "other"
+    top_words: int = 32            # words per reference with a bin of their own
+    band_words: int = 8192         # words per reference, those in bands of ranks included
     chars_from: int = 200          # characters from which the class histogram is judged
     words_from: int = 100          # words from which the word histogram is judged
     max_chars: float = 0.28        # largest class distance that is kept
@@ -112,13 +117,40 @@ def base_columns(text: Column, w: Column) -> list[Column]:
             n_repeat_words(w).cast("bigint").alias("n_repeat_words")]
 
 
+def _frequent(df: DataFrame, lang: Column, text: Column, enough: list[str], limits: Limits) -> dict[str, list]:
+    """Per language the (word, count) of its most frequent words, by count and then word.
+
+    The words of every count above the one at which ``band_words`` would be
+    passed, so at most that many; which count that is follows from the number
+    of words of each count, and no task sees a whole vocabulary.
+    """
+    counted = saved(df.select(lang, F.explode(words(F.lower(text))).alias("w")).filter(F.col("lang__").isin(enough))
+                    .groupBy("lang__", "w").agg(F.count(F.lit(1)).alias("k")), "rules-words")
+    held: dict[str, list] = {}
+    for r in counted.groupBy("lang__", "k").agg(F.count(F.lit(1)).alias("n")).collect():
+        held.setdefault(r["lang__"], []).append((r["k"], r["n"]))
+    chosen = F.lit(False)
+    for k, rows in held.items():
+        least, n = 0, 0
+        for count, more in sorted(rows, reverse=True):
+            n += more
+            if n > limits.band_words:
+                least = count
+                break
+        chosen = chosen | ((F.col("lang__") == k) & (F.col("k") > least))
+    found: dict[str, list] = {}
+    for r in counted.filter(chosen).collect():
+        found.setdefault(r["lang__"], []).append((r["w"], r["k"]))
+    return {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in found.items()}
+
+
 def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> list[dict]:
-    """Per language: class shares, and the shares of its common words.
+    """Per language: class shares, the shares of its common words, and its bands of the next ones.
 
     Measured over all documents.  A language with too few documents or words
     has none, so that a rare or wrong label is not its own measure; if no
     language has enough, all documents make one.  One row per language and
-    ``top_words`` words for each reach the driver: languages are codes, a
+    ``band_words`` words for each reach the driver: languages are codes, a
     bounded set.  Words are pre-aggregated in the scan's tasks.
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__")
@@ -131,22 +163,34 @@ def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> l
     if not enough:
         sums = {"": [sum(x) for x in zip(*sums.values(), strict=True)]}
         lang, enough = F.lit("").alias("lang__"), [k for k, v in sums.items() if v and v[1]]
-    short = df.select(lang, F.explode(words(F.lower(text))).alias("w")) \
-        .filter(F.col("lang__").isin(enough) & (F.length("w") <= limits.max_word_chars))
-    order = Window.partitionBy("lang__").orderBy(F.desc("k"), "w")
-    common = short.groupBy("lang__", "w").agg(F.count(F.lit(1)).alias("k")) \
-        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= limits.top_words)
-    found: dict[str, list] = {}
-    for r in common.collect() if enough else []:
-        found.setdefault(r["lang__"], []).append((r["w"], r["k"]))
+    found = _frequent(df, lang, text, enough, limits) if enough else {}
     out = []
     for k in enough:
         _, n, *chars = sums[k]
-        out.append({"lang": k, "classes": [c / sum(chars) for c in chars],
-                    "words": {w: m / n for w, m in sorted(found.get(k, []))}})
+        frequent = found.get(k, [])
+        top, rest = frequent[:limits.top_words], frequent[limits.top_words:]
+        # bands of top_words, twice as many, and so on
+        bands = {w: ((i // limits.top_words) + 1).bit_length() - 1 for i, (w, _) in enumerate(rest)}
+        masses = [0.0] * (max(bands.values(), default=-1) + 1)
+        for w, m in rest:
+            masses[bands[w]] += m / n
+        out.append(telling({"lang": k, "classes": [c / sum(chars) for c in chars],
+                            "words": {w: m / n for w, m in sorted(top)}, "bands": bands, "masses": masses}, limits))
     return out
 
 
+def telling(ref: dict, limits: Limits) -> dict:
+    """``ref``, without its words if a text with none of them would be within the limit.
+
+    That is so where words hardly repeat, as in scripts without spaces: word
+    shares tell nothing there.
+    """
+    q = max(0.0, 1.0 - sum(ref["words"].values()) - sum(ref["masses"]))
+    m = (1 + q) / 2
+    twice = (1 - q) - math.log2(m) + (q * math.log2(q / m) if q > 0 else 0.0)
+    return ref if math.sqrt(twice / 2) > limits.max_words else ref | {"words": {}, "bands": {}, "masses": []}
+
+
 def _term(p: Column, q: Column) -> Column:
     """A bin's part of twice the Jensen-Shannon divergence."""
     m = (p + q) / 2
@@ -171,45 +215,74 @@ def class_distance(counts: Column, refs: list[dict]) -> Column:
     return let(counts, measure)
 
 
-def _word_divergence(doc: Column, ref: dict[str, float]) -> Column:
-    """Twice the divergence of a document's (w, p) entries from a reference's words."""
-    shares = F.create_map(*[F.lit(x) for entry in ref.items() for x in entry])
-    mass = min(1.0, sum(ref.values()))
-    met = F.filter(F.transform(doc, lambda x: F.struct(
-        x["p"].alias("p"), F.element_at(shares, x["w"]).alias("q"))), lambda x: x["q"].isNotNull())
+def _bins(ref: dict) -> tuple[dict[str, int], list[float]]:
+    """A reference's word bins: the bin of each word, and the share of each bin."""
+    own = {w: i for i, w in enumerate(ref["words"])}
+    return (own | {w: len(own) + i for w, i in ref.get("bands", {}).items()},
+            [*ref["words"].values(), *ref.get("masses", [])])
+
+
+def _looked_up(table: dict[str, list]):
+    """A function from a word to its value in ``table``, null if it has none.
+
+    The table is one constant, an array of small maps at the checksum of the
+    word: a map of all words would be searched from end to end.
+    """
+    n = 1 << (2 * len(table)).bit_length()
+    cells: list[dict | None] = [None] * n
+    for w, v in table.items():
+        i = zlib.crc32(w.encode()) % n
+        cells[i] = (cells[i] or {}) | {w: v}
+    constant = F.from_json(F.lit(json.dumps(cells, ensure_ascii=False)), "array<map<string,array<int>>>")
+    return lambda w: F.element_at(F.get(constant, (F.crc32(w.cast("binary")) % n).cast("int")), w)
+
+
+def _word_divergence(doc: Column, shares: list[float]) -> Column:
+    """Twice the divergence of a document's (b, p) entries from the shares of a reference's bins."""
+    mass = min(1.0, sum(shares))
+    known = F.array(*map(F.lit, shares))
+    met = F.transform(doc, lambda x: F.struct(x["p"].alias("p"), F.get(known, x["b"]).alias("q")))
     zero = F.struct(*[F.lit(0.0).alias(n) for n in ("t", "p", "q")])
     sums = F.aggregate(met, zero, lambda a, x: F.struct(
         (a["t"] + _term(x["p"], x["q"])).alias("t"), (a["p"] + x["p"]).alias("p"), (a["q"] + x["q"]).alias("q")))
-    # words of the reference that the document lacks, then all other words
+    # bins of the reference that the document lacks, then all other words
     return let(sums, lambda z: z["t"] + F.greatest(F.lit(mass) - z["q"], F.lit(0.0))
                + _term(F.greatest(1 - z["p"], F.lit(0.0)), F.lit(1.0 - mass)))
 
 
 def word_distance(w: Column, refs: list[dict]) -> Column:
-    """Distance of a word histogram to the nearest reference.
+    """Distance of a word histogram to the nearest reference; null if none has words.
 
-    A reference's bins are its common words and one for all others.  The
-    document's common words are sorted, so that the place of each distinct one
-    gives its count.
+    A reference's bins are its common words, its bands and one for all others.
+    The bins of the document's words are sorted, so that the place of each
+    distinct one gives its count.
     """
-    vocabulary = sorted({v for r in refs for v in r["words"]})
-    if not vocabulary:
-        return F.lit(0.0)
-    common = F.sort_array(F.filter(F.transform(w, F.lower), lambda x: x.isin(vocabulary)))
-
-    def measure(s: Column) -> Column:
-        def counted(d: Column) -> Column:
-            first = F.transform(d, lambda x: F.array_position(s, x))
-            return let(first, lambda f: F.transform(d, lambda x, i: F.struct(
-                x.alias("w"), ((F.coalesce(F.get(f, i + 1), F.size(s) + 1) - F.get(f, i)) / F.size(w)).alias("p"))))
-
-        def nearest(doc: Column) -> Column:
-            own = [_word_divergence(doc, r["words"]) for r in refs if r["words"]]
-            return _distance(F.least(*own) if len(own) > 1 else own[0])
-
-        return let(let(F.array_distinct(s), counted), nearest)
-
-    return let(common, measure)
+    binned = [_bins(r) for r in refs if r["words"]]
+    if not binned:
+        return F.lit(None).cast("double")
+    table: dict[str, list] = {}
+    for i, (bins, _) in enumerate(binned):
+        for v, b in bins.items():
+            table.setdefault(v, [None] * len(binned))[i] = b
+    look = _looked_up(table)
+    places = F.filter(F.transform(w, lambda x: let(F.lower(x), look)), lambda x: x.isNotNull())
+
+    def measure(met: Column) -> Column:
+        def own(i: int) -> Column:
+            of = F.sort_array(F.filter(F.transform(met, lambda x: F.get(x, F.lit(i))), lambda x: x.isNotNull()))
+
+            def counted(s: Column, d: Column) -> Column:
+                first = F.transform(d, lambda x: F.array_position(s, x))
+                return let(first, lambda f: F.transform(d, lambda x, j: F.struct(
+                    x.alias("b"), ((F.coalesce(F.get(f, j + 1), F.size(s) + 1) - F.get(f, j)) / F.size(w)).alias("p"))))
+
+            doc = let(of, lambda s: let(F.array_distinct(s), lambda d: counted(s, d)))
+            return let(doc, lambda x: _word_divergence(x, binned[i][1]))
+
+        each = [own(i) for i in range(len(binned))]
+        return _distance(F.least(*each) if len(each) > 1 else each[0])
+
+    return let(places, measure)
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

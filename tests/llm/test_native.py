@@ -55,6 +55,62 @@ def test_quality_rules_drop_odd_distributions(spark):
     assert all(kept[i] for i in range(60))
 
 
+def _whole_vocabulary(rng, n):
+    """Text over 20,000 words whose frequencies fall as 1 / (rank + 10)."""
+    ranks = rng.choices(range(20_000), cum_weights=_whole_vocabulary.steps, k=n)
+    return " ".join(_spelled(r) for r in ranks)
+
+
+_whole_vocabulary.steps = [math.log((r + 11) / 10) for r in range(20_000)]
+
+
+def _spelled(rank):
+    """A lower-case word of its own for each rank; rarer ones are longer."""
+    out = "aeiou"[rank % 5]
+    while rank:
+        rank, r = divmod(rank, 19)
+        out += "bcdfghjklmnpqrstvwx"[r] + "aeiou"[r % 5]
+    return out
+
+
+def test_text_without_a_known_word_is_dropped(spark):
+    """Also where the vocabulary is large, and its common words are a small part of the text."""
+    rng = random.Random(4)
+    rows = [(i, _whole_vocabulary(rng, 300), "en", "a") for i in range(400)]
+    odd = range(1000, 1010)
+    rows += [(i, " ".join("z" + "".join(rng.choices(string.ascii_lowercase, k=7)) for _ in range(300)), "en", "a")
+             for i in odd]
+    got = {r.doc_id: r for r in rules.quality_rules(docs(spark, rows)).collect()}
+    assert not any(got[i].kept for i in odd)
+    assert all(got[i].kept for i in range(400))
+
+
+def test_words_in_bands_of_ranks(spark):
+    """Distance with bands equals that of the bins counted in Python, for words of every length."""
+    rng = random.Random(6)
+    texts = [_whole_vocabulary(rng, 200) for _ in range(40)]
+    limits = rules.Limits()
+    df = docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    (ref,) = rules.references(df, "text", "lang", limits)
+    count = Counter(w for t in texts for w in t.split())
+    order = sorted(count, key=lambda w: (-count[w], w))
+    assert set(ref["words"]) == set(order[:32])
+    edges = [32, 64, 128, 256, 512, 1024, 2048, 4096, 8192]
+    bin_of = {w: i if i < 32 else 32 + next(j for j, e in enumerate(edges[1:]) if i < e) for i, w in
+              enumerate(order) if w in ref["words"] or w in ref["bands"]}
+    assert max(map(len, ref["bands"])) > 5
+    total = sum(count.values())
+    q, p = Counter(), Counter()
+    for w, k in count.items():
+        q[bin_of.get(w, -1)] += k / total
+    for w in texts[0].split():
+        p[bin_of.get(w, -1)] += 1 / 200
+    m = {b: (p[b] + q[b]) / 2 for b in p.keys() | q.keys()}
+    want = math.sqrt(sum(x[b] * math.log2(x[b] / m[b]) for x in (p, q) for b in m if x[b]) / 2)
+    got = next(r for r in rules.quality_rules(df).collect() if r.doc_id == 0)
+    assert got.word_distance == pytest.approx(want)
+
+
 def test_jensen_shannon_distance(spark):
     refs = [{"lang": "x", "classes": [0.5, 0.5, 0, 0, 0, 0, 0, 0], "words": {"a": 0.25, "b": 0.25}}]
     one = spark.range(1).select(
