@@ -5,9 +5,14 @@ character classes, and the shares of its words: a bin for each of the most
 frequent ones, and a bin for each band of the next ranks, doubling in width, so
 that most of the running text is in a bin and a short text still fills it.  A
 document's own shares are compared with every reference by Jensen-Shannon
-distance (base 2, 0 to 1), and the nearest reference counts, so a wrong or
-missing language label does no harm.  A histogram of too few characters or
-words says little, so it is only judged from a minimum length on.
+distance (base 2, 0 to 1), and the nearest reference counts, so a label that
+names another of these languages does no harm.  A histogram of too few
+characters or words says little, so it is only judged from a minimum length on.
+
+A language of few documents has no reference, and others' references say
+nothing about it: its documents are not judged by distance.  Documents without
+a label can be in any language, so their words are not judged either; their
+characters are, unless their script is in no reference.
 
 Two base rules come first: too few words, and too many words in repeated
 three-word windows.
@@ -148,8 +153,8 @@ def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> l
     """Per language: class shares, the shares of its common words, and its bands of the next ones.
 
     Measured over all documents.  A language with too few documents or words
-    has none, so that a rare or wrong label is not its own measure; if no
-    language has enough, all documents make one.  One row per language and
+    has none, so that a rare or wrong label is not its own measure; if there is
+    no label at all, all documents make one.  One row per language and
     ``band_words`` words for each reach the driver: languages are codes, a
     bounded set.  Words are pre-aggregated in the scan's tasks.
     """
@@ -160,9 +165,8 @@ def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> l
     sums = {r[0]: list(r)[1:] for r in classes.groupBy("lang__").agg(*figures).collect()}
     enough = sorted(k for k, v in sums.items()
                     if k and v[0] >= limits.reference_docs and v[1] >= limits.reference_words)
-    if not enough:
-        sums = {"": [sum(x) for x in zip(*sums.values(), strict=True)]}
-        lang, enough = F.lit("").alias("lang__"), [k for k, v in sums.items() if v and v[1]]
+    if set(sums) == {""} and sums[""][1]:
+        enough = [""]
     found = _frequent(df, lang, text, enough, limits) if enough else {}
     out = []
     for k in enough:
@@ -215,6 +219,12 @@ def class_distance(counts: Column, refs: list[dict]) -> Column:
     return let(counts, measure)
 
 
+def script_known(counts: Column, refs: list[dict]) -> Column:
+    """Whether a reference has mostly letters without case, or the class histogram has not."""
+    caseless = lambda c: 2 * c[2] > c[0] + c[1] + c[2]
+    return F.lit(True) if any(caseless(r["classes"]) for r in refs) else ~caseless(counts)
+
+
 def _bins(ref: dict) -> tuple[dict[str, int], list[float]]:
     """A reference's word bins: the bin of each word, and the share of each bin."""
     own = {w: i for i, w in enumerate(ref["words"])}
@@ -290,23 +300,29 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance, kept) of every row.
 
-    ``kept``: no base rule fails and each distance, if the text is long enough
-    to be judged by it, is within its limit.
+    ``kept``: no base rule fails and each distance that judges the document is
+    within its limit.  A distance is null where it does not: the text is too
+    short, its language has no reference, or the language is null or empty and
+    the reference says nothing about it (``word_distance``; ``class_distance``
+    for a script that no reference has).
 
-    Null and empty texts have no words and fail.  Documents with a null
-    language are judged like all others.  Null or repeated ids and repeated
+    Null and empty texts have no words and fail.  Null or repeated ids and repeated
     rows give a row each.  An empty table gives no rows.  Other columns are
     not read, so their names cannot clash.
     """
     refs = references(df, text_col, lang_col, limits)
-    base = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text__"))
-    text = F.col("text__")
+    base = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text__"),
+                     F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__"))
+    text, lang = F.col("text__"), F.col("lang__")
     if refs:
+        own = lang.isin([r["lang"] for r in refs])
+        compared = let(class_counts(text), lambda c: F.when(
+            own | ((lang == "") & script_known(c, refs)), class_distance(c, refs)))
         measured = let(words(text), lambda w: F.struct(
             *base_columns(text, w),
-            F.when(F.size(w) >= limits.words_from, word_distance(w, refs)).alias("word_distance")))
-        classes = F.when(F.length(text) >= limits.chars_from, class_distance(class_counts(text), refs))
-    else:  # no document has a word
+            F.when(own & (F.size(w) >= limits.words_from), word_distance(w, refs)).alias("word_distance")))
+        classes = F.when(F.length(text) >= limits.chars_from, compared)
+    else:  # no language has enough documents
         measured = let(words(text), lambda w: F.struct(
             *base_columns(text, w), F.lit(None).cast("double").alias("word_distance")))
         classes = F.lit(None).cast("double")

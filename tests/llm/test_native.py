@@ -85,6 +85,24 @@ def test_text_without_a_known_word_is_dropped(spark):
     assert all(got[i].kept for i in range(400))
 
 
+@pytest.mark.parametrize("n", [1, 19, 20])
+def test_rare_languages_are_kept_at_every_count(spark, n):
+    """Clean text of a language with few documents, or without a label, is not held to other languages."""
+    rng = random.Random(7)
+    arabic = lambda: " ".join("".join(chr(0x627 + r) for r in rng.choices(range(20), k=5))
+                              for _ in range(12)) + " "
+    finnish = [_spelled(r) for r in range(5000, 5040)]
+    rows = [(i, _varied(rng, 150), "en", "a") for i in range(60)]
+    pool = arabic().split()
+    rows += [(100 + i, " ".join(rng.choices(pool, k=120)), "ar", "a") for i in range(n)]
+    rows += [(200 + i, " ".join(rng.choices(finnish, k=120)), "fi", "a") for i in range(n)]
+    rows += [(300, " ".join(rng.choices(pool, k=120)), None, "a"), (301, " ".join(rng.choices(finnish, k=120)), "", "a"),
+             (302, _varied(rng, 150).upper(), None, "a")]
+    got = {r.doc_id: r for r in rules.quality_rules(docs(spark, rows)).collect()}
+    assert all(got[i].kept for i in got if i != 302) and not got[302].kept
+    assert [got[100].class_distance is None, got[200].word_distance is None] == [n < 20] * 2
+
+
 def test_words_in_bands_of_ranks(spark):
     """Distance with bands equals that of the bins counted in Python, for words of every length."""
     rng = random.Random(6)
