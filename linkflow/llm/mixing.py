@@ -9,12 +9,15 @@ A source whose target is its size or more gives every document once.  The rest
 of its budget is a bounded knapsack over the number of documents of each exact
 length: an even share of every length first, then the largest lengths that
 fit, and for the last stretch a dynamic program that finds the combination of
-the documents left whose sum comes closest.  Documents of a length are taken
-in a seeded order.
+the documents left whose sum comes closest.  Where that misses the target, the
+documents taken before are given back for a longer and longer stretch, up to the
+whole target.  Documents of a length are taken in a seeded order.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +27,11 @@ from linkflow.llm.common import ranked, saved, words
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 LIMIT = 2.0
-#: Words of budget that the dynamic program covers.
+#: Words of budget that the dynamic program covers at first.
 REACH = 1 << 15
+#: Bytes of records that the program may hold for a longer stretch, and the
+#: bytes that it may go through for each of them.
+ROOM, PASSES = 1 << 28, 32
 
 
 def n_words(text: Column) -> Column:
@@ -68,35 +74,62 @@ def fit_budget(counts: dict[int, int], budget: int, reach: int = REACH) -> dict[
     """How many documents of each length to take so that the words sum to ``budget``.
 
     The sum never exceeds the budget.  Within ``reach`` words of it the search
-    is exact over all lengths that still fit.
+    is exact over all lengths that still fit.  If the sum is not the highest
+    that the lengths' common divisor allows, the search is done again over
+    twice the stretch, until it is, the stretch is the budget (then no sum is
+    closer) or the program has no room; the closest sum counts.
     """
     total = sum(length * n for length, n in counts.items())
     lengths = sorted((v for v in counts if v > 0), reverse=True)
     if budget >= total:
         return {v: counts[v] for v in lengths}
+    best = _fit(counts, lengths, budget, total, reach)
+    goal, met = budget - budget % math.gcd(*lengths), _sum(best)
+    room = [ROOM, ROOM * PASSES]
+    while met < goal and reach < budget and min(room) > 0:
+        reach *= 2
+        room = [ROOM, ROOM * PASSES]
+        again = _fit(counts, lengths, budget, total, reach, room)
+        if _sum(again) > met:
+            best, met = again, _sum(again)
+    return best
+
+
+def _sum(taken: dict[int, int]) -> int:
+    return sum(v * n for v, n in taken.items())
+
+
+def _fit(counts: dict[int, int], lengths: list[int], budget: int, total: int, reach: int,
+         room: list[int] | None = None) -> dict[int, int]:
+    """One search; with ``room`` the last ``reach`` words of the budget are all left to the program."""
+    share = budget if room is None else max(0, budget - reach)
+    kept = reach // 2 if room is None else reach
     # an even share keeps the mix of lengths; whole numbers, so rounded down
-    taken = {v: counts[v] * budget // total for v in lengths}
-    rest = budget - sum(v * n for v, n in taken.items())
+    taken = {v: counts[v] * share // total for v in lengths}
+    rest = budget - _sum(taken)
     for v in lengths:
-        more = min(counts[v] - taken[v], max(0, rest - reach // 2) // v)
+        more = min(counts[v] - taken[v], max(0, rest - kept) // v)
         taken[v] += more
         rest -= more * v
-    if rest > reach:  # too few small documents: what is left are longer ones
+    if room is None and rest > reach:  # too few small documents: what is left are longer ones
         for v in lengths:
             more = min(counts[v] - taken[v], rest // v)
             taken[v] += more
             rest -= more * v
         return taken
-    for v in _closest({v: counts[v] - taken[v] for v in lengths if counts[v] > taken[v] and v <= rest}, rest):
+    left = {v: counts[v] - taken[v] for v in lengths if counts[v] > taken[v] and v <= rest}
+    for v in _closest(left, rest, room):
         taken[v] += 1
     return taken
 
 
-def _closest(counts: dict[int, int], budget: int) -> list[int]:
+def _closest(counts: dict[int, int], budget: int, room: list[int] | None = None) -> list[int]:
     """Lengths, with repeats up to their counts, whose sum is the largest up to ``budget``.
 
     ``reached`` has a bit for each sum.  Each added copy of a length records
     the sums that it reaches first; from the best sum, the records lead back.
+    ``room``: bytes left for records and for passes; without any left, the
+    lengths that remain are not added.
     """
     mask = (1 << (budget + 1)) - 1
     reached = 1
@@ -105,11 +138,16 @@ def _closest(counts: dict[int, int], budget: int) -> list[int]:
         last = reached
         for _ in range(min(counts[v], budget // v)):
             last = (last << v) & mask & ~reached
+            if room:
+                room[0] -= last.bit_length() // 8
+                room[1] -= budget // 8
             if not last:
                 break
             reached |= last
             records.append((v, last))
-        if reached >> budget & 1:
+            if room and min(room) <= 0:
+                break
+        if reached >> budget & 1 or room and min(room) <= 0:
             break
     at = reached.bit_length() - 1
     out = []

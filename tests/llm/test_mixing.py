@@ -75,3 +75,31 @@ def test_budget_is_met(budget):
     taken = mixing.fit_budget(counts, budget)
     assert all(0 <= taken[v] <= counts[v] for v in taken)
     assert sum(v * n for v, n in taken.items()) == min(budget, sum(v * n for v, n in counts.items()))
+
+
+def _best_sum(counts, budget):
+    sums = {0}
+    for v, n in counts.items():
+        sums = {s + k * v for s in sums for k in range(n + 1)}
+    return max(s for s in sums if s <= budget)
+
+
+@pytest.mark.parametrize("counts,budget", [
+    ({50_000: 1, 40_000: 1, 35_000: 1}, 75_000),
+    ({50_001: 2, 41_003: 3, 35_007: 2, 20_011: 1}, 199_000),
+    ({90_000: 3, 60_000: 1, 45_500: 2, 31_000: 3, 17_001: 2}, 260_001),
+    ({400_000: 1, 390_000: 2, 250_001: 2, 140_003: 3}, 1_010_006),
+])
+def test_sources_of_long_documents_come_closest(counts, budget):
+    """Also where the first documents taken have to be given back."""
+    assert min(counts) > mixing.REACH // 2
+    taken = mixing.fit_budget(counts, budget)
+    assert all(0 <= taken[v] <= counts[v] for v in taken)
+    assert sum(v * n for v, n in taken.items()) == _best_sum(counts, budget)
+
+
+def test_many_long_documents_meet_the_budget():
+    counts = {17_000 + 331 * i + i * i % 97: 1 + i % 3 for i in range(120)}
+    total = sum(v * n for v, n in counts.items())
+    for budget in (total // 3, total // 2 + 1, 2 * total // 3):
+        assert sum(v * n for v, n in mixing.fit_budget(counts, budget).items()) == budget
