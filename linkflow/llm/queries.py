@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkflow.llm import lm, topk
+from linkflow.llm.align import alignment
 from linkflow.llm.common import documents, ship_package, train_split
 from linkflow.llm.langid import identify
+from linkflow.llm.line_dedup import dedup_lines
 from linkflow.llm.mixing import mix
 from linkflow.llm.packing import pack
+from linkflow.llm.periodic import periodic_runs, planted_order
 from linkflow.llm.quality import classify
 from linkflow.llm.rules import quality_rules
 from linkflow.llm.secret_scan import scan
@@ -97,3 +100,18 @@ def language_id(spark, sf_dir):
 @query("op2_lm_scoring")
 def lm_scoring(spark, sf_dir):
     return lm.score(documents(spark, sf_dir, "doc_id", "text"), train_split(F.col("doc_id"), 7, 2))
+
+
+@query("op11_line_dedup")
+def line_dedup(spark, sf_dir):
+    return dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op12_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark, sf_dir):
+    return alignment(documents(spark, sf_dir, "doc_id", "text"))[0]
+
+
+@query("op13_periodic_runs")
+def periodic_word_runs(spark, sf_dir):
+    return periodic_runs(documents(spark, sf_dir, "doc_id", "text"), orders=planted_order)
