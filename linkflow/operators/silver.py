@@ -48,8 +48,10 @@ def extract(typed: DataFrame) -> DataFrame:
 def live_filter(df: DataFrame) -> DataFrame:
     """enabled is TRUE and none of draft/ignored/closed/expected_missing is
     TRUE (NULL counts as FALSE there; a NULL ``enabled`` is dropped)."""
-    hidden = F.array_contains(F.array(*HIDING_FLAGS), True)
-    return df.filter("enabled").filter(~F.coalesce(hidden, F.lit(False)))
+    live = F.col("enabled")
+    for flag in HIDING_FLAGS:
+        live = live & ~F.col(flag).eqNullSafe(True)
+    return df.filter(live)
 
 
 def free_flow_speed_kmh() -> Column:

@@ -9,8 +9,6 @@ averages rounded to 6 decimals, counts cast to BIGINT.
 
 from __future__ import annotations
 
-from linkflow.operators.silver import HIDING_FLAGS
-
 # The dump mapping as columns (one row per event).
 EV = """
 ev AS (
@@ -62,7 +60,8 @@ dump AS (
 )"""
 
 # The live set: enabled, and no flag says otherwise.
-LIVE = " AND ".join(["enabled"] + [f"{flag} IS NOT TRUE" for flag in HIDING_FLAGS])
+LIVE = """enabled AND draft IS NOT TRUE AND ignored IS NOT TRUE
+    AND closed IS NOT TRUE AND expected_missing IS NOT TRUE"""
 
 # Silver semantics over the dump (live filter, derived measures, guards).
 SILVER = """
@@ -473,6 +472,22 @@ SQL["stream_layered"] = SQL["silver_dedup"]
 SQL["stream_fact"] = SQL["fact_link_interval"]
 SQL["stream_delay_sliding_complete"] = SQL["delay_sliding"]
 SQL["stream_monitor_5m"] = SQL["monitor_5m"]
+SQL["stream_delay_sliding_update"] = SQL["delay_sliding"]
+SQL["stream_monitor_update"] = SQL["monitor_5m"]
+
+# half of the offsets is loaded, the rest has landed since
+SQL["stream_consumer_lag"] = BASE + """
+, half AS (
+  SELECT CAST(floor((min("offset") + max("offset")) / 2) AS BIGINT) AS half FROM dump
+), per AS (
+  SELECT topic, "partition", min("offset") AS begin_offset, max("offset") + 1 AS end_offset,
+         COALESCE(max("offset") FILTER (WHERE "offset" < half) + 1, -1001) AS committed_offset,
+         count(*) FILTER (WHERE "offset" >= half) AS pending
+  FROM dump, half GROUP BY 1, 2
+)
+SELECT *, CASE WHEN committed_offset < 0 THEN end_offset - begin_offset
+               ELSE greatest(0, end_offset - committed_offset) END AS lag
+FROM per"""
 
 SQL["stream_dedup"] = BASE + """
 SELECT DISTINCT link_id, interval_start FROM strict"""

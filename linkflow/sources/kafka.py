@@ -9,7 +9,6 @@ offset, timestamp, timestampType).
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ ENV_SETTINGS = {
 EXTRA_PREFIX = "KAFKA_EXTRA_CONFIG__"
 LOGIN = {"username": "KAFKA_SASL_USERNAME", "password": "KAFKA_SASL_PASSWORD"}
 LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
-ON = "1|true|yes|y"
+TRUE_WORDS = {"1", "true", "yes", "y"}
 DEFAULT_BOOTSTRAP = "localhost:9092"
 
 
@@ -44,7 +43,7 @@ def kafka_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
         opts["kafka.sasl.jaas.config"] = f"{LOGIN_MODULE} required {entry};"
     elif any(login.values()):
         raise ValueError(f"{' and '.join(LOGIN.values())} go together; only one is set")
-    if re.fullmatch(ON, env.get("KAFKA_ENABLE_IDEMPOTENCE", "true"), re.IGNORECASE):
+    if env.get("KAFKA_ENABLE_IDEMPOTENCE", "true").lower() in TRUE_WORDS:
         opts["kafka.enable.idempotence"] = "true"
     extra = {f"kafka.{var.removeprefix(EXTRA_PREFIX)}".replace("__", "."): value
              for var, value in env.items() if var.startswith(EXTRA_PREFIX)}

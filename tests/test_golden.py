@@ -41,11 +41,11 @@ def dump_of(spark, records):
     return spark.createDataFrame(rows, DUMP_TYPED_SCHEMA)
 
 
-def envelope(payload, ingested="2026-01-21T20:57:31.199452+00:00"):
+def envelope(payload, ingested="2025-03-04T05:06:08.500000+00:00"):
     return json.dumps({"ingested_at": ingested, "payload": payload})
 
 
-def rec(offset, value, dumped_at="2026-01-21T21:00:00+00:00", key="3"):
+def rec(offset, value, dumped_at="2025-03-04T05:07:00+00:00", key="3"):
     return {"topic": "t", "partition": 0, "offset": offset, "timestamp": [1, 0], "key": key,
             "value": value, "dumped_at": dumped_at}
 
