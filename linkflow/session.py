@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +76,26 @@ def build_session(master: str | None = None, app_name: str = "linkflow",
     return prepare_session(spark)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, unless they find it as the driver does.
+
+    Workers see ``PYTHONPATH`` and their working folder; a driver that put the
+    package on its own path only (a notebook, a script run from elsewhere)
+    would leave them without it.
+    """
+    root = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    found = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p} | {Path.cwd()}
+    if root in found or app in _shipped:
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/linkflow", "zip", root, "linkflow")
+    spark.sparkContext.addPyFile(archive)  # executors fetch it from the driver
+    _shipped.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
