@@ -47,7 +47,13 @@ def bronze_metrics(typed: DataFrame) -> DataFrame:
     return typed.select("link_id", "interval_start", *PROVIDER_METRICS, "dumped_at")
 
 
-def _dim_side(dim: DataFrame) -> DataFrame:
+#: Columns of the fact that come from the dimension, and their names on its side.
+DIM_SIDE = {"length_m": "d_length_m", "minimum_tt_seconds": "d_minimum_tt_seconds"}
+DIM_IN_FACT = ("road_name", "direction", "is_freeway", "length_m", "minimum_tt_seconds",
+               "origin_site_id", "destination_site_id")
+
+
+def dim_side(dim: DataFrame) -> DataFrame:
     return dim.select(
         F.col("link_id").alias("d_link_id"),
         F.col("name").alias("road_name"),
@@ -73,17 +79,16 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def _with_dim(df: DataFrame, dim: DataFrame) -> DataFrame:
-    d = _dim_side(dim)
+    d = dim_side(dim)
     return df.join(d, F.col("link_id") == F.col("d_link_id"), "left").drop("d_link_id")
 
 
 def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, typed: DataFrame | None = None,
-                       bronze_match: str = "all", skew_split: bool = True) -> DataFrame:
+                       bronze_match: str = "all") -> DataFrame:
     """25-column fact.  ``dedup_w`` is ``silver_dedup_wide`` (carries the
     winner's metrics and dumped_at, used by ``latest`` mode).  The left join
     with bronze is an inner join, whose hot keys AQE can split on either side,
-    and the keys without a match; ``skew_split=False`` (a streaming dedup
-    side, which cannot be read twice) makes it one left join."""
+    and the keys without a match."""
     s = dedup_w.select(*_S_COLS, *PROVIDER_METRICS, "dumped_at")
     if bronze_match == "latest":
         return _finish(_with_dim(s, dim))
@@ -94,8 +99,6 @@ def fact_link_interval(dedup_w: DataFrame, dim: DataFrame, typed: DataFrame | No
     b = bronze_metrics(typed)
     s = s.drop(*PROVIDER_METRICS, "dumped_at")
     keys = ["link_id", "interval_start"]
-    if not skew_split:
-        return _finish(_with_dim(s.join(b, keys, "left"), dim))
     matched = s.join(b, keys, "inner")
     bkeys = b.select(*keys).dropDuplicates()
     unmatched = (

@@ -68,13 +68,13 @@ def summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("messages_seen"))
 
 
-def consumer_lag(offsets: DataFrame) -> DataFrame:
+def consumer_lag(offsets: DataFrame, *carry: str) -> DataFrame:
     """Lag per partition: never committed (NULL or negative) -> end - begin;
-    otherwise max(0, end - committed)."""
+    otherwise max(0, end - committed).  ``carry``: columns kept beside it."""
     b, e, c = F.col("begin_offset"), F.col("end_offset"), F.col("committed_offset")
     lag = F.when(c.isNull() | (c < 0), e - b).otherwise(F.greatest(F.lit(0), e - c))
     return offsets.select("partition", "begin_offset", "end_offset", "committed_offset",
-                          lag.cast("bigint").alias("lag"))
+                          lag.cast("bigint").alias("lag"), *carry)
 
 
 def lag_totals(lag: DataFrame) -> DataFrame:

@@ -42,13 +42,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table, dealt over the shuffle partitions by ``event_id``.
+    """The events table.
 
-    Every dump derivation is per-row JSON work, so this shuffle of the narrow
-    raw rows (one row group may be the whole file) is the same cheap step at
-    every size.  Hash, not round-robin, keeps a retried task's output identical."""
+    Every dump derivation is per-row JSON work.  A scan is read as it is split; only
+    where it has fewer splits than the session has cores (a small table that is one
+    row group) are the narrow raw rows dealt anew, by hash, so that a retried task's
+    output is identical."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    cores = spark.sparkContext.defaultParallelism
+    if ev._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return ev
+    return ev.repartition(cores, "event_id")
 
 
 def base(ev: DataFrame) -> DataFrame:

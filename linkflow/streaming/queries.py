@@ -9,7 +9,7 @@ checkpoint), and returns the target table read back as a batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkflow.functions.columns import round6, to_ntz
@@ -21,8 +21,10 @@ from linkflow.operators import silver as sv
 from linkflow.operators.load import PK, load_observations
 from linkflow.plans.layers import publish
 from linkflow.sources import fixture as fx
-from linkflow.sources import jsonl
+from linkflow.sources import growing, jsonl
 from linkflow.streaming import runner as rn
+from linkflow.streaming.lag import landing_lag
+from linkflow.streaming.table import BUCKET, OffsetTable, Pointer, VersionedTable
 
 STREAM_QUERIES: dict = {}
 
@@ -36,6 +38,11 @@ DEDUP_KEYS = ["link_id", "interval_start"]
 DEDUP_ORDER = ["dumped_at", "topic", "partition", "offset"]
 
 
+def day(column: str = "interval_start") -> Column:
+    """Bucket of tables whose rows belong to a day."""
+    return F.to_date(column)
+
+
 def stream_query(name: str):
     def deco(fn):
         STREAM_QUERIES[name] = fn
@@ -52,8 +59,10 @@ def land_parquet(batch: DataFrame, folder: str) -> None:
 MAX_FILES = 1000
 
 
-def source_stream(spark: SparkSession, folder: str, schema, max_files: int = MAX_FILES) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
+def source_stream(spark: SparkSession, folder: str, schema, max_files: int | None = MAX_FILES) -> DataFrame:
+    """``max_files=None``: all that has landed is one micro-batch."""
+    r = spark.readStream.schema(schema)
+    return (r if max_files is None else r.option("maxFilesPerTrigger", max_files)).parquet(folder)
 
 
 # ------------------------------------------------------------------ bronze
@@ -81,53 +90,72 @@ def q_stream_bronze_upsert(spark, sf_dir):
     batches = fx.landing_batches(ev, "replays")
     original = fx.dump_clean(ev)
     src, target = ws.path("source"), ws.path("bronze")
-    fn = rn.insert_only_batches(target, PK, transform=lambda b: br.bronze(b))
+    fn = rn.insert_batches(target, PK, transform=br.bronze)
     for step in (original, batches[-1][1]):
         land_parquet(step, src)
         rn.foreach_batch(source_stream(spark, src, original.schema), fn,
                          ws.checkpoint("bronze"), "traffic-bronze")
-    out = rn.batches_view(spark, target)
-    return publish(out.select("topic", "partition", "offset", "dumped_at"))
+    return publish(rn.table(spark, target).select("topic", "partition", "offset", "dumped_at"))
 
 
 # ------------------------------------------------------------------ local incremental load
-@stream_query("stream_incremental_load")
-def q_stream_incremental_load(spark, sf_dir):
-    """JSON-lines landing folder loaded incrementally (insert-or-ignore) in
-    two runs; equals one batch load of all files."""
-    ws = rn.Workspace(spark, "load")
-    ev = fx.events(spark, sf_dir)
-    folder, target = ws.path("landing"), ws.path("observations")
+class LandingLoad:
+    """The landing folder's lines, files that grow included, loaded into an
+    observation table by transport id (insert-or-ignore, first row wins)."""
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        batch.persist()  # read twice: offset ranges, then the load itself
-        try:
-            dump = jsonl.parse_dump_lines(batch)
-            keyed = dump.select("topic", F.col("partition").try_cast("int").alias("partition"),
-                                F.col("offset").try_cast("bigint").alias("offset"))
-            ranges = rn.seq_ranges(keyed, PK[:2], "offset")
-            existing = rn.candidate_rows(s, target, ranges, batch_id, PK[:2])
-            rows = load_observations(dump, existing)
-            rn.ensure_target(s, target, rows)
-            rows.write.mode("overwrite").parquet(f"{target}/{rn.BATCH_COL}={batch_id}")
-            rn.write_manifest(target, batch_id, ranges)
-        finally:
-            batch.unpersist()
+    def __init__(self, ws: rn.Workspace, topic: str = fx.TOPIC, split_bytes: int = growing.SPLIT_BYTES):
+        self.ws, self.pattern, self.split_bytes = ws, f"{topic}_*.jsonl", split_bytes
+        self.folder, self.ledger = ws.path("landing"), ws.path("ledger")
+        self.target, self.checkpoint = ws.path("observations"), ws.checkpoint("load")
 
-    batches = fx.landing_batches(ev, "replays")
-    for run in (batches[:2], batches[2:]):
-        for name, b in run:
-            jsonl.land_dump(b, folder, name)
-        lines = (spark.readStream.format("text").load(jsonl.dump_glob(folder, fx.TOPIC))
-                 .withColumn("source_file", F.regexp_extract(
-                     F.col("_metadata.file_path"), r"([^/]+\.jsonl)(/[^/]*)?$", 1)))
-        rn.foreach_batch(lines, fn, ws.checkpoint("load"), "observations-load")
-    out = rn.batches_view(spark, target)
+    def insert(self, batch: DataFrame, batch_id: int) -> None:
+        rows = load_observations(jsonl.parse_dump_lines(batch.drop("start")))
+        OffsetTable(batch.sparkSession, self.target, PK).insert(rows, batch_id)
+
+    def run(self, every: str | None = None):
+        lines = growing.growing_stream(self.ws.spark, self.folder, self.ledger, self.pattern, self.split_bytes)
+        return rn.foreach_batch(lines, self.insert, self.checkpoint, "observations-load", every=every)
+
+    def lag(self) -> DataFrame:
+        """What has landed and is not loaded, per topic partition."""
+        return landing_lag(self.ws.spark, self.folder, self.ledger, self.checkpoint, self.target, self.pattern)
+
+
+def append_landing(dump: DataFrame, folder: str, name: str) -> None:
+    """Appends a dump to the files of a landing batch."""
+    growing.append_lines(dump.select(jsonl.dump_line(dump).alias("value")), folder, name)
+
+
+@stream_query("stream_incremental_load")
+def q_stream_incremental_load(spark, sf_dir):
+    """Landing files that grow between the runs, then replays in a file of their
+    own; equals one load of all files."""
+    load = LandingLoad(rn.Workspace(spark, "load"))
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    for r in range(3):
+        append_landing(dump.filter(F.col("offset") % 3 == r), load.folder, f"{fx.TOPIC}_0001.jsonl")
+        load.run()
+    name, again = fx.landing_batches(fx.events(spark, sf_dir), "replays")[-1]
+    append_landing(again, load.folder, name)
+    load.run()
+    out = rn.table(spark, load.target)
     return publish(out.select("topic", "partition", "offset",
                               F.col("dumped_at").try_cast("timestamp").alias("dumped_at")))
 
 
+@stream_query("stream_consumer_lag")
+def q_stream_consumer_lag(spark, sf_dir):
+    """Lag of a load that stopped: half has landed and is loaded, the rest has
+    landed since.  From the query's own commit log, ledger and table."""
+    load = LandingLoad(rn.Workspace(spark, "lag"))
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    half = dump.select(F.floor((F.min("offset") + F.max("offset")) / 2)).scalar()
+    append_landing(dump.filter(F.col("offset") < half), load.folder, f"{fx.TOPIC}_0001.jsonl")
+    load.run()
+    append_landing(dump.filter(F.col("offset") >= half), load.folder, f"{fx.TOPIC}_0001.jsonl")
+    return load.lag()
+
+
 # ------------------------------------------------------------------ silver dedup (CDC)
 def _silver_wide_stream(stream: DataFrame) -> DataFrame:
     return sv.silver_wide(br.bronze_typed(stream))
@@ -140,14 +168,12 @@ def q_stream_silver_dedup(spark, sf_dir):
     ws = rn.Workspace(spark, "silver-dedup")
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src, target = ws.path("source"), ws.path("silver_dedup")
-    fn = rn.latest_batches(target, DEDUP_KEYS, DEDUP_ORDER)
-    for step, r in enumerate((2, 0, 1)):
+    fn = rn.latest_batches(target, DEDUP_KEYS, DEDUP_ORDER, day())
+    for r in (2, 0, 1):
         land_parquet(dump.filter(F.col("offset") % 3 == r), src)
         rn.foreach_batch(_silver_wide_stream(source_stream(spark, src, dump.schema)), fn,
                          ws.checkpoint("dedup"), "silver-dedup")
-        if step == 1:  # compact between runs: later reads skip the compacted batches
-            rn.compact_latest(spark, target, DEDUP_KEYS, DEDUP_ORDER)
-    return publish(rn.latest_view(spark, target, DEDUP_KEYS, DEDUP_ORDER).select(*sv.DEDUP_COLUMNS))
+    return publish(rn.table(spark, target).select(*sv.DEDUP_COLUMNS))
 
 
 @stream_query("stream_layered")
@@ -159,7 +185,7 @@ def q_stream_layered(spark, sf_dir):
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src = ws.path("source")
     b_t, s_t, d_t = ws.path("bronze"), ws.path("silver"), ws.path("silver_dedup")
-    fn = rn.latest_batches(d_t, DEDUP_KEYS, DEDUP_ORDER)
+    fn = rn.latest_batches(d_t, DEDUP_KEYS, DEDUP_ORDER, day())
     bronze_schema = spark.createDataFrame([], br.bronze(dump).schema).schema
     running = []
     try:
@@ -178,7 +204,7 @@ def q_stream_layered(spark, sf_dir):
     finally:
         for q in running:
             q.stop()
-    return publish(rn.latest_view(spark, d_t, DEDUP_KEYS, DEDUP_ORDER).select(*sv.DEDUP_COLUMNS))
+    return publish(rn.table(spark, d_t).select(*sv.DEDUP_COLUMNS))
 
 
 # ------------------------------------------------------------------ strict dedup / windows
@@ -209,8 +235,8 @@ def q_stream_dedup_bounded(spark, sf_dir):
     middle = dump.select(F.floor((F.min(t) + F.max(t)) / 2)).scalar()
     src, target = ws.path("source"), ws.path("strict")
     for step in (dump.filter(t < middle), dump.filter(t >= middle)):
-        land_parquet(step.coalesce(8), src)
-        strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, dump.schema)))
+        land_parquet(step, src)
+        strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, dump.schema, max_files=None)))
         out = dedup_stream(strict, watermark="2 hours").select(*DEDUP_KEYS, "event_time", "offset")
         rn.append_parquet(out, target, ws.checkpoint("strict"), "strict-dedup-bounded")
     return publish(spark.read.parquet(target).select(*DEDUP_KEYS))
@@ -230,14 +256,13 @@ def dedup_stream(stream: DataFrame, keys=DEDUP_KEYS, watermark: str | None = Non
     return stream.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def strict_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dump records of the strict de-duplicated rows, with those whose
-    offset % 10 = 0 written twice unchanged."""
-    from linkflow.plans.layers import Layers
-    L = Layers.from_events(spark, sf_dir)
-    winners = sv.silver_strict_dedup(L.strict).select("offset")
-    rows = L.dump.join(winners, "offset", "left_semi")
-    return rows.unionByName(rows.filter(F.col("offset") % 10 == 0))
+def in_arrival_order(dump: DataFrame) -> DataFrame:
+    """The dump with all records of a (link, hour) in one file, first landed first.
+
+    A stateful operator sees the records of a key in the order of their file.
+    """
+    link, hour = F.col("key").cast("bigint") % 10, F.floor(F.col("timestamp")[1] / 3_600_000)
+    return dump.repartition(link, hour).sortWithinPartitions("dumped_at", "topic", "partition", "offset")
 
 
 def delay_watermarked(strict_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -249,48 +274,74 @@ def delay_watermarked(strict_stream: DataFrame, watermark: str = WATERMARK) -> D
 
 @stream_query("stream_delay_sliding")
 def q_stream_delay_sliding(spark, sf_dir):
+    """All strict records, those of a key in the order of their landing, some of
+    them twice; the de-duplication keeps the first of each key."""
     ws = rn.Workspace(spark, "delay")
-    rows = strict_fixture(spark, sf_dir)
+    rows = in_arrival_order(fx.dump_strict_input(fx.events(spark, sf_dir)))
     src, target = ws.path("source"), ws.path("agg")
     land_parquet(rows, src)
-    strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, rows.schema)))
+    strict = sv.silver_strict(br.bronze_typed(source_stream(spark, src, rows.schema, max_files=None)))
     rn.append_parquet(delay_watermarked(strict), target, ws.checkpoint("agg"), "delay-agg")
-    t = spark.read.parquet(target)
+    return _published_delay(spark.read.parquet(target))
+
+
+def _published_delay(t: DataFrame) -> DataFrame:
     return t.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
                     "road_name", round6("avg_delay_seconds").alias("avg_delay_seconds"))
 
 
-@stream_query("stream_delay_sliding_complete")
-def q_stream_delay_sliding_complete(spark, sf_dir):
-    """Fact table as a stream -> sliding mean delay in complete mode (no
-    watermark; every window is kept and re-emitted)."""
+WINDOW_KEYS = ["window_start", "road_name"]
+
+
+def delay_of_fact(spark, sf_dir, name: str, output_mode: str, sink) -> DataFrame:
+    """Fact table as a stream, landed in two steps -> sliding mean delay."""
     from linkflow.plans.layers import Layers
-    ws = rn.Workspace(spark, "delay-complete")
+    ws = rn.Workspace(spark, name)
     fact = Layers.from_events(spark, sf_dir, materialize=True).fact("all")
     src, target = ws.path("fact"), ws.path("agg")
     for r in (0, 1):
         land_parquet(fact.filter(F.col("link_id") % 2 == r), src)
         agg = gd.delay_sliding(source_stream(spark, src, fact.schema), publish=False)
-        rn.foreach_batch(agg, rn.complete_batches(target), ws.checkpoint("agg"), "delay-complete",
-                         output_mode="complete")
-    t = rn.complete_view(spark, target)
-    return t.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
-                    "road_name", round6("avg_delay_seconds").alias("avg_delay_seconds"))
+        rn.foreach_batch(agg, sink(target), ws.checkpoint("agg"), name, output_mode=output_mode)
+    return _published_delay(rn.table(spark, target))
 
 
-@stream_query("stream_monitor_5m")
-def q_stream_monitor_5m(spark, sf_dir):
-    """Bronze as a stream -> 5-minute landing-time monitor, complete mode."""
-    ws = rn.Workspace(spark, "monitor")
+@stream_query("stream_delay_sliding_complete")
+def q_stream_delay_sliding_complete(spark, sf_dir):
+    """Complete mode: no watermark, every window is kept and given out again."""
+    return delay_of_fact(spark, sf_dir, "delay-complete", "complete", rn.complete_batches)
+
+
+@stream_query("stream_delay_sliding_update")
+def q_stream_delay_sliding_update(spark, sf_dir):
+    """Update mode: the windows that a micro-batch changed replace their own."""
+    return delay_of_fact(spark, sf_dir, "delay-update", "update",
+                         lambda target: rn.update_batches(target, WINDOW_KEYS, day("window_start")))
+
+
+def monitor_stream(spark, sf_dir, name: str, output_mode: str, sink) -> DataFrame:
+    """Bronze as a stream, landed in two steps -> 5-minute landing-time monitor."""
+    ws = rn.Workspace(spark, name)
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src, target = ws.path("source"), ws.path("monitor")
     for r in (0, 1):
         land_parquet(dump.filter(F.col("offset") % 2 == r), src)
-        m = gd.monitor(gd.monitor_base(br.bronze(source_stream(spark, src, dump.schema))),
-                       publish=False)
-        rn.foreach_batch(m, rn.complete_batches(target), ws.checkpoint("monitor"), "monitor-5m",
-                         output_mode="complete")
-    return _published_monitor(rn.complete_view(spark, target))
+        m = gd.monitor(gd.monitor_base(br.bronze(source_stream(spark, src, dump.schema))), publish=False)
+        rn.foreach_batch(m, sink(target), ws.checkpoint("monitor"), name, output_mode=output_mode)
+    return _published_monitor(rn.table(spark, target))
+
+
+@stream_query("stream_monitor_5m")
+def q_stream_monitor_5m(spark, sf_dir):
+    """The monitor in complete mode."""
+    return monitor_stream(spark, sf_dir, "monitor-5m", "complete", rn.complete_batches)
+
+
+@stream_query("stream_monitor_update")
+def q_stream_monitor_update(spark, sf_dir):
+    """The monitor in update mode."""
+    return monitor_stream(spark, sf_dir, "monitor-update", "update",
+                          lambda target: rn.update_batches(target, ["window_start"], day("window_start")))
 
 
 def _published_monitor(t: DataFrame) -> DataFrame:
@@ -308,8 +359,8 @@ def q_stream_monitor_watermarked(spark, sf_dir):
     ws = rn.Workspace(spark, "monitor-watermarked")
     dump = fx.dump_clean(fx.events(spark, sf_dir))
     src, target = ws.path("source"), ws.path("monitor")
-    land_parquet(dump.coalesce(8), src)
-    b = br.bronze(source_stream(spark, src, dump.schema))
+    land_parquet(dump, src)
+    b = br.bronze(source_stream(spark, src, dump.schema, max_files=None))
     m = gd.monitor(gd.monitor_base(b), publish=False, watermark=WATERMARK)
     rn.append_parquet(m, target, ws.checkpoint("monitor"), "monitor-watermarked")
     return _published_monitor(spark.read.parquet(target))
@@ -332,74 +383,123 @@ def q_stream_land_dump(spark, sf_dir):
 
 # ------------------------------------------------------------------ incremental fact
 class FactTables:
-    """Typed bronze by day, the dimension's winners, and the fact by day.
+    """Typed bronze, the dimension's winners and the fact, kept up to date by micro-batches.
 
-    Each micro-batch adds its typed rows, then rebuilds the days that it
-    touched, from those days of typed bronze alone: a re-published record
-    rebuilds its key with the new winner.  Every write replaces its own
-    partitions, so a retried batch changes nothing.  A dimension change
-    reaches the days rebuilt from then on.
+    * A batch's typed rows are added by day.  The days that it touches are rebuilt
+      from typed bronze of those days: a re-published record rebuilds its key.
+    * The dimension's winners before and after the batch are compared.  Where a
+      column that the fact shows differs, an index of the days of each link says
+      which other days hold the link, and there the columns are put right.
+
+    Each table records the batch with its own commit, so a retried batch goes on
+    where it stopped.
     """
 
     DIM_KEYS, DIM_ORDER = ["link_id"], ["dumped_at", "topic", "partition", "offset"]
+    DIM_BUCKETS = 16
 
-    def __init__(self, root: str):
-        self.typed, self.dim, self.fact = f"{root}/typed", f"{root}/dim", f"{root}/fact"
+    def __init__(self, spark: SparkSession, root: str):
+        link = F.pmod(F.xxhash64("link_id"), F.lit(self.DIM_BUCKETS))
+        self.spark = spark
+        self.typed = VersionedTable(spark, f"{root}/typed", day())
+        self.dim = VersionedTable(spark, f"{root}/dim", link)
+        self.days = VersionedTable(spark, f"{root}/days", link)
+        self.fact = VersionedTable(spark, f"{root}/fact", day())
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mine = f"{self.typed}/{rn.BATCH_COL}={batch_id}"
-        typed = br.bronze_typed(batch).withColumn("interval_day", F.to_date("interval_start"))
-        typed.hint("rebalance", "interval_day").write.mode("overwrite").partitionBy("interval_day").parquet(mine)
-        landed = spark.read.parquet(mine)
-        rn.latest_batches(self.dim, self.DIM_KEYS, self.DIM_ORDER)(landed.filter("has_link_id"), batch_id)
-        # the days between the oldest and the newest landing: bounded by the time span
-        days = [r[0] for r in landed.select("interval_day").distinct().collect() if r[0] is not None]
-        if days:
-            self.rebuilt(spark, days, batch_id).hint("rebalance", "interval_day").write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("interval_day").parquet(self.fact)
-
-    def rebuilt(self, spark: SparkSession, days: list, batch_id: int) -> DataFrame:
-        """The fact of some days, from the batches up to ``batch_id``."""
-        table = spark.read.parquet(self.typed)
-        typed = table.filter((F.col(rn.BATCH_COL) <= batch_id) & F.col("interval_day").isin(days))
-        dim = dm.dim_link(rn.latest_view(spark, self.dim, self.DIM_KEYS, self.DIM_ORDER))
-        dedup = sv.silver_dedup_wide(sv.silver_wide(typed))
-        return ft.fact_link_interval(dedup, dim, typed, "all").withColumn("interval_day", F.to_date("interval_start"))
+        self.typed.append(br.bronze_typed(batch), batch_id)
+        touched, _, now = self.typed.changed(batch_id)
+        landed = self.typed.added(batch_id)
+        self.dim.upsert(landed.filter("has_link_id"), batch_id, self.DIM_KEYS, self.DIM_ORDER)
+        self.days.insert_first(landed.filter("link_id IS NOT NULL AND interval_start IS NOT NULL")
+                               .select("link_id", day().alias("day")).distinct(),
+                               batch_id, ["link_id", "day"], ["day"])
+        renamed = self.renamed(batch_id)
+        other = self.other_days(renamed, touched)
+        fact = self.rebuilt(touched, now)
+        if other:
+            fact = fact.unionByName(self.corrected(other, renamed))
+        self.fact.replace(fact, batch_id, [*touched, *other])
+
+    def dimension(self, rows: DataFrame) -> DataFrame:
+        return ft.dim_side(dm.dim_link(rows))
+
+    def renamed(self, batch_id: int) -> DataFrame:
+        """The dimension rows whose columns in the fact a batch has changed, in the changed buckets."""
+        buckets, before, after = self.dim.changed(batch_id)
+        new = self.dimension(self.dim.rows(buckets=buckets, pointer=after))
+        if before.schema is None:
+            return new.limit(0)
+        old = self.dimension(self.dim.rows(buckets=buckets, pointer=before))
+        known = old.select(F.col("d_link_id").alias("known"))
+        return new.join(known, F.col("d_link_id") == F.col("known"), "left_semi").exceptAll(old)
+
+    def other_days(self, renamed: DataFrame, touched: list[str]) -> list[str]:
+        """The buckets of the fact, other than the touched ones, that hold a renamed link."""
+        at = self.days.rows().join(renamed, F.col("link_id") == F.col("d_link_id"), "left_semi")
+        found = [f"{BUCKET}={r[0]}" for r in at.select(F.col("day").cast("string")).distinct().collect()]
+        return sorted(set(found) & set(self.fact.pointer().folders) - set(touched))
+
+    def corrected(self, buckets: list[str], renamed: DataFrame) -> DataFrame:
+        """The fact of some buckets with the renamed links' columns as they are now."""
+        held = self.fact.rows(buckets=buckets)
+        new = renamed.withColumnRenamed("d_link_id", "of_link")
+        met = held.join(new.select("of_link", *[F.col(c).alias(f"new_{c}") for c in new.columns if c != "of_link"]),
+                        F.col("link_id") == F.col("of_link"), "left")
+        hit = F.col("of_link").isNotNull()
+        put = {c: F.when(hit, F.col(f"new_{ft.DIM_SIDE.get(c, c)}")).otherwise(F.col(c)) for c in ft.DIM_IN_FACT}
+        return met.withColumns(put).select(*held.columns)
+
+    def rebuilt(self, buckets: list[str], typed: Pointer) -> DataFrame:
+        """The fact of some buckets from a version of typed bronze."""
+        rows = self.typed.rows(buckets=buckets, pointer=typed)
+        dim = dm.dim_link(self.dim.rows())
+        dedup = sv.silver_dedup_wide(sv.silver_wide(rows))
+        return ft.fact_link_interval(dedup, dim, rows, "all")
 
 
 @stream_query("stream_fact_upsert")
 def q_stream_fact_upsert(spark, sf_dir):
-    """The fact kept up to date by micro-batches; the second step holds later
-    records of the same keys, so winners change."""
+    """The fact kept up to date by micro-batches.  The second step has other records
+    of the first step's keys, so winners change; the third step, of later days,
+    renames all roads, on the days before too."""
     ws = rn.Workspace(spark, "fact-upsert")
     dump = fx.dump_clean(fx.events(spark, sf_dir))
-    src, tables = ws.path("source"), FactTables(ws.path("tables"))
-    for r in (1, 0):
-        land_parquet(dump.filter(F.col("offset") % 2 == r), src)
+    t = F.unix_micros(F.col("dumped_at").try_cast("timestamp"))
+    middle = dump.select(F.floor((F.min(t) + F.max(t)) / 2)).scalar()
+    before = dump.filter(t < middle).withColumn(
+        "value", F.replace("value", F.lit('"name":"road-'), F.lit('"name":"old-road-')))
+    src, tables = ws.path("source"), FactTables(spark, ws.path("tables"))
+    for step in (before.filter(F.col("offset") % 2 == 1), before.filter(F.col("offset") % 2 == 0),
+                 dump.filter(t >= middle)):
+        land_parquet(step, src)
         rn.foreach_batch(source_stream(spark, src, dump.schema), tables, ws.checkpoint("fact"), "fact-upsert")
-    return publish(spark.read.parquet(tables.fact).drop("interval_day"))
+    return publish(tables.fact.rows())
 
 
 # ------------------------------------------------------------------ stream-static fact
 @stream_query("stream_fact")
 def q_stream_fact(spark, sf_dir):
-    """De-duplicated silver as a stream, joined to the static dimension and
-    the static bronze table (append, left joins)."""
+    """De-duplicated silver as a stream, joined to the static dimension and the
+    static typed bronze, of which a micro-batch reads its own days."""
     ws = rn.Workspace(spark, "fact")
     dump = fx.dump_clean(fx.events(spark, sf_dir))
-    b_t, d_t, dim_t = ws.path("bronze"), ws.path("silver_dedup"), ws.path("dim_link")
-    br.bronze(dump).write.parquet(b_t)
-    typed = br.typed_from_table(spark.read.parquet(b_t))
+    typed_t, d_t, dim_t, target = ws.path("typed"), ws.path("silver_dedup"), ws.path("dim_link"), ws.path("fact")
+    br.bronze_typed(dump).withColumn("day", day()).hint("rebalance", "day").write.partitionBy("day").parquet(typed_t)
+    typed = spark.read.parquet(typed_t)
     dm.dim_link(typed).write.parquet(dim_t)
-    dedup = sv.silver_dedup_wide(sv.silver_wide(typed))
-    dedup.write.parquet(d_t)
-    dim = spark.read.parquet(dim_t)
-    stream = spark.readStream.schema(spark.read.parquet(d_t).schema).parquet(d_t)
-    fact = ft.fact_link_interval(stream, dim, typed, "all", skew_split=False)
-    target = ws.path("fact")
-    rn.append_parquet(fact, target, ws.checkpoint("fact"), "fact-link-interval")
-    return publish(spark.read.parquet(target))
+    sv.silver_dedup_wide(sv.silver_wide(typed)).write.parquet(d_t)
+
+    def join(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        days = [r[0] for r in batch.select(day()).distinct().collect()]  # bounded by the time span
+        bronze = s.read.parquet(typed_t).filter(F.col("day").isin(days)).drop("day")
+        fact = ft.fact_link_interval(batch, s.read.parquet(dim_t), bronze, "all")
+        VersionedTable(s, target, day()).append(fact, batch_id)
+
+    stream = source_stream(spark, d_t, spark.read.parquet(d_t).schema)
+    rn.foreach_batch(stream, join, ws.checkpoint("fact"), "fact-link-interval")
+    return publish(rn.table(spark, target))
 
 
 # ------------------------------------------------------------------ late data
@@ -428,8 +528,8 @@ def late_drop_run(spark: SparkSession, sf_dir: str, count_late: bool = False) ->
     steps = [dump.filter(t < cut60), dump.filter(t >= cut80), dump.filter((t >= cut60) & (t < cut80))]
     schema = dump.schema
     for step in steps:
-        land_parquet(step.coalesce(8), src)
-        b = br.bronze(source_stream(spark, src, schema)).withWatermark("dumped_at", WATERMARK)
+        land_parquet(step, src)
+        b = br.bronze(source_stream(spark, src, schema, max_files=None)).withWatermark("dumped_at", WATERMARK)
         agg = b.groupBy(F.window("dumped_at", "5 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
         agg = agg.select(F.col("w.start").alias("window_start"), "n")
         qh = rn.append_parquet(agg, target, ws.checkpoint("counts"), "late-drop")

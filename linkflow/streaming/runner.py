@@ -1,25 +1,21 @@
 """Running Structured Streaming queries into parquet tables.
 
 Targets and checkpoints live under the session's shared checkpoint folder.
-``foreachBatch`` sinks write each micro-batch into its own
-``batch_id=<n>`` folder with overwrite, so a retried batch replaces its own
-partial output and never duplicates rows; while computing batch ``n`` the
-target is read without folder ``n`` (never read and overwrite one path).
+``foreachBatch`` callbacks write into tables of ``table.VersionedTable``: a
+retried batch never adds its rows twice, readers see whole batches only, and the
+number of folders does not grow with the number of batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from linkflow.operators.latest import insert_only, latest_by
 from linkflow.session import prepare_session, scratch_path
-
-BATCH_COL = "batch_id"
+from linkflow.streaming.table import OffsetTable, VersionedTable
 
 
 class Workspace:
@@ -90,157 +86,70 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
-def _write_batch(df: DataFrame, target: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{target}/{BATCH_COL}={batch_id}")
-
-
-def _committed(spark: SparkSession, target: str, batch_id: int) -> DataFrame | None:
-    t = read_table(spark, target)
-    if t is None:
-        return None
-    return t.filter(F.col(BATCH_COL) < batch_id).drop(BATCH_COL)
-
-
-def ensure_target(spark: SparkSession, target: str, like: DataFrame) -> None:
-    """Create the target with the batch's schema and zero rows if missing."""
-    if read_table(spark, target) is None:
-        _write_batch(like.limit(0), target, -1)
-
-
-def _manifest_path(target: str) -> str:
-    return f"{target.rstrip('/')}_manifest"
-
-
-def seq_ranges(rows: DataFrame, range_keys: Sequence[str], seq: str) -> DataFrame:
-    """``seq`` range per ``range_keys`` of some rows (one row per topic
-    partition: a frame bounded by the topic's partition count)."""
-    return (rows.select(*range_keys, F.col(seq).cast("bigint").alias(seq))
-                .filter(F.col(seq).isNotNull()).groupBy(*range_keys)
-                .agg(F.min(seq).alias("seq_min"), F.max(seq).alias("seq_max")))
-
-
-def write_manifest(target: str, batch_id: int, ranges: DataFrame) -> None:
-    """Record the ranges a committed batch may hold (a superset is safe: it
-    only widens later candidate reads, it never hides a collision)."""
-    ranges.write.mode("overwrite").parquet(f"{_manifest_path(target)}/{BATCH_COL}={batch_id}")
-
-
-def candidate_rows(spark: SparkSession, target: str, ranges: DataFrame, batch_id: int,
-                   range_keys: Sequence[str]) -> DataFrame | None:
-    """Committed target rows that can share a key with a new batch whose
-    :func:`seq_ranges` are ``ranges``.
-
-    Transport ids grow along each topic partition, so a committed batch can
-    only collide when its range overlaps the new batch's range for the same
-    partition.  The overlapping batch ids come from the manifest (tiny); the
-    semi-join on the partition column lets Spark prune every other
-    ``batch_id`` folder at run time, so a micro-batch reads only the part of
-    the target it can collide with, not the whole history.
-    """
-    committed = _committed(spark, target, batch_id)
-    manifest = read_table(spark, _manifest_path(target))
-    if committed is None or manifest is None:
-        return committed
-    mine = ranges.select(*range_keys, F.col("seq_min").alias("lo"), F.col("seq_max").alias("hi"))
-    overlap = (manifest.filter(F.col(BATCH_COL) < batch_id).join(mine, list(range_keys))
-               .filter((F.col("seq_max") >= F.col("lo")) & (F.col("seq_min") <= F.col("hi")))
-               .select(BATCH_COL).distinct())
-    t = read_table(spark, target)
-    return t.join(overlap, BATCH_COL, "left_semi").drop(BATCH_COL)
-
-
-def insert_only_batches(target: str, keys: Sequence[str],
-                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                        range_keys: Sequence[str] = ("topic", "partition"), seq: str = "offset"):
-    """``foreachBatch`` callback: insert the batch rows whose key is not in
-    the target yet (MERGE ... WHEN NOT MATCHED THEN INSERT), reading only
-    the committed batches whose offset ranges overlap (see
-    :func:`candidate_rows`)."""
+def insert_batches(target: str, keys: Sequence[str] = ("topic", "partition", "offset"),
+                   transform: Callable[[DataFrame], DataFrame] | None = None):
+    """``foreachBatch`` callback: insert the rows whose transport id is not in the
+    target yet (MERGE ... WHEN NOT MATCHED THEN INSERT)."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = transform(batch) if transform else batch
-        ensure_target(spark, target, rows)
-        # ranges from the raw batch's transport columns: no transform work,
-        # and a superset of the inserted rows' ranges (safe, see manifest)
-        src = batch if all(c in batch.columns for c in (*range_keys, seq)) else rows
-        key_types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-        raw = src.select(*[F.col(c).cast("string").try_cast(key_types[c]).alias(c) if c in key_types
-                           else F.col(c) for c in (*range_keys, seq)])
-        ranges = seq_ranges(raw, range_keys, seq)
-        existing = candidate_rows(spark, target, ranges, batch_id, range_keys)
-        _write_batch(insert_only(rows, existing, keys), target, batch_id)
-        write_manifest(target, batch_id, ranges)
+        OffsetTable(batch.sparkSession, target, keys).insert(rows, batch_id)
 
     return fn
 
 
-def latest_batches(target: str, keys: Sequence[str], order: Sequence[str],
+def latest_batches(target: str, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
                    transform: Callable[[DataFrame], DataFrame] | None = None):
-    """``foreachBatch`` callback for an upsert keyed by ``keys`` and
-    sequenced by ``order``: each batch stores its per-key winners; the
-    table's current state is :func:`latest_view` over all batches, so
-    out-of-order arrival and replays resolve to the same winner."""
+    """``foreachBatch`` callback for an upsert keyed by ``keys`` and sequenced by
+    ``order``: out-of-order arrival and replays come to the same row per key."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        _write_batch(latest_by(rows, keys, order), target, batch_id)
+        VersionedTable(batch.sparkSession, target, bucket).upsert(rows, batch_id, keys, order)
 
     return fn
 
 
-def _snapshot_path(target: str) -> str:
-    return f"{target.rstrip('/')}_snapshot"
+def update_batches(target: str, keys: Sequence[str], bucket: Column | None = None):
+    """``foreachBatch`` callback for update mode: the changed rows replace those of their keys."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        VersionedTable(batch.sparkSession, target, bucket).upsert(batch, batch_id, keys)
 
+    return fn
 
-def latest_view(spark: SparkSession, target: str, keys: Sequence[str],
-                order: Sequence[str]) -> DataFrame:
-    """Current state of a latest-wins target: ``latest_by`` over the newest
-    snapshot (see :func:`compact_latest`) and the batches after it.  The
-    batch folders up to the snapshot are pruned, so reads stay bounded by
-    (state + recent batches) instead of the whole history."""
-    t = read_table(spark, target)
-    snaps = read_table(spark, _snapshot_path(target))
-    if snaps is None:
-        return latest_by(t.drop(BATCH_COL), keys, order)
-    upto = snaps.select(F.max("upto")).scalar()
-    base = snaps.filter(F.col("upto") == upto).drop("upto")
-    recent = t.filter(F.col(BATCH_COL) > upto).drop(BATCH_COL)
-    return latest_by(base.unionByName(recent), keys, order)
 
+def complete_batches(target: str):
+    """``foreachBatch`` callback for complete mode: every batch is the whole result."""
 
-def compact_latest(spark: SparkSession, target: str, keys: Sequence[str],
-                   order: Sequence[str]) -> int:
-    """Write the current state as a snapshot covering every committed batch
-    so far (``upto=<last batch id>``); returns that batch id.  Idempotent:
-    re-running rewrites the same snapshot folder.  Run it between stream
-    runs (or from a scheduled job), not concurrently with the stream."""
-    t = read_table(spark, target)
-    last = t.select(F.max(BATCH_COL)).first()[0]
-    view = latest_view(spark, target, keys, order)
-    view.write.mode("overwrite").parquet(f"{_snapshot_path(target)}/upto={last}")
-    return last
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        VersionedTable(batch.sparkSession, target).replace(batch, batch_id)
 
+    return fn
 
-def batches_view(spark: SparkSession, target: str) -> DataFrame:
-    return read_table(spark, target).filter(F.col(BATCH_COL) >= 0).drop(BATCH_COL)
 
+def fan_out(*targets: Callable[[DataFrame, int], None]):
+    """``foreachBatch`` callback that feeds several targets from one read, in order.
 
-def complete_batches(target: str):
-    """``foreachBatch`` callback for complete-mode aggregates: every batch
-    holds the whole result and is written to its own folder."""
+    Every target records the batch with its own commit, and does nothing for a
+    batch that it has: after a failure between two targets, the retried batch goes
+    on where it stopped.
+    """
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, target, batch_id)
+        held = batch.persist()
+        try:
+            for target in targets:
+                target(held, batch_id)
+        finally:
+            held.unpersist()
 
     return fn
 
 
-def complete_view(spark: SparkSession, target: str) -> DataFrame:
-    """The newest complete result (highest batch id)."""
-    t = read_table(spark, target)
-    last = t.select(F.max(BATCH_COL)).scalar()
-    return t.filter(F.col(BATCH_COL) == last).drop(BATCH_COL)
+def table(spark: SparkSession, target: str) -> DataFrame:
+    """The current rows of a target of the callbacks above."""
+    return VersionedTable(spark, target).rows()
 
 
 def foreach_batch(stream: DataFrame, fn, checkpoint: str, query_name: str | None = None,
