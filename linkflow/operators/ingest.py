@@ -95,6 +95,19 @@ def kafka_frame(records: DataFrame, key: Column, value: Column) -> DataFrame:
     return records.select(F.encode(key, "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"))
 
 
+def envelope_rows(records: DataFrame, source_type: str) -> DataFrame:
+    """Provider records (``record``, ``url``, ``ts``) as keyed envelopes for a Kafka sink."""
+    keyed = records.select(guess_key(F.col("record")).alias("k"),
+                           build_envelope(F.col("record"), F.lit(source_type), F.col("url"), F.col("ts")).alias("v"))
+    return kafka_frame(keyed, F.col("k"), F.col("v"))
+
+
+def published_values(rows: DataFrame) -> DataFrame:
+    """Published rows as text: the key, and two fields of the envelope."""
+    return rows.select("key", F.get_json_object("value", "$.payload.id").try_cast("int").alias("link_id"),
+                       F.get_json_object("value", "$.source.type").alias("source_type"))
+
+
 # ----------------------------------------------------------------- dump normalisation
 FLAGS = ("enough_data", "ignored", "closed", "expected_missing")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -79,5 +79,21 @@ def observe_expectations(df: DataFrame, rules: Mapping[str, Column], name: str,
     """Attach per-rule violation counters to a (streaming) frame via
     ``DataFrame.observe``; read them from ``query.lastProgress`` /
     ``Observation``.  Rows are not filtered here."""
-    metrics = [F.count_if(~_passes(r, null_passes)).alias(f"violations_{n}") for n, r in rules.items()]
-    return df.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
+    return df.observe(name, *expectation_metrics(rules, null_passes))
+
+
+def expectation_metrics(rules: Mapping[str, Column], null_passes: bool = False) -> list[Column]:
+    """``rows``, ``violations_<rule>`` for each rule, and ``kept``."""
+    kept = F.lit(True)
+    for r in rules.values():
+        kept = kept & _passes(r, null_passes)
+    return [F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(~_passes(r, null_passes)).alias(f"violations_{n}") for n, r in rules.items()],
+            F.count_if(kept).alias("kept")]
+
+
+def observed_guard(df: DataFrame, rules: Mapping[str, Column], name: str,
+                   null_passes: bool = False) -> tuple[DataFrame, Observation]:
+    """``guard`` for a batch job: the rows kept, and what the pass that reads them counts."""
+    seen = Observation(metrics_name(name))
+    return expect(df.observe(seen, *expectation_metrics(rules, null_passes)), rules, null_passes), seen

@@ -172,17 +172,8 @@ def q_kafka_shape(spark, sf_dir):
 
 @query("kafka_out_frame")
 def q_kafka_out_frame(spark, sf_dir):
-    ev = fx.base(fx.events(spark, sf_dir))
-    rec = ev.select(F.to_json(fx.payload_struct()).alias("record"),
-                    fx._ts().alias("ts"), F.concat(F.lit("/links/"), fx._link().cast("string")).alias("url"))
-    keyed = rec.select(ig.guess_key(F.col("record")).alias("k"),
-                       ig.build_envelope(F.col("record"), F.lit(fx.SOURCE_TYPE), F.col("url"),
-                                         F.col("ts")).alias("v"))
-    out = ig.kafka_frame(keyed, F.col("k"), F.col("v"))
-    text = F.col("value").cast("string")
-    return out.select(F.col("key").cast("string").alias("key"),
-                      F.get_json_object(text, "$.payload.id").try_cast("int").alias("link_id"),
-                      F.get_json_object(text, "$.source.type").alias("source_type"))
+    out = ig.envelope_rows(fx.provider_records(fx.events(spark, sf_dir)), fx.SOURCE_TYPE)
+    return ig.published_values(out.select(F.col("key").cast("string"), F.col("value").cast("string")))
 
 
 @query("land_dump")

@@ -511,6 +511,23 @@ FROM w
 WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(event_time) FROM sd) - INTERVAL 30 MINUTE
 GROUP BY window_start, road_name"""
 
+SQL["stream_three_sinks"] = BASE + """
+, sd AS (
+  SELECT * FROM strict
+  QUALIFY row_number() OVER (PARTITION BY link_id, interval_start
+                             ORDER BY dumped_at, topic, "partition", "offset") = 1
+), w AS (
+  SELECT road_name_fb AS road_name, delay_seconds,
+         unnest([time_bucket(INTERVAL 5 MINUTE, event_time),
+                 time_bucket(INTERVAL 5 MINUTE, event_time) - INTERVAL 5 MINUTE]) AS window_start
+  FROM sd
+)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, road_name,
+       round(avg(delay_seconds), 6) AS avg_delay_seconds
+FROM w GROUP BY window_start, road_name"""
+SQL["stream_expectations"] = SQL["bronze_expectations"]
+SQL["stream_publish"] = SQL["kafka_out_frame"]
+
 SQL["land_dump"] = BASE + """
 SELECT "partition", "offset", CASE WHEN event_id % 25 = 0 THEN NULL ELSE kafka_key END AS key, link_id, dumped_at
 FROM dump"""

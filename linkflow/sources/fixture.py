@@ -247,6 +247,12 @@ def raw_responses(ev: DataFrame) -> DataFrame:
                            F.concat(F.lit("/links/"), link.cast("string")).alias("url"))
 
 
+def provider_records(ev: DataFrame) -> DataFrame:
+    """One provider record per event with its request's url and time."""
+    return base(ev).select(F.to_json(payload_struct()).alias("record"), _ts().alias("ts"),
+                           F.concat(F.lit("/links/"), _link().cast("string")).alias("url"))
+
+
 def offsets_table(dump: DataFrame) -> DataFrame:
     """Broker offsets per partition derived from a dump: begin = min offset,
     end = max offset + 1; committed = end for partition 0, the midpoint for

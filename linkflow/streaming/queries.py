@@ -17,11 +17,13 @@ from linkflow.operators import bronze as br
 from linkflow.operators import dimension as dm
 from linkflow.operators import fact as ft
 from linkflow.operators import gold as gd
+from linkflow.operators import ingest as ig
 from linkflow.operators import silver as sv
 from linkflow.operators.load import PK, load_observations
 from linkflow.plans.layers import publish
 from linkflow.sources import fixture as fx
-from linkflow.sources import growing, jsonl
+from linkflow.sources import growing, jsonl, outbox
+from linkflow.streaming import metrics
 from linkflow.streaming import runner as rn
 from linkflow.streaming.lag import landing_lag
 from linkflow.streaming.table import BUCKET, OffsetTable, Pointer, VersionedTable
@@ -132,8 +134,8 @@ def q_stream_incremental_load(spark, sf_dir):
     own; equals one load of all files."""
     load = LandingLoad(rn.Workspace(spark, "load"))
     dump = fx.dump_clean(fx.events(spark, sf_dir))
-    for r in range(3):
-        append_landing(dump.filter(F.col("offset") % 3 == r), load.folder, f"{fx.TOPIC}_0001.jsonl")
+    for last in (False, True):
+        append_landing(dump.filter((F.col("offset") % 3 == 2) == last), load.folder, f"{fx.TOPIC}_0001.jsonl")
         load.run()
     name, again = fx.landing_batches(fx.events(spark, sf_dir), "replays")[-1]
     append_landing(again, load.folder, name)
@@ -366,6 +368,94 @@ def q_stream_monitor_watermarked(spark, sf_dir):
     return _published_monitor(spark.read.parquet(target))
 
 
+# ------------------------------------------------------------------ three targets from one read
+class StrictSinks:
+    """Bronze, the strict de-duplicated records and their sliding mean delay, from one
+    read of the source.  The means are kept as sums and counts, to which a micro-batch
+    adds those of the records that it brought in."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.bronze = OffsetTable(spark, f"{root}/bronze")
+        self.silver = VersionedTable(spark, f"{root}/silver", day())
+        self.delay = VersionedTable(spark, f"{root}/delay", day("window_start"))
+        self.write = rn.fan_out(self.to_bronze, self.to_silver, self.to_delay)
+
+    def to_bronze(self, batch: DataFrame, batch_id: int) -> None:
+        self.bronze.insert(br.bronze(batch), batch_id)
+
+    def to_silver(self, batch: DataFrame, batch_id: int) -> None:
+        strict = sv.silver_strict(br.bronze_typed(batch))
+        self.silver.insert_first(strict.select(*STRICT_SINK), batch_id, DEDUP_KEYS, DEDUP_ORDER)
+
+    def to_delay(self, batch: DataFrame, batch_id: int) -> None:
+        w = F.window("event_time", gd.DELAY_WINDOW, gd.DELAY_SLIDE)
+        new = self.silver.added(batch_id).groupBy(w.alias("w"), "road_name").agg(
+            F.sum("delay_seconds").alias("delay_sum"), F.count("delay_seconds").alias("delay_count"))
+        new = new.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "road_name",
+                         "delay_sum", "delay_count")
+        keys = ["window_start", "window_end", "road_name"]
+        self.delay.merge(new, batch_id, lambda held, mine: held.unionByName(mine).groupBy(*keys).agg(
+            F.sum("delay_sum").alias("delay_sum"), F.sum("delay_count").alias("delay_count")))
+
+    def means(self) -> DataFrame:
+        return self.delay.rows().withColumn("avg_delay_seconds", F.col("delay_sum") / F.col("delay_count"))
+
+
+STRICT_SINK = ("link_id", "interval_start", "road_name", "event_time", "delay_seconds", *DEDUP_ORDER)
+
+
+@stream_query("stream_three_sinks")
+def q_stream_three_sinks(spark, sf_dir):
+    """One query, three targets; records land in two steps by time.  Result: the mean
+    delays of all windows."""
+    ws = rn.Workspace(spark, "three")
+    dump = fx.dump_strict_input(fx.events(spark, sf_dir))
+    t = F.unix_micros(F.col("dumped_at").try_cast("timestamp"))
+    middle = dump.select(F.floor((F.min(t) + F.max(t)) / 2)).scalar()
+    src, sinks = ws.path("source"), StrictSinks(spark, ws.path("tables"))
+    for step in (dump.filter(t < middle), dump.filter(t >= middle)):
+        land_parquet(step, src)
+        rn.foreach_batch(source_stream(spark, src, dump.schema, max_files=None), sinks.write,
+                         ws.checkpoint("three"), "three-sinks")
+    return _published_delay(sinks.means())
+
+
+# ------------------------------------------------------------------ quality counters
+@stream_query("stream_expectations")
+def q_stream_expectations(spark, sf_dir):
+    """Violations of the bronze rules as a running query's listener logged them, over
+    two landing steps of a dump with broken records."""
+    ws = rn.Workspace(spark, "expectations")
+    dump = fx.dump_dirty(fx.events(spark, sf_dir))
+    src, target, root = ws.path("source"), ws.path("bronze"), ws.path("metrics")
+    watch = metrics.ExpectationLog(spark, root)
+    spark.streams.addListener(watch)
+    try:
+        for r in (0, 1):
+            land_parquet(dump.filter(F.pmod(F.xxhash64("offset", "dumped_at"), F.lit(2)) == r), src)
+            q = rn.append_parquet(br.bronze(source_stream(spark, src, dump.schema)), target,
+                                  ws.checkpoint("bronze"), "guarded-bronze")
+            watch.wait(q)
+    finally:
+        spark.streams.removeListener(watch)
+    return metrics.totals(metrics.expectation_log(spark, root))
+
+
+# ------------------------------------------------------------------ publishing
+@stream_query("stream_publish")
+def q_stream_publish(spark, sf_dir):
+    """Provider records published as keyed envelopes by a stream, two steps; what the
+    delivery reports name is read back."""
+    ws = rn.Workspace(spark, "publish")
+    src, topic = ws.path("source"), ws.path("topic")
+    records = fx.provider_records(fx.events(spark, sf_dir))
+    for r in (0, 1):
+        land_parquet(records.filter(F.pmod(F.xxhash64("record"), F.lit(2)) == r), src)
+        rows = ig.envelope_rows(source_stream(spark, src, records.schema), fx.SOURCE_TYPE)
+        rn.run(outbox.publish_stream(rows, topic), ws.checkpoint("publish"), "publish")
+    return ig.published_values(outbox.delivered(spark, topic))
+
+
 # ------------------------------------------------------------------ landing
 @stream_query("stream_land_dump")
 def q_stream_land_dump(spark, sf_dir):

@@ -33,8 +33,11 @@ from linkflow.operators.latest import first_by, insert_only, latest_by
 
 BUCKET, VERSION = "bucket", "version"
 
-#: Offsets of a block: runs of offsets are cut at the ends of blocks.
-BLOCK = 1 << 20
+#: Offsets of a block: runs of offsets are cut at the ends of blocks, and runs of
+#: equal blocks are compared with each other.
+BLOCK = 1 << 8
+#: Offsets of a bucket of an ``OffsetTable``.
+BUCKET_OFFSETS = 1 << 24
 
 
 class Files:
@@ -71,6 +74,12 @@ class Files:
     def delete(self, name: str) -> None:
         self.fs.delete(self.path(name), True)
 
+    def move(self, name: str, to: str) -> None:
+        self.delete(to)  # of a version that was never committed
+        self.fs.mkdirs(self.path(to).getParent())
+        if not self.fs.rename(self.path(name), self.path(to)):
+            raise FileExistsError(f"{self.root}/{to}")
+
 
 @dataclass
 class Pointer:
@@ -173,10 +182,14 @@ class VersionedTable:
 
     def _staged(self, rows: DataFrame, old: Pointer) -> tuple[DataFrame, list[str]]:
         """The batch, written once, and the buckets that it touches."""
-        stage = f"staged/{old.version + 1}"
+        stage = self._stage(old)
         touched = self._write(rows, stage)
         return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{stage}").drop(BUCKET), touched
 
+    @staticmethod
+    def _stage(old: Pointer) -> str:
+        return f"staged/{old.version + 1}"
+
     @staticmethod
     def _folder(old: Pointer) -> str:
         return f"data/{VERSION}={old.version + 1}"
@@ -224,8 +237,11 @@ class VersionedTable:
         if batch <= old.batch:
             return False
         mine, touched = self._staged(rows, old)
-        held = self.read(touched, old)
-        made = self._write(mine if held is None else how(held.select(*mine.columns), mine), self._folder(old))
+        if set(touched) & set(old.folders):
+            made = self._write(how(self.read(touched, old).select(*mine.columns), mine), self._folder(old))
+        else:  # all is new: the batch's own files are the version's
+            made = touched
+            self.files.move(self._stage(old), self._folder(old))
         stay = {b: v for b, v in old.folders.items() if b not in touched}
         self._commit(old, rows.schema, stay | {b: [old.version + 1] for b in made}, batch)
         self.files.delete("staged")
@@ -244,8 +260,11 @@ class VersionedTable:
         if batch <= old.batch:
             return False
         mine, touched = self._staged(first_by(rows, keys, order), old)
-        held = self.read(touched, old)
-        made = self._write(insert_only(mine, held, keys), self._folder(old))
+        if set(touched) & set(old.folders):
+            made = self._write(insert_only(mine, self.read(touched, old), keys), self._folder(old))
+        else:
+            made = touched
+            self.files.move(self._stage(old), self._folder(old))
         self._commit(old, rows.schema, self._added(old, made), batch)
         self.files.delete("staged")
         self._compact()
@@ -281,14 +300,14 @@ class OffsetTable(VersionedTable):
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = ("topic", "partition", "offset"),
-                 block: int = BLOCK, **kw):
-        self.keys, self.range_keys, self.seq, self.block = list(keys), list(keys[:-1]), keys[-1], block
+                 bucket_offsets: int = BUCKET_OFFSETS, **kw):
+        self.keys, self.range_keys, self.seq = list(keys), list(keys[:-1]), keys[-1]
         super().__init__(spark, root, F.concat_ws("-", *[F.col(k).cast("string") for k in self.range_keys],
-                                                  F.floor(F.col(self.seq) / (block << 4)).cast("string")), **kw)
+                                                  F.floor(F.col(self.seq) / bucket_offsets).cast("string")), **kw)
 
     def _runs(self, rows: DataFrame, folder: str) -> DataFrame:
         path = f"{self.root}/{folder}"
-        seq_runs(rows, self.range_keys, self.seq, self.block).write.mode("overwrite").parquet(path)
+        seq_runs(rows, self.range_keys, self.seq).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     def colliding(self, runs: DataFrame, pointer: Pointer) -> list[tuple[int, str]]:
@@ -311,11 +330,12 @@ class OffsetTable(VersionedTable):
         old = self.pointer()
         if batch <= old.batch:
             return False
-        mine, _ = self._staged(rows, old)
+        mine, made = self._staged(rows, old)
         runs = self._runs(mine, f"runs/{VERSION}={old.version + 1}")
-        met = self.colliding(runs, old)
-        new = insert_only(mine, self.rows(folders=met, pointer=old) if met else None, self.keys)
-        made = self._write(new, self._folder(old))
+        if met := self.colliding(runs, old):
+            made = self._write(insert_only(mine, self.rows(folders=met, pointer=old), self.keys), self._folder(old))
+        else:
+            self.files.move(self._stage(old), self._folder(old))
         self._commit(old, rows.schema, self._added(old, made), batch)
         self.files.delete("staged")
         self._compact()

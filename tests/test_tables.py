@@ -253,3 +253,89 @@ def test_landing_glob_and_growing_source_agree(spark):
     a = spark.read.text(jsonl.dump_glob(folder)).select("value")
     b = growing.growing_range(spark, folder).select("value")
     assert a.count() == 2 * dump.count() and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+# ------------------------------------------------------------------ three targets
+def test_targets_go_on_after_a_failure_between_them(spark, monkeypatch):
+    ws = rn.Workspace(spark, "three")
+    dump = fx.dump_strict_input(fx.events(spark, SF_SMALL))
+    at = F.col("dumped_at") < "2024-01-12"
+    steady, broken = sq.StrictSinks(spark, ws.path("a")), sq.StrictSinks(spark, ws.path("b"))
+    for batch, rows in enumerate((dump.filter(at), dump.filter(~at))):
+        steady.write(rows, batch)
+        for table, name in ((broken.silver, "insert_first"), (broken.delay, "merge")):
+            with monkeypatch.context() as m:  # the first targets are committed, this one fails
+                m.setattr(table, name, lambda *a, **k: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    broken.write(rows, batch)
+        broken.write(rows, batch)
+        broken.write(rows, batch)
+    for name in ("bronze", "silver", "delay"):
+        a, b = getattr(steady, name).rows(), getattr(broken, name).rows()
+        assert a.count() == b.count() > 0
+    a, b = steady.delay.rows(), broken.delay.rows()
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert broken.delay.rows().agg(F.sum("delay_count")).first()[0] == 2 * broken.silver.rows().count()
+
+
+# ------------------------------------------------------------------ quality counters
+def test_logged_expectations_equal_the_report(spark):
+    from linkflow.operators.quality import observed_guard
+    from linkflow.streaming import metrics
+    ws = rn.Workspace(spark, "metrics")
+    dump = fx.dump_dirty(fx.events(spark, SF_SMALL))
+    want = {tuple(r) for r in br.bronze_expectations(dump).collect()}
+    assert {tuple(r) for r in sq.q_stream_expectations(spark, SF_SMALL).collect()} == want
+    # a batch job: counted by the pass that writes the rows
+    root = ws.path("log")
+    kept, seen = observed_guard(br.bronze_columns(dump), br.bronze_rules(), "bronze_expectations")
+    kept.drop("env").write.parquet(ws.path("bronze"))
+    for _ in range(2):  # a repeated batch replaces its counts
+        metrics.log(spark, root, "batch-bronze", 0, {"bronze_expectations_1": seen.get})
+    entries = metrics.expectation_log(spark, root)
+    assert {tuple(r) for r in metrics.totals(entries).collect()} == want
+    assert {(r.query, r.batch, r.expectations) for r in entries.collect()} == {("batch-bronze", 0, "bronze_expectations")}
+
+
+# ------------------------------------------------------------------ publishing
+def test_reports_count_delivered_and_rejected_records(spark):
+    from linkflow.sources import outbox
+    ws = rn.Workspace(spark, "outbox")
+    rows = spark.createDataFrame([(b"a", b"1"), (None, b"2"), (b"c", None), (b"d", b"x" * 100)], "key binary, value binary")
+    src, topic = ws.path("src"), ws.path("topic")
+    sq.land_parquet(rows, src)
+    q = rn.run(outbox.publish_stream(sq.source_stream(spark, src, rows.schema), topic, max_bytes=50), ws.checkpoint("p"))
+    assert q.exception() is None
+    r = outbox.reports(spark, topic).collect()
+    assert [(x.batch, x.aborted, x.delivered, x.rejected) for x in r] == [(0, False, 2, 2)]
+    assert sorted((x.key or "", x.value) for x in outbox.delivered(spark, topic).collect()) == [("", "2"), ("a", "1")]
+    assert sorted((x.key, x.reason) for x in outbox.rejected(spark, topic).collect()) == [("c", "no value"), ("d", "101 bytes")]
+
+
+def test_a_failed_task_is_reported_and_its_retry_delivers_once(spark):
+    from linkflow.sources import outbox
+    ws = rn.Workspace(spark, "outbox-fail")
+    rows = spark.range(20).select(F.col("id").cast("string").cast("binary").alias("key"),
+                                  F.col("id").cast("string").cast("binary").alias("value"))
+    src, topic, flag = ws.path("src"), ws.path("topic"), ws.path("flag")
+    sq.land_parquet(rows.repartition(4), src)
+    path = growing.open_fs(flag)[1]
+
+    def broken(batches):
+        for b in batches:
+            if not os.path.exists(path) and any(v == b"7" for v in b.column(0).to_pylist()):
+                raise RuntimeError("broker away")
+            yield b
+
+    def publish():
+        frame = sq.source_stream(spark, src, rows.schema, max_files=None).mapInArrow(broken, "key binary, value binary")
+        return rn.run(outbox.publish_stream(frame, topic), ws.checkpoint("p"))
+
+    with pytest.raises(Exception, match="broker away"):
+        publish()
+    assert [(r.aborted, r.delivered > 0 or r.tasks >= 0) for r in outbox.reports(spark, topic).collect()] == [(True, True)]
+    assert outbox.delivered(spark, topic).count() == 0
+    os.makedirs(path)
+    publish()
+    assert sorted(int(r.value) for r in outbox.delivered(spark, topic).collect()) == list(range(20))
+    assert sorted((r.batch, r.aborted) for r in outbox.reports(spark, topic).collect()) == [(0, False), (0, True)]
