@@ -526,6 +526,7 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, road_name,
        round(avg(delay_seconds), 6) AS avg_delay_seconds
 FROM w GROUP BY window_start, road_name"""
 SQL["stream_expectations"] = SQL["bronze_expectations"]
+SQL["stream_kpi_traffic"] = SQL["kpi_traffic"]
 SQL["stream_publish"] = SQL["kafka_out_frame"]
 
 SQL["land_dump"] = BASE + """

@@ -25,6 +25,7 @@ from linkflow.sources import fixture as fx
 from linkflow.sources import growing, jsonl, outbox
 from linkflow.streaming import metrics
 from linkflow.streaming import runner as rn
+from linkflow.streaming.dashboards import DashboardTables
 from linkflow.streaming.lag import landing_lag
 from linkflow.streaming.table import BUCKET, OffsetTable, Pointer, VersionedTable
 
@@ -441,6 +442,25 @@ def q_stream_expectations(spark, sf_dir):
     return metrics.totals(metrics.expectation_log(spark, root))
 
 
+# ------------------------------------------------------------------ dashboards
+def dashboards(spark, sf_dir) -> DashboardTables:
+    """The dashboards' tables after a load in two micro-batches, the second with replays."""
+    ws = rn.Workspace(spark, "dashboards")
+    dump = fx.dump_clean(fx.events(spark, sf_dir))
+    src, tables = ws.path("source"), DashboardTables(spark, ws.path("tables"))
+    even = F.col("offset") % 2 == 0
+    for step in (dump.filter(even), dump.filter(~even | (F.col("offset") % 20 == 0))):
+        land_parquet(step, src)
+        rn.foreach_batch(source_stream(spark, src, dump.schema), tables, ws.checkpoint("load"), "dashboards")
+    return tables
+
+
+@stream_query("stream_kpi_traffic")
+def q_stream_kpi_traffic(spark, sf_dir):
+    """The figures of the traffic page, from the partials of the window's days."""
+    return publish(dashboards(spark, sf_dir).kpi_traffic(240))
+
+
 # ------------------------------------------------------------------ publishing
 @stream_query("stream_publish")
 def q_stream_publish(spark, sf_dir):

@@ -339,3 +339,28 @@ def test_a_failed_task_is_reported_and_its_retry_delivers_once(spark):
     publish()
     assert sorted(int(r.value) for r in outbox.delivered(spark, topic).collect()) == list(range(20))
     assert sorted((r.batch, r.aborted) for r in outbox.reports(spark, topic).collect()) == [(0, False), (0, True)]
+
+
+# ------------------------------------------------------------------ dashboards
+def test_dashboards_from_partials_equal_those_from_rows(spark):
+    from linkflow.operators import dashboard as db
+    from linkflow.operators.load import load_observations
+    from tools.compare import same
+    tables = sq.dashboards(spark, SF_SMALL)
+    obs = load_observations(fx.dump_clean(fx.events(spark, SF_SMALL)), columns=db.FRAME_COLUMNS)
+    for minutes in (60, 240, 60 * 24 * 3):
+        w = db.window_frame(obs, window_minutes=minutes)
+        m = db.monitor_window(w)
+        pairs = [(tables.kpi_traffic(minutes), db.kpi_traffic(w)), (tables.kpi_monitor(minutes), db.kpi_monitor(w)),
+                 (tables.delay_over_time(minutes), db.delay_over_time(w)),
+                 (tables.latest_by_road(minutes), db.latest_by_road(w)),
+                 (tables.records_per_5m(minutes), db.records_per_5m(m)),
+                 (tables.partition_distribution(minutes), db.partition_distribution(m)),
+                 (tables.max_offset_by_partition(minutes), db.max_offset_by_partition(m)),
+                 (tables.window(tables.rows, minutes), w)]
+        for got, want in pairs:
+            ok, why = same(got.toPandas(), want.toPandas())
+            assert ok, why
+        assert all("/rows/" not in f and "/observations/" not in f for got, _ in pairs[:-1] for f in got.inputFiles())
+    for n in (7, 300, 10_000):
+        assert same(tables.newest(n).toPandas(), db.newest(obs, n).toPandas())[0]
