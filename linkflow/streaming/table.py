@@ -133,6 +133,8 @@ class VersionedTable:
 
     def _commit(self, old: Pointer, schema: T.StructType | None, folders: dict[str, list[int]], batch: int) -> None:
         new = Pointer(old.version + 1, batch, json.loads(schema.json()) if schema is not None else old.schema, folders)
+        if all(v != new.version for v, _ in new.named()):  # nothing was new
+            self.files.delete(self._folder(old))
         self.files.write(f"versions/{new.version:012d}.json", json.dumps(vars(new)))
         self._clean(new.version)
 

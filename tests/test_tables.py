@@ -122,6 +122,15 @@ def test_sparse_replay_reads_only_the_versions_that_hold_it(spark):
     assert table.rows().count() == dump.count() + 5
 
 
+def test_batches_without_new_rows_leave_nothing(spark):
+    table = OffsetTable(spark, rn.Workspace(spark, "known").path("t"))
+    rows = spark.createDataFrame([("t", 0, k) for k in range(9)], "topic string, partition int, offset bigint")
+    for batch in range(12):
+        table.insert(rows if batch % 2 == 0 else rows.limit(0), batch)
+    assert table.rows().count() == 9 and table.files.names("data") == ["version=1"]
+    assert len(table.files.names("runs")) <= 6 and len(table.files.names("versions")) <= 4
+
+
 def test_null_ids_are_never_known(spark):
     table = OffsetTable(spark, rn.Workspace(spark, "nulls").path("t"))
     rows = spark.createDataFrame([("t", 0, None), ("t", None, 1), (None, 0, 1), ("t", 0, 1)],
