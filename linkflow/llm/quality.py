@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import let, words
-from linkflow.llm.rules import GAPS, class_counts, n_dup_lines
+from linkflow.llm.common import GAPS, let, words
+from linkflow.llm.rules import class_counts, n_dup_lines
 
 DIMS = 1 << 12
 BAD, ABSTAIN, GOOD = 0, 1, 2

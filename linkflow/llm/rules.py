@@ -20,19 +20,19 @@ three-word windows.
 
 from __future__ import annotations
 
-import json
 import math
-import string
-import zlib
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import GAPS, let, saved, words
+from linkflow.llm.common import let, saved, words
 
 # Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
+#: White space between words, inside a character class.
+WORD_GAP_CHARS = r" \t-\r"
 #: Punctuation of running text; a class of its own.
 MARKS = ".,;:!?'\"()-"
 
@@ -53,8 +53,9 @@ class Limits:
     reference_words: int = 1000    # and words
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _count(text: Column, chars: str) -> Column:
+    """Number of a text's characters that are among some."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]+", ""))
 
 
 #: Lower-case letters, upper-case letters, other letters and marks, digits,
@@ -62,22 +63,20 @@ def _without(text: Column, chars: str) -> Column:
 N_CLASSES = 8
 
 
-def class_counts(text: Column) -> Column:
-    """Array of the numbers of a text's characters by class.
+def class_counts(text: Column, gaps: Column | None = None) -> Column:
+    """Array of the numbers of a text's characters by class; ``gaps``: of white space, if known.
 
-    Most characters are a-z: these go first, and the other classes are counted
-    in what is left.  Patterns name what a class is not, as runs of that are
-    long.
+    Most characters are a-z and white space: these go first, and the other classes
+    are counted in what is left.
     """
+    gaps = _count(text, WORD_GAP_CHARS) if gaps is None else gaps
 
     def counted(rest: Column) -> Column:
-        only = lambda kind: F.length(F.regexp_replace(rest, f"[^{kind}]+", ""))
-        among = lambda chars: F.length(rest) - _without(rest, chars)
-        return F.array(F.length(text) - F.length(rest) + only(r"\p{Ll}"), only(r"\p{Lu}"),
-                       only(r"\p{Lt}\p{Lm}\p{Lo}\p{M}"), only(r"\p{Nd}"),
-                       among(GAPS), among(MARKS), among(SYMBOLS))
+        return F.array(F.length(text) - F.length(rest) - gaps + _count(rest, r"\p{Ll}"), _count(rest, r"\p{Lu}"),
+                       _count(rest, r"\p{Lt}\p{Lm}\p{Lo}\p{M}"), _count(rest, r"\p{Nd}"),
+                       gaps, _count(rest, re.escape(MARKS)), _count(rest, re.escape(SYMBOLS)))
 
-    known = let(F.translate(text, string.ascii_lowercase, ""), counted)
+    known = let(F.regexp_replace(text, f"[a-z{WORD_GAP_CHARS}]+", ""), counted)
     return let(known, lambda k: F.concat(
         F.transform(k, lambda x: x.cast("bigint")),
         F.array(F.aggregate(k, F.length(text).cast("bigint"), lambda a, x: a - x))))
@@ -116,8 +115,8 @@ def n_dup_lines(text: Column) -> Column:
 def base_columns(text: Column, w: Column) -> list[Column]:
     """The base figures of a non-null text with the words ``w``."""
     return [F.size(w).cast("bigint").alias("n_words"),
-            _without(text, GAPS).cast("bigint").alias("word_chars"),
-            (F.length(text) - _without(text, SYMBOLS)).cast("bigint").alias("n_symbols"),
+            F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+            _count(text, re.escape(SYMBOLS)).cast("bigint").alias("n_symbols"),
             n_dup_lines(text).cast("bigint").alias("n_dup_lines"),
             n_repeat_words(w).cast("bigint").alias("n_repeat_words")]
 
@@ -149,20 +148,43 @@ def _frequent(df: DataFrame, lang: Column, text: Column, enough: list[str], limi
     return {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in found.items()}
 
 
-def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits) -> list[dict]:
+def figures(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(id, k1, k2, lang__, base figures, c) of every row, written once.
+
+    ``k1``, ``k2``: the row by its id and a hash of its text; ``c``: its class histogram.
+    """
+    base = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text__"),
+                     F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__"))
+    text = F.col("text__")
+    measured = let(words(text), lambda w: F.struct(*base_columns(text, w)))
+    rows = base.select(id_col, *_row_key(id_col, text), "lang__", "text__", measured.alias("m__"))
+    gaps = F.length("text__") - F.col("m__.word_chars").cast("int")
+    return saved(rows.select(id_col, "k1", "k2", "lang__", "m__.*", class_counts(F.col("text__"), gaps).alias("c")),
+                 "rules-rows")
+
+
+def _row_key(id_col: str, text: Column) -> list[Column]:
+    """A row's id, and a hash that tells the texts of an id (64 bits where there is no id)."""
+    k = F.col(id_col)
+    return [k.alias("k1"), F.when(k.isNull(), F.xxhash64(text)).otherwise(F.hash(text)).alias("k2")]
+
+
+def references(df: DataFrame, text_col: str, lang_col: str, limits: Limits, rows: DataFrame | None = None) -> list[dict]:
     """Per language: class shares, the shares of its common words, and its bands of the next ones.
 
-    Measured over all documents.  A language with too few documents or words
-    has none, so that a rare or wrong label is not its own measure; if there is
-    no label at all, all documents make one.  One row per language and
-    ``band_words`` words for each reach the driver: languages are codes, a
-    bounded set.  Words are pre-aggregated in the scan's tasks.
+    Measured over all documents (``rows``: their figures, if they are there
+    already).  A language with too few documents or words has none, so that a
+    rare or wrong label is not its own measure; if there is no label at all, all
+    documents make one.  One row per language and ``band_words`` words for each
+    reach the driver: languages are codes, a bounded set.  Words are
+    pre-aggregated in the scan's tasks.
     """
+    if rows is None:
+        rows = figures(df, text_col, text_col, lang_col)
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    classes = df.select(lang, class_counts(text).alias("c"), F.size(words(text)).alias("n"))
-    figures = [F.count(F.lit(1)), F.sum("n"), *[F.sum(F.col("c")[i]) for i in range(N_CLASSES)]]
-    sums = {r[0]: list(r)[1:] for r in classes.groupBy("lang__").agg(*figures).collect()}
+    totals = [F.count(F.lit(1)), F.sum("n_words"), *[F.sum(F.col("c")[i]) for i in range(N_CLASSES)]]
+    sums = {r[0]: list(r)[1:] for r in rows.groupBy("lang__").agg(*totals).collect()}
     enough = sorted(k for k, v in sums.items()
                     if k and v[0] >= limits.reference_docs and v[1] >= limits.reference_words)
     if set(sums) == {""} and sums[""][1]:
@@ -232,21 +254,6 @@ def _bins(ref: dict) -> tuple[dict[str, int], list[float]]:
             [*ref["words"].values(), *ref.get("masses", [])])
 
 
-def _looked_up(table: dict[str, list]):
-    """A function from a word to its value in ``table``, null if it has none.
-
-    The table is one constant, an array of small maps at the checksum of the
-    word: a map of all words would be searched from end to end.
-    """
-    n = 1 << (2 * len(table)).bit_length()
-    cells: list[dict | None] = [None] * n
-    for w, v in table.items():
-        i = zlib.crc32(w.encode()) % n
-        cells[i] = (cells[i] or {}) | {w: v}
-    constant = F.from_json(F.lit(json.dumps(cells, ensure_ascii=False)), "array<map<string,array<int>>>")
-    return lambda w: F.element_at(F.get(constant, (F.crc32(w.cast("binary")) % n).cast("int")), w)
-
-
 def _word_divergence(doc: Column, shares: list[float]) -> Column:
     """Twice the divergence of a document's (b, p) entries from the shares of a reference's bins."""
     mass = min(1.0, sum(shares))
@@ -260,39 +267,48 @@ def _word_divergence(doc: Column, shares: list[float]) -> Column:
                + _term(F.greatest(1 - z["p"], F.lit(0.0)), F.lit(1.0 - mass)))
 
 
-def word_distance(w: Column, refs: list[dict]) -> Column:
-    """Distance of a word histogram to the nearest reference; null if none has words.
+#: Stands before the words of each row, so that rows equal in id and text are told.
+ROW, ROW_BIN = "\n", -1
+
+
+def binned_words(texts: DataFrame, refs: list[dict]) -> DataFrame:
+    """(k1, k2, bins, rows) of texts (k1, k2, text__): how often they have words of which bins.
+
+    The references' words are a table of at most ``band_words`` rows for each,
+    which every task holds; the bins of a reference are numbered from where those
+    of the one before end.  Words are counted in the scan's tasks, so a text sends
+    on a row per bin.
+    """
+    table, begin = [(ROW, ROW_BIN)], 0
+    for bins, shares in map(_bins, refs):
+        table += [(w, begin + b) for w, b in bins.items()]
+        begin += len(shares)
+    known = F.broadcast(texts.sparkSession.createDataFrame(table, "w string, bin int"))
+    each = texts.select("k1", "k2", F.explode(F.concat(F.array(F.lit(ROW)), words(F.lower("text__")))).alias("w"))
+    counted = each.join(known, "w").groupBy("k1", "k2", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("k1", "k2").agg(
+        F.collect_list(F.when(F.col("bin") != ROW_BIN, F.struct("bin", "n"))).alias("bins"),
+        F.max(F.when(F.col("bin") == ROW_BIN, F.col("n"))).alias("rows"))
+
+
+def word_distance(bins: Column, n_words: Column, refs: list[dict]) -> Column:
+    """Distance of a word histogram (``bin``, ``n`` of ``n_words``) to the nearest reference.
 
     A reference's bins are its common words, its bands and one for all others.
-    The bins of the document's words are sorted, so that the place of each
-    distinct one gives its count.
     """
-    binned = [_bins(r) for r in refs if r["words"]]
-    if not binned:
-        return F.lit(None).cast("double")
-    table: dict[str, list] = {}
-    for i, (bins, _) in enumerate(binned):
-        for v, b in bins.items():
-            table.setdefault(v, [None] * len(binned))[i] = b
-    look = _looked_up(table)
-    places = F.filter(F.transform(w, lambda x: let(F.lower(x), look)), lambda x: x.isNotNull())
-
-    def measure(met: Column) -> Column:
-        def own(i: int) -> Column:
-            of = F.sort_array(F.filter(F.transform(met, lambda x: F.get(x, F.lit(i))), lambda x: x.isNotNull()))
-
-            def counted(s: Column, d: Column) -> Column:
-                first = F.transform(d, lambda x: F.array_position(s, x))
-                return let(first, lambda f: F.transform(d, lambda x, j: F.struct(
-                    x.alias("b"), ((F.coalesce(F.get(f, j + 1), F.size(s) + 1) - F.get(f, j)) / F.size(w)).alias("p"))))
-
-            doc = let(of, lambda s: let(F.array_distinct(s), lambda d: counted(s, d)))
-            return let(doc, lambda x: _word_divergence(x, binned[i][1]))
-
-        each = [own(i) for i in range(len(binned))]
+    def divergence(doc: Column, begin: int, shares: list[float]) -> Column:
+        own = F.filter(doc, lambda x: (x["b"] >= begin) & (x["b"] < begin + len(shares)))
+        moved = F.transform(own, lambda x: F.struct((x["b"] - begin).alias("b"), x["p"].alias("p")))
+        return let(moved, lambda d: _word_divergence(d, shares))
+
+    def nearest(doc: Column) -> Column:
+        each, begin = [], 0
+        for _, shares in map(_bins, refs):
+            each.append(divergence(doc, begin, shares))
+            begin += len(shares)
         return _distance(F.least(*each) if len(each) > 1 else each[0])
 
-    return let(places, measure)
+    return let(F.transform(bins, lambda x: F.struct(x["bin"].alias("b"), (x["n"] / n_words).alias("p"))), nearest)
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -310,24 +326,27 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows give a row each.  An empty table gives no rows.  Other columns are
     not read, so their names cannot clash.
     """
-    refs = references(df, text_col, lang_col, limits)
-    base = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text__"),
-                     F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang__"))
-    text, lang = F.col("text__"), F.col("lang__")
-    if refs:
-        own = lang.isin([r["lang"] for r in refs])
-        compared = let(class_counts(text), lambda c: F.when(
-            own | ((lang == "") & script_known(c, refs)), class_distance(c, refs)))
-        measured = let(words(text), lambda w: F.struct(
-            *base_columns(text, w),
-            F.when(own & (F.size(w) >= limits.words_from), word_distance(w, refs)).alias("word_distance")))
-        classes = F.when(F.length(text) >= limits.chars_from, compared)
-    else:  # no language has enough documents
-        measured = let(words(text), lambda w: F.struct(
-            *base_columns(text, w), F.lit(None).cast("double").alias("word_distance")))
-        classes = F.lit(None).cast("double")
-    out = base.select(id_col, measured.alias("m__"), classes.alias("class_distance")) \
-        .select(id_col, "m__.*", "class_distance")
+    rows = figures(df, id_col, text_col, lang_col)
+    refs = references(df, text_col, lang_col, limits, rows)
+    telling_words = [r for r in refs if r["words"]]
+    lang, judged = F.col("lang__"), F.col("n_words") >= limits.words_from
+    own = lang.isin([r["lang"] for r in refs]) if refs else F.lit(False)
+    none = F.lit(None).cast("double")
+    out = rows.withColumn("class_distance", F.when(
+        (F.col("word_chars") + F.col("c")[4] >= limits.chars_from)
+        & (own | ((lang == "") & script_known(F.col("c"), refs))), class_distance(F.col("c"), refs)) if refs else none)
+    if telling_words:
+        text = F.coalesce(F.col(text_col), F.lit("")).alias("text__")
+        of_own = df.filter(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).isin([r["lang"] for r in refs]))
+        texts = of_own.select(F.col(id_col), text).select(*_row_key(id_col, F.col("text__")), "text__")
+        binned = binned_words(texts, telling_words).withColumnsRenamed({"k1": "of1", "k2": "of2"})
+        out = out.join(binned, F.col("k1").eqNullSafe(F.col("of1")) & (F.col("k2") == F.col("of2")), "left") \
+            .withColumn("word_distance", F.when(own & judged, word_distance(
+                F.col("bins"), F.col("n_words") * F.col("rows"), telling_words)))
+    else:
+        out = out.withColumn("word_distance", none)
+    out = out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "word_distance",
+                     "class_distance")
     failed = (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
     usual = (F.coalesce(F.col("class_distance") <= limits.max_chars, F.lit(True))
