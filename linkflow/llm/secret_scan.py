@@ -13,9 +13,11 @@ Fisher's sum combines them to one p-value per token.  Text fails the tests
 (p near 0), random tokens have p evenly spread over 0 to 1.  How well the two
 separate depends on the length, so false discoveries are controlled per
 encoding and length class, over all tokens of the corpus: the number of random
-tokens is estimated from the upper half of p, and a class reports the tokens
-above the smallest cut at which the share of others among them is at most
-``max_false``.
+tokens is estimated from the upper quarter of p, where others hardly come, and a
+class reports the tokens above the smallest cut at which the share of others among
+them is at most ``max_false``.  The estimate is the upper end of its confidence
+interval: a class must show others before it keeps tokens back, so a token alone in
+its class is judged by its own p, and a class of many tokens by their number.
 """
 
 from __future__ import annotations
@@ -49,6 +51,7 @@ class Battery:
 
     min_length: int = 20      # shorter tokens are too short for the tests
     max_false: float = 0.1    # share of other tokens among the reported ones
+    upper: float = 0.75       # p from which the number of random tokens is estimated
     cuts: tuple[float, ...] = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.4, 0.5)
 
 
@@ -211,18 +214,23 @@ def candidates(text: Column, battery: Battery) -> Column:
     return F.transform(found, judged)
 
 
+def _most(n: int) -> float:
+    """Upper end of the 95 % interval of a Poisson mean of which ``n`` were counted."""
+    return n + 1.92 + 1.96 * (n + 0.96) ** 0.5
+
+
 def cuts(tested: DataFrame, battery: Battery) -> dict[tuple[int, int], float]:
     """The p above which a token is reported, by (encoding, length class).
 
     ``tested``: the tokens of the whole corpus.  At most 4 x 31 classes with
     one count per cut reach the driver.
     """
-    at_least = [F.count_if(F.col("p") > c).alias(f"n{i}") for i, c in enumerate(battery.cuts)]
+    at_least = [F.count_if(F.col("p") > c).alias(f"n{i}") for i, c in enumerate([*battery.cuts, battery.upper])]
     rows = tested.groupBy("encoding", "size").agg(*at_least).collect()
     out = {}
     for r in rows:
-        counts = [r[f"n{i}"] for i in range(len(battery.cuts))]
-        random = counts[-1] / (1 - battery.cuts[-1])
+        *counts, high = [r[f"n{i}"] for i in range(len(battery.cuts) + 1)]
+        random = _most(high) / (1 - battery.upper)
         for cut, n in zip(battery.cuts, counts, strict=True):
             if n and 1 - random * (1 - cut) / n <= battery.max_false:
                 out[r["encoding"], r["size"]] = cut
@@ -257,9 +265,9 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     points, the end exclusive; ``base_sha256``: the digest of the base spans in
     that form.
 
-    Null and empty texts have no span.  Null or repeated ids and repeated rows
-    give a row each.  An empty table gives no rows.  Other columns are not
-    read, so their names cannot clash.  The texts are scanned once: the spans
+    Null and empty texts have no span; very long texts are scanned whole.  Null or
+    repeated ids and repeated rows give a row each.  An empty table gives no rows.
+    Other columns are not read, so their names cannot clash.  The texts are scanned once: the spans
     are written to the shared scratch folder before the cuts are known.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -282,12 +290,13 @@ def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]",
     Spans that overlap become one mask.  All rows and columns stay, ``text`` is
     the only column that changes, and a null text stays null.
     """
-    spans_of, text = fresh(df, "spans__"), F.col(text_col)
+    spans_of, tokens, text = fresh(df, "spans__"), fresh(df, "tokens__"), F.col(text_col)
     known = F.coalesce(text, F.lit(""))
-    tested = df.select(F.explode(candidates(known, battery)).alias("t")).select("t.*")
-    limits = cuts(tested, battery)
-    found = let(base_spans(known), lambda b: reported(candidates(known, battery), b, limits))
-    marked = df.withColumn(spans_of, F.when(text.isNotNull(), found))
+    # the battery runs once: the texts go with its tokens to the shared scratch folder
+    tested = saved(df.withColumn(tokens, candidates(known, battery)), "secret-tokens")
+    limits = cuts(tested.select(F.explode(tokens).alias("t")).select("t.*"), battery)
+    found = let(base_spans(known), lambda b: reported(F.col(tokens), b, limits))
+    marked = tested.withColumn(spans_of, F.when(text.isNotNull(), found))
 
     zero = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("bigint").alias("at"))
 

@@ -131,9 +131,10 @@ def test_words_in_bands_of_ranks(spark):
 
 def test_jensen_shannon_distance(spark):
     refs = [{"lang": "x", "classes": [0.5, 0.5, 0, 0, 0, 0, 0, 0], "words": {"a": 0.25, "b": 0.25}}]
-    one = spark.range(1).select(
+    text = spark.createDataFrame([(1, 2, "A a c d")], "k1 bigint, k2 int, text__ string")
+    one = rules.binned_words(text, refs).select(
         rules.class_distance(F.array(*[F.lit(v).cast("bigint") for v in (3, 0, 1, 0, 0, 0, 0, 0)]), refs).alias("c"),
-        rules.word_distance(F.array(*map(F.lit, ["A", "a", "c", "d"])), refs).alias("w")).first()
+        rules.word_distance(F.col("bins"), 4 * F.col("rows"), refs).alias("w")).first()
 
     def js(p, q):
         m = [(x + y) / 2 for x, y in zip(p, q, strict=True)]
@@ -197,6 +198,39 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert [got[i].n_random for i in got if i >= 100] == [0] * (3 * len(plain))
 
 
+def test_a_secret_alone_in_its_class_is_found(spark):
+    """One secret per encoding and length class, with prose around it, over ten seeds."""
+    alphabets = [string.digits + "abcdef", string.ascii_uppercase + "234567", string.ascii_letters + string.digits,
+                 string.ascii_letters + string.digits + "+/"]
+    lengths = [24, 40, 80, 160, 320]
+    found = Counter()
+    for seed in range(10):
+        rng = random.Random(100 + seed)
+        secrets = {(a, n): "".join(rng.choices(alphabets[a], k=n)) for a in range(4) for n in lengths}
+        rows = [(100 * a + n, f"see {t} end", "en", "a") for (a, n), t in secrets.items()]
+        rows += [(5000 + i, SENTENCES["en"] * 3, "en", "a") for i in range(5)]
+        got = {r.doc_id: r for r in secret_scan.scan(docs(spark, rows, clash=False)).collect()}
+        found.update(k for k, t in secrets.items() if f":4:{4 + len(t)}" in got[100 * k[0] + k[1]].spans)
+        assert not any(got[5000 + i].n_random for i in range(5))
+    assert len(found) == 20 and min(found.values()) >= 9, found
+
+
+def test_classes_of_others_are_kept_back(spark):
+    """Many tokens that are not random, wherever their p lies below the upper quarter, pass no cut."""
+    rng = random.Random(8)
+    rows = [(0, 5, 0.3)]  # alone
+    rows += [(1, 5, rng.random()) for _ in range(2000)]  # random
+    rows += [(2, 5, rng.uniform(0.5, 0.7)) for _ in range(2000)] + [(2, 6, rng.uniform(0, 0.4)) for _ in range(2000)]
+    rows += [(3, 5, rng.random()) for _ in range(500)] + [(3, 5, rng.uniform(0, 0.05)) for _ in range(5000)]
+    battery = secret_scan.Battery()
+    got = secret_scan.cuts(spark.createDataFrame(rows, "encoding int, size int, p double"), battery)
+    assert got[0, 5] == got[1, 5] == battery.cuts[0]
+    assert (2, 5) not in got and (2, 6) not in got
+    others = sum(1 for e, _, p in rows[-5000:] if p > got[3, 5])
+    mine = sum(1 for e, _, p in rows[-5500:-5000] if p > got[3, 5])
+    assert others <= battery.max_false * (others + mine) * 1.5 and mine > 300
+
+
 def test_p_values(spark):
     """Random tokens have p spread evenly; the normal tail is right."""
     zs = spark.createDataFrame([(-2.0,), (0.0,), (1.0,), (3.0,)], "z double")

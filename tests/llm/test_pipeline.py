@@ -55,7 +55,7 @@ def test_stages_in_order(spark):
 def test_queries_are_registered(spark):
     import __spark_entry__ as entry
     names = entry.queries()
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11)) and len(QUERIES) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14)) and len(QUERIES) == 13
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(SQL) <= set(entry.oracle_sql())
 
