@@ -232,7 +232,8 @@ def identify(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
 
     Null or repeated ids and repeated rows give a row each (and are learned
     from each); a null language is not learned from.  Equal cosines go to the
-    language first in code point order.  An empty table gives no rows.  Other
+    language first in code point order.  Very long texts are read whole.
+    An empty table gives no rows.  Other
     columns are not read.
     """
     model = train_model(df, ~held_out, id_col, text_col, lang_col)

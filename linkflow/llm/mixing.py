@@ -215,7 +215,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     Null and empty texts have size 0 and none taken.  A null source is a source
     of its own, the last.  Null or repeated ids and repeated rows are documents
     of their own; equal rows are interchangeable, so one of them may be taken
-    more often than the other.  An empty table gives no rows.  Other columns
+    more often than the other.  Very long texts are measured whole.
+    An empty table gives no rows.  Other columns
     are not read.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))

@@ -151,7 +151,8 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
     Null and empty texts are like texts of white space: votes and features of
     the empty string.  Null or repeated ids and repeated rows give a row each.
     If the label model finds only good or only bad documents, the scorer learns
-    from that side alone.  An empty table gives no rows.  Other columns are not
+    from that side alone.  Very long texts are read whole.
+    An empty table gives no rows.  Other columns are not
     read, so their names cannot clash.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -150,7 +150,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Texts without a word (null, empty, white space) have fingerprint zero and
     are linked like any other.  Null or repeated ids and repeated rows are rows
-    of their own, in the same component.  An empty table gives no rows.  Other
+    of their own, in the same component.  Very long texts are read whole.
+    An empty table gives no rows.  Other
     columns are not read.
     """
     prints = saved(df.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle, seed).alias("fp")),

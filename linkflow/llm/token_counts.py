@@ -32,7 +32,8 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Special strings inside a text count as the library's default has it.
     Null and empty texts give 0 and 0.  Ids are passed through: null or
-    repeated ids and repeated rows give a row each.  An empty table gives no
+    repeated ids and repeated rows give a row each.  Very long texts are counted whole.
+    An empty table gives no
     rows.  Other columns are not read, so their names cannot clash.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
