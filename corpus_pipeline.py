@@ -11,7 +11,8 @@ Parquet, and all but the last return the columns of the documents:
 5. ``packing``: the documents' tokens are packed into sequences.
 
 Null ids, null texts, repeated rows and further columns (whatever their names)
-pass through the stages as their operators state; an empty table gives empty
+pass through the stages as their operators state; very long texts are read whole
+by every stage, only packing cuts them; an empty table gives empty
 results.
 """
 
