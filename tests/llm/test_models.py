@@ -160,6 +160,16 @@ def test_lm_gradient():
         assert (loss(up) - loss(down)) / 2e-5 == pytest.approx(g[name][at], rel=1e-3, abs=1e-8)
 
 
+def test_lm_learns_from_every_window(spark):
+    """Also the only window of a short text."""
+    model = _model()
+    start = lm.initial(model.embed)
+    for n in range(3):
+        ids = bytearray(np.arange(n, n + 20).astype("<u2").tobytes())
+        got = lm.train_network(spark.createDataFrame([(ids,)], "ids binary"), model)
+        assert not np.array_equal(got["out"], start["out"])
+
+
 # ---------------------------------------------------------------- quality classifier
 def test_estimation_recovers_accuracies():
     rng = np.random.default_rng(4)
