@@ -41,18 +41,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of the events table that a task derives messages from.
+PART_BYTES = 2 << 20
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table.
 
-    Every dump derivation is per-row JSON work.  A scan is read as it is split; only
-    where it has fewer splits than the session has cores (a small table that is one
-    row group) are the narrow raw rows dealt anew, by hash, so that a retried task's
-    output is identical."""
+    Every dump derivation is per-row JSON work, so the narrow raw rows are dealt
+    anew over a number of tasks that grows with the table.  The splits of a scan are
+    no such number: a split without the middle of a row group has no rows.  Rows are
+    dealt by hash, so that a retried task's output is identical; the time deals those
+    of a repeated or null id."""
     ev = read_table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if ev._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return ev
-    return ev.repartition(cores, "event_id")
+    size = int(ev._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return ev.repartition(max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)), "event_id", "ts")
 
 
 def base(ev: DataFrame) -> DataFrame:

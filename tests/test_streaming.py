@@ -215,3 +215,29 @@ def test_missing_table_is_none_and_other_errors_are_raised(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
     with pytest.raises(Exception):
         rn.read_table(spark, str(tmp_path / "bad"))
+
+
+def test_events_are_dealt_whatever_the_row_groups(spark, tmp_path):
+    """Many splits of a file with one row group are one task with rows; so are rows of one id."""
+    spark.range(0, 40_000, 1, 1).selectExpr(
+        "IF(id < 20000, NULL, id) AS event_id", "CAST(timestamp_seconds(id) AS timestamp_ntz) AS ts", "id AS user_id",
+        "'view' AS event_type", "CAST(xxhash64(id) AS double) AS value", "'{\"k\": 1}' AS props") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, "65536")
+    try:
+        ev = fx.events(spark, str(tmp_path))
+        n = [r[1] for r in ev.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(n) == 40_000 and max(n) < 20_000
+
+
+def test_runs_read_small_tasks_and_the_session_keeps_its_settings(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    spark.range(0, 1200, 1, 12).write.parquet(src)
+    before, parts = {k: spark.conf.get(k, None) for k in rn.TASK_BYTES}, []
+    rn.foreach_batch(sq.source_stream(spark, src, "id bigint"), lambda b, _: parts.append(b.rdd.getNumPartitions()),
+                     f"{tmp_path}/check")
+    assert parts == [6]  # two files each, at 4 MB a file opened
+    assert {k: spark.conf.get(k, None) for k in rn.TASK_BYTES} == before
