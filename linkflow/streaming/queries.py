@@ -472,7 +472,7 @@ def q_stream_publish(spark, sf_dir):
     for r in (0, 1):
         land_parquet(records.filter(F.pmod(F.xxhash64("record"), F.lit(2)) == r), src)
         rows = ig.envelope_rows(source_stream(spark, src, records.schema), fx.SOURCE_TYPE)
-        rn.run(outbox.publish_stream(rows, topic), ws.checkpoint("publish"), "publish")
+        rn.run(outbox.publish_stream(rows, topic), ws.checkpoint("publish"), "publish", spark=spark)
     return ig.published_values(outbox.delivered(spark, topic))
 
 
