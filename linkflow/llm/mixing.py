@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,12 +129,14 @@ def _closest(counts: dict[int, int], budget: int, room: list[int] | None = None)
 
     ``reached`` has a bit for each sum.  Each added copy of a length records
     the sums that it reaches first; from the best sum, the records lead back.
+    A sum is in one record, so the sums of sparse records are kept as numbers:
+    the records of many copies then hold as much as the sums, not as the copies.
     ``room``: bytes left for records and for passes; without any left, the
     lengths that remain are not added.
     """
     mask = (1 << (budget + 1)) - 1
     reached = 1
-    records: list[tuple[int, int]] = []
+    records: list[tuple[int, int | np.ndarray]] = []
     for v in sorted(counts, reverse=True):
         last = reached
         for _ in range(min(counts[v], budget // v)):
@@ -144,7 +147,7 @@ def _closest(counts: dict[int, int], budget: int, room: list[int] | None = None)
             if not last:
                 break
             reached |= last
-            records.append((v, last))
+            records.append((v, _sparse(last)))
             if room and min(room) <= 0:
                 break
         if reached >> budget & 1 or room and min(room) <= 0:
@@ -152,12 +155,30 @@ def _closest(counts: dict[int, int], budget: int, room: list[int] | None = None)
     at = reached.bit_length() - 1
     out = []
     for v, new in reversed(records):
-        if at and new >> at & 1:
+        if at and _holds(new, at):
             out.append(v)
             at -= v
     return out
 
 
+def _sparse(bits: int) -> int | np.ndarray:
+    """The places of the set bits, in order, where they take less room than the bits."""
+    if bits.bit_count() * 32 >= bits.bit_length():
+        return bits
+    raw = np.frombuffer(bits.to_bytes(-(-bits.bit_length() // 8), "little"), np.uint8)
+    some = np.flatnonzero(raw)
+    row, bit = np.nonzero(np.unpackbits(raw[some, None], axis=1, bitorder="little"))
+    places = some[row] * 8 + bit
+    return places.astype(np.uint32) if bits.bit_length() <= 1 << 32 else places
+
+
+def _holds(record: int | np.ndarray, at: int) -> bool:
+    if isinstance(record, int):
+        return bool(record >> at & 1)
+    i = int(np.searchsorted(record, at))
+    return i < len(record) and int(record[i]) == at
+
+
 def _plan(group: pd.DataFrame) -> pd.DataFrame:
     """The lengths of one source, with how often all and how many more are taken."""
     size, target = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])

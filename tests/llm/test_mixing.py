@@ -103,3 +103,16 @@ def test_many_long_documents_meet_the_budget():
     total = sum(v * n for v, n in counts.items())
     for budget in (total // 3, total // 2 + 1, 2 * total // 3):
         assert sum(v * n for v, n in mixing.fit_budget(counts, budget).items()) == budget
+
+
+def test_plan_of_many_copies_needs_little_memory():
+    """A length that most documents have: a record of sums for each of thousands of copies."""
+    import tracemalloc
+    counts = {60: 40_000, 90: 3_000, 7: 1}
+    tracemalloc.start()
+    got = mixing.fit_budget(counts, 1_682_109)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 1_682_109 - 2 == sum(v * n for v, n in got.items())
+    assert all(n <= counts[v] for v, n in got.items())
+    assert peak < 64 << 20
