@@ -241,3 +241,13 @@ def test_runs_read_small_tasks_and_the_session_keeps_its_settings(spark, tmp_pat
                      f"{tmp_path}/check")
     assert parts == [6]  # two files each, at 4 MB a file opened
     assert {k: spark.conf.get(k, None) for k in rn.TASK_BYTES} == before
+
+
+def test_publishing_builds_records_after_the_rows_are_dealt(spark):
+    """The steps' filter on a record is not pushed into the tasks that scan."""
+    records = fx.provider_records(fx.events(spark, SF_SMALL))
+    steps = sq.landing_steps(records)
+    for step in steps:
+        above, below = step._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+        assert "structs" in above.lower() and "structs" not in below.lower()
+    assert sum(s.count() for s in steps) == records.count()
