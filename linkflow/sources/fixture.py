@@ -51,11 +51,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every dump derivation is per-row JSON work, so the narrow raw rows are dealt
     anew over a number of tasks that grows with the table.  The splits of a scan are
     no such number: a split without the middle of a row group has no rows.  Rows are
-    dealt by hash, so that a retried task's output is identical; the time deals those
-    of a repeated or null id."""
+    dealt in turn, whatever their ids; Spark sorts them first, so that a retried task's
+    output is identical."""
     ev = read_table(spark, sf_dir, "events")
     size = int(ev._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return ev.repartition(max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)), "event_id", "ts")
+    return ev.repartition(max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
 
 
 def base(ev: DataFrame) -> DataFrame:

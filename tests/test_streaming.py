@@ -248,6 +248,6 @@ def test_publishing_builds_records_after_the_rows_are_dealt(spark):
     records = fx.provider_records(fx.events(spark, SF_SMALL))
     steps = sq.landing_steps(records)
     for step in steps:
-        above, below = step._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+        above, below = step._jdf.queryExecution().optimizedPlan().toString().split("Repartition ")
         assert "structs" in above.lower() and "structs" not in below.lower()
     assert sum(s.count() for s in steps) == records.count()
