@@ -30,6 +30,7 @@ import uuid
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -98,8 +99,8 @@ class Landing:
             out += [Split(name, start, a, min(a + step, end), end) for a in range(start, end, step)]
         return out
 
-    def lines(self, split: Split) -> Iterator[tuple[int, bytes]]:
-        """(position, line) of the lines that start in a split."""
+    def blocks(self, split: Split) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        """(positions, lines) of the lines that start in a split, a block of bytes at a time."""
         # inside a range the first line end is looked for from the byte before
         first = split.low > split.start
         at, held = split.low - first, b""
@@ -112,13 +113,25 @@ class Landing:
                 block = held + more
                 cut = block.rfind(b"\n") + 1
                 held = block[cut:]
-                for line in block[:cut].split(b"\n")[:-1]:
-                    if not first:
-                        if at >= split.high:
-                            return
-                        yield at, line
-                    first = False
-                    at += len(line) + 1
+                if not cut:
+                    continue
+                data = np.frombuffer(block, np.uint8, cut)
+                ends = np.flatnonzero(data == ord("\n")) + 1
+                bounds = np.concatenate([[0], ends])
+                # of lines that start at the bounds: without a first part, up to the split's end
+                bounds = bounds[int(first):np.searchsorted(bounds[:-1], split.high - at) + 1]
+                first = False
+                if len(bounds) > 1:
+                    text = data[bounds[0]:bounds[-1]]
+                    offsets = bounds - bounds[0] - np.arange(len(bounds))  # without the line ends
+                    yield at + bounds[:-1], pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+                        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text[text != ord("\n")])])
+                at += cut
+
+    def lines(self, split: Split) -> Iterator[tuple[int, bytes]]:
+        """(position, line) of the lines that start in a split."""
+        for start, text in self.blocks(split):
+            yield from zip(start.tolist(), text.to_pylist(), strict=True)
 
 
 class Split(InputPartition):
@@ -131,24 +144,17 @@ class Split(InputPartition):
 def _batches(options: dict, split: Split | None) -> Iterator[pa.RecordBatch]:
     if split is None:  # there is no split at all
         return
-    landing = Landing(options)
-    value, start, held = [], [], 0
     name = split.name.split("/")[0]
+    for start, text in Landing(options).blocks(split):
+        yield pa.RecordBatch.from_arrays([_decoded(text), pa.repeat(name, len(text)), pa.array(start, pa.int64())],
+                                         ["value", "source_file", "start"])
 
-    def batch() -> pa.RecordBatch:
-        text = pa.array([v.decode("utf-8", "replace") for v in value], pa.string())
-        return pa.RecordBatch.from_arrays([text, pa.array([name] * len(value), pa.string()),
-                                           pa.array(start, pa.int64())], ["value", "source_file", "start"])
 
-    for at, line in landing.lines(split):
-        value.append(line)
-        start.append(at)
-        held += len(line)
-        if held >= BATCH_BYTES:
-            yield batch()
-            value, start, held = [], [], 0
-    if value:
-        yield batch()
+def _decoded(text: pa.Array) -> pa.Array:
+    try:
+        return text.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pa.array([v.decode("utf-8", "replace") for v in text.to_pylist()], pa.string())
 
 
 class Ledger:
@@ -288,9 +294,9 @@ def append_lines(lines: DataFrame, folder: str, name: str) -> None:
             if not whole:
                 out.write(b"\n")
             for batch in batches:
-                for v in batch.column(0).to_pylist():
-                    out.write(v.encode() + b"\n")
-                    n += 1
+                if batch.num_rows:
+                    out.write("\n".join(batch.column(0).to_pylist()).encode() + b"\n")
+                    n += batch.num_rows
         yield pa.RecordBatch.from_pydict({"n": [n]})
 
     lines.toDF("value").mapInArrow(write, "n bigint").agg({"n": "sum"}).collect()

@@ -83,6 +83,22 @@ def test_splits_hold_every_line_once(tmp_path, step):
     assert [v.decode() for v in got] == texts
 
 
+@pytest.mark.parametrize("step", [1, 4, 9, 10_000])
+def test_splits_give_blocks_of_lines(tmp_path, monkeypatch, step):
+    monkeypatch.setattr(growing, "BATCH_BYTES", 7)
+    lines = [b"", b"one", b"", b"no \xff UTF-8", "é".encode() * 9, b"z" * 40] * 3
+    (tmp_path / "a.jsonl").write_bytes(b"".join(v + b"\n" for v in lines) + b"torn")
+    options = {"path": str(tmp_path)}
+    landing = growing.Landing(options)
+    splits = landing.splits({}, landing.read_to({}), step)
+    starts = [sum(len(v) + 1 for v in lines[:i]) for i in range(len(lines))]
+    got = [(at, v) for s in splits for a, t in landing.blocks(s) for at, v in zip(a.tolist(), t.to_pylist(), strict=True)]
+    assert got == list(zip(starts, lines, strict=True))
+    rows = [r for s in splits for b in growing._batches(options, s) for r in b.to_pylist()]
+    assert rows == [{"value": v.decode("utf-8", "replace"), "source_file": "a.jsonl", "start": at}
+                    for at, v in got]
+
+
 def test_append_lines_ends_a_torn_line(spark, tmp_path):
     folder = str(tmp_path)
     lines = spark.range(3).repartition(1).select(F.col("id").cast("string"))
