@@ -226,6 +226,28 @@ def test_reads_follow_a_kept_pointer(spark):
 
 
 # ------------------------------------------------------------------ update mode
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_a_stateful_stream_writes_few_files(spark, mode):
+    """One file a bucket here, not one of each state partition in each bucket."""
+    ws = rn.Workspace(spark, "few")
+    src, target, seen = ws.path("src"), ws.path("t"), []
+    spark.range(4000).select(F.timestamp_seconds(F.col("id") * 60).alias("t")).write.parquet(src)
+    rows = sq.source_stream(spark, src, "t timestamp").groupBy(F.window("t", "5 minutes").start.alias("at")).count()
+    sink = rn.update_batches(target, ["at"], sq.day("at")) if mode == "update" else rn.complete_batches(target)
+
+    def watched(batch, batch_id):
+        key = "spark.sql.adaptive.enabled"
+        before = batch.sparkSession.conf.get(key)
+        sink(batch, batch_id)
+        seen.append((batch.rdd.getNumPartitions(), before, batch.sparkSession.conf.get(key)))
+
+    rn.foreach_batch(rows, watched, ws.checkpoint("c"), output_mode=mode)
+    files = rn.table(spark, target).inputFiles()
+    assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) == (3 if mode == "update" else 1)
+    assert [x[0] for x in seen] == [4] and seen[0][1] == seen[0][2]
+    assert rn.table(spark, target).agg(F.sum("count")).first()[0] == 4000
+
+
 def test_update_mode_rewrites_changed_days_only(spark):
     ws = rn.Workspace(spark, "update")
     dump = fx.dump_clean(fx.events(spark, SF_SMALL))
