@@ -506,7 +506,8 @@ class FactTables:
     """Typed bronze, the dimension's winners and the fact, kept up to date by micro-batches.
 
     * A batch's typed rows are added by day.  The days that it touches are rebuilt
-      from typed bronze of those days: a re-published record rebuilds its key.
+      from typed bronze of those days, and before them their keys' winners: a
+      re-published record rebuilds its key.
     * The dimension's winners before and after the batch are compared.  Where a
       column that the fact shows differs, an index of the days of each link says
       which other days hold the link, and there the columns are put right.
@@ -524,6 +525,7 @@ class FactTables:
         self.typed = VersionedTable(spark, f"{root}/typed", day())
         self.dim = VersionedTable(spark, f"{root}/dim", link)
         self.days = VersionedTable(spark, f"{root}/days", link)
+        self.winners = VersionedTable(spark, f"{root}/winners", day())
         self.fact = VersionedTable(spark, f"{root}/fact", day())
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -536,6 +538,8 @@ class FactTables:
                                batch_id, ["link_id", "day"], ["day"])
         renamed = self.renamed(batch_id)
         other = self.other_days(renamed, touched)
+        rows = self.typed.rows(buckets=touched, pointer=now)
+        self.winners.replace(sv.silver_dedup_wide(sv.silver_wide(rows)), batch_id, touched)
         fact = self.rebuilt(touched, now)
         if other:
             fact = fact.unionByName(self.corrected(other, renamed))
@@ -571,11 +575,13 @@ class FactTables:
         return met.withColumns(put).select(*held.columns)
 
     def rebuilt(self, buckets: list[str], typed: Pointer) -> DataFrame:
-        """The fact of some buckets from a version of typed bronze."""
+        """The fact of some buckets from a version of typed bronze and its keys' winners.
+
+        The winners are a table: they are found once for the fact's two joins, and the
+        joins know by its size which side is small."""
         rows = self.typed.rows(buckets=buckets, pointer=typed)
         dim = dm.dim_link(self.dim.rows())
-        dedup = sv.silver_dedup_wide(sv.silver_wide(rows))
-        return ft.fact_link_interval(dedup, dim, rows, "all")
+        return ft.fact_link_interval(self.winners.rows(buckets=buckets), dim, rows, "all")
 
 
 @stream_query("stream_fact_upsert")

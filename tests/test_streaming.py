@@ -146,6 +146,26 @@ def test_fact_rebuild_reads_touched_days_of_typed_bronze(spark):
     assert files and all(f"/{some}/" in f for f in files)
 
 
+def test_fact_rebuild_reads_written_winners(spark):
+    """The winners of a key are found once; a record without a day, or with a key that
+    repeats, changes nothing about that."""
+    dump = fx.dump_clean(fx.events(spark, SF_SMALL))
+    dump = dump.unionByName(dump.filter(F.col("offset") % 9 == 0)).unionByName(
+        dump.limit(1).withColumn("value", F.lit('{"payload":{"id":3,"enabled":true}}')))
+    tables = sq.FactTables(spark, rn.Workspace(spark, "fact-winners").path("tables"))
+    for r in (1, 0):
+        tables(dump.filter(F.col("offset") % 2 == r), 1 - r)
+    want = Layers(spark, dump)
+    assert same(tables.fact.rows().toPandas(), want.fact("all").toPandas())[0]
+    assert same(tables.winners.rows().select("link_id", "interval_start", "offset").toPandas(),
+                want.dedup_wide.select("link_id", "interval_start", "offset").toPandas())[0]
+    now = tables.typed.pointer()
+    plan = tables.rebuilt(sorted(now.folders), now)
+    # the dimension's winners are the only ones that the plan still finds
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("max_by(") == 1
+    assert any("/winners/" in f for f in plan.inputFiles())
+
+
 def test_renamed_road_reaches_old_days(spark):
     """A link renamed by a record of a later day: the fact's old days, which no record
     touches, have the new name, and only the link's own days are rewritten."""
