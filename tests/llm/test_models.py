@@ -160,6 +160,42 @@ def test_lm_gradient():
         assert (loss(up) - loss(down)) / 2e-5 == pytest.approx(g[name][at], rel=1e-3, abs=1e-8)
 
 
+def test_lm_steps_equal_plain_ones():
+    """Adam in place on one vector, and the sums by input, against plain counterparts."""
+    model, rng = _model(), np.random.default_rng(4)
+    w = lm.initial(model.embed)
+    before = lm.to_vector(w)
+    bounds = np.array([0, 300, 301, 500])
+    start, text = lm.windows(bounds)
+    classes = rng.integers(0, 40, 500)  # inputs repeat
+    parts = [lm.batch(classes, bounds, start[i:i + 4], text[i:i + 4]) for i in range(0, len(start), 4)]
+    got = lm.improve(w, model, parts)
+    assert np.array_equal(lm.to_vector(w), before)
+    now, m, s = before.astype(float), 0.0, 0.0
+    for t, b in enumerate(parts, 1):
+        g = lm.to_vector(lm.gradient(lm.to_weights(now), model, *b)).astype(float)
+        m, s = m + 0.1 * (g - m), s + 0.01 * (g * g - s)
+        now -= 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
+    # (a gradient of next to nothing is a step of any size)
+    assert np.mean(np.abs(lm.to_vector(got) - now) > 1e-3) < 1e-3
+
+
+def test_lm_attention_is_bounded():
+    """Very large attention scores, of which none is found to subtract, stay finite."""
+    model, rng = _model(), np.random.default_rng(5)
+    w = lm.initial(model.embed)
+    w["query"] *= 1e4
+    w["key"] *= 1e4
+    bounds = np.array([0, 90, 91])
+    start, text = lm.windows(bounds)
+    inputs, there, targets, scored = lm.batch(rng.integers(0, lm.CLASSES, 91), bounds, start, text)
+    with np.errstate(over="raise", invalid="raise", divide="raise"):
+        a, _, z, kept = lm.forward(w, model.mass, inputs, there)
+    assert np.isfinite(a).all() and (z > 0).all()
+    att, total = kept[4], kept[5]
+    assert np.allclose((att / total).sum(axis=2), 1, atol=1e-4) and att.max() <= np.exp(np.float32(60)) * 1.001
+
+
 def test_lm_learns_from_every_window(spark):
     """Also the only window of a short text."""
     model = _model()
