@@ -87,6 +87,15 @@ def test_lm_base_score(spark, head):
     assert all(g.score < 0 for g in got)
 
 
+def test_lm_words_are_counted_in_the_tasks(spark):
+    """Only the distinct words of a batch become rows, not every word of every text."""
+    rows = [*ROWS, *corpus(30), (90, "and and, \u2003 And\x0band ", "en", "a")]
+    counts = lm.word_counts(docs(spark, rows))
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+    c = Counter(w for r in rows for w in words(lowered(r[1])))
+    assert sorted(r.n for r in counts.collect()) == sorted(c.values())
+
+
 def test_lm_edges(spark):
     assert lm.score(docs(spark, []), F.lit(False)).count() == 0
     got = lm.score(docs(spark, [(1, "all held out", "en", "a")]), F.lit(True)).first()

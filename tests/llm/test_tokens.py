@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from linkflow.llm import packing
+from linkflow.llm import packing, subwords
 from linkflow.llm.subwords import encoder
 from linkflow.llm.token_counts import token_counts
 from tests.llm.data import ROWS, docs
@@ -43,6 +43,23 @@ def test_other_vocabularies_and_long_texts(vocab):
     assert encoder(vocab).counts(pa.array(texts, pa.string())).tolist() == want
 
 
+def test_words_share_their_parts():
+    """A pre-token is remembered once, whatever words it is part of; a full memory is cleared."""
+    got = subwords.WordEncoder(subwords.vocab_file("word_bpe_49k.json"), max_words=12)
+    texts = ["Stone (stone) stone, STONE's 'stone", None, "", " \u00c0 l'\u00e9t\u00e9\u00d7 x1y22 ", "\u6f22\u5b57 \u0130 \u017ft's", "new words at last"]
+    for _ in range(2):
+        for t in texts:
+            part = pa.array([t, t], pa.string())
+            want = TOK.encode(t or "", add_special_tokens=False).ids
+            for found in (None, subwords.distinct_words(part)):
+                ids, bounds = got.ids(part, found)
+                assert ids.tolist() == want * 2 and bounds.tolist() == [0, len(want), 2 * len(want)]
+            assert got.counts(part).tolist() == [len(want)] * 2
+    got._clear()
+    got.ids(pa.array(texts[:1]))
+    assert set(got.part_at) == {"", "stone", "(", ")", ",", "'s", "tone"}
+
+
 def test_token_counts(spark):
     got = sorted(map(tuple, token_counts(docs(spark)).collect()), key=str)
     want = sorted([(r[0], len((r[1] or "").encode()), n := len(ids(r[1])), n > 2048) for r in ROWS], key=str)
