@@ -11,23 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import saved
+from linkflow.llm.common import looked_up, saved
 
 
 def _pull(links: DataFrame, larger: bool) -> DataFrame:
     """One star step over links (u, v), each given from both of its ends.
 
     The smallest neighbour of each node is an aggregate, and the join gives it
-    to the node's links; no node's neighbours are gathered in one row or task.
+    to the node's links; no node's neighbours are gathered in one row or task,
+    and no table of nodes in the driver.
     """
-    least = links.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
-    least = least.select("at", F.least("at", "m").alias("m"))
-    met = links.join(least, links.u == least["at"])
+    least = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    met = looked_up(links, least, "u")
     if larger:  # neighbours above the node go to its smallest neighbour
         return met.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     # neighbours below the node, and the node itself, go to the smallest of them
     below = met.filter(F.col("v") < F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return below.unionByName(least.select(F.col("at").alias("u"), F.col("m").alias("v")))
+    return below.unionByName(least.select("u", F.col("m").alias("v")))
 
 
 def _both_ways(links: DataFrame) -> DataFrame:

@@ -21,6 +21,9 @@ other links:
   65 words within one bit, and all that name a word are linked to the smallest
   of them.  At most 65 nodes name a word.  This is exact as well and emits no
   pairs, so nothing is capped.
+
+The joins are merge joins: a table of fingerprints that is below the broadcast
+threshold would still take several times that in the driver's memory.
 """
 
 from __future__ import annotations
@@ -108,7 +111,7 @@ def links(nodes: DataFrame, max_bits: int = 2, crowd: int = 32, n_pivots: int =
     keyed = table.select("fp", "far", F.explode(_window_keys(F.col("fp"), max_bits)).alias("k")) \
         .select("fp", "far", "k.windows", "k.part")
     shared = keyed.groupBy("windows", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = saved(keyed.join(shared, ["windows", "part"]), "simhash-keys")
+    met = saved(keyed.join(shared.hint("merge"), ["windows", "part"]), "simhash-keys")
 
     few = met.filter(F.col("n") <= crowd)
     a, b = few.alias("a"), few.alias("b")
@@ -118,7 +121,7 @@ def links(nodes: DataFrame, max_bits: int = 2, crowd: int = 32, n_pivots: int =
     on = ((F.col("a.windows") == F.col("b.windows")) & (F.col("a.part") == F.col("b.part"))
           & (F.col("a.fp") < F.col("b.fp")) & ~apart
           & (bits(F.col("a.fp"), F.col("b.fp")) <= max_bits))
-    near = a.join(b, on).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+    near = a.join(b.hint("merge"), on).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
     crowded = met.filter(F.col("n") > crowd).select("fp").distinct()
     flips = F.array(F.lit(0).cast("bigint"), *[F.lit(-2**63 if i == 63 else 1 << i) for i in range(64)])
@@ -127,7 +130,7 @@ def links(nodes: DataFrame, max_bits: int = 2, crowd: int = 32, n_pivots: int =
     if max_bits == 2:
         named = named.withColumn("v", F.min("fp").over(Window.partitionBy("word")))
     else:  # a word that is itself a node is a link of one bit
-        named = named.join(crowded.select(F.col("fp").alias("v")), F.col("word") == F.col("v"))
+        named = named.join(crowded.select(F.col("fp").alias("v")).hint("merge"), F.col("word") == F.col("v"))
     through = named.filter((F.col("fp") != F.col("v")) & (bits(F.col("fp"), F.col("v")) <= max_bits)) \
         .select(F.col("fp").alias("u"), "v")
     return near.unionByName(through)
@@ -137,7 +140,7 @@ def groups(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """(fp, component) of each distinct non-null ``fp``; component: a fingerprint of it."""
     nodes = prints.select("fp").distinct()
     linked = components(links(nodes, max_bits))
-    joined = nodes.join(linked, nodes.fp == linked.node, "left")
+    joined = nodes.join(linked.hint("merge"), nodes.fp == linked.node, "left")
     return joined.select("fp", F.coalesce("component", "fp").alias("component"))
 
 
@@ -179,8 +182,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     of = saved(groups(prints, max_bits), "simhash-groups")
     first = F.min_by(F.struct("fp", "id"), F.struct(F.col("id").isNull(), "id", "fp")).alias("first")
     per_print = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    chosen = of.join(per_print, "fp").groupBy("component").agg(first).select("first.*") \
+    chosen = of.join(per_print.hint("merge"), "fp").groupBy("component").agg(first).select("first.*") \
         .select(F.col("fp").alias("fp_c"), hashed("id").alias("key_c"))
-    met = marked.join(chosen, (F.col(fp) == chosen.fp_c) & (F.col(key) == chosen.key_c), "left_semi")
+    met = marked.join(chosen.hint("merge"), (F.col(fp) == chosen.fp_c) & (F.col(key) == chosen.key_c), "left_semi")
     one = Window.partitionBy(fp, key).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col))
     return met.withColumn(keep, F.row_number().over(one)).filter(F.col(keep) == 1).select(*df.columns)

@@ -101,3 +101,46 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(200, 200), (300, 301), (301, 300)], "u bigint, v bigint")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {300: 300, 301: 300}
+
+
+def plans(spark, run):
+    """The plans, as they ran, of all that ``run`` executes."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def seen():
+        bus.waitUntilEmpty(30_000)
+        found = store.executionsList()
+        return {x.executionId(): x.physicalPlanDescription() for x in map(found.apply, range(found.size()))}
+
+    before = seen()
+    run()
+    return [v for k, v in seen().items() if k not in before]
+
+
+@pytest.mark.parametrize("of", [simhash.keep_one])
+def test_no_table_is_built_in_the_driver(spark, of):
+    # small tables of fingerprints, far below the broadcast threshold
+    text = " ".join(f"word{i}" for i in range(300))
+    rows = [(i, f"{text} end{i % 7}", None, None) for i in range(40)] + [(100 + i, f"one text {i}", None, None) for i in range(40)]
+    found = plans(spark, lambda: of(docs(spark, rows)).collect())
+    assert sum("SortMergeJoin" in p for p in found) > 3
+    assert not [p for p in found if "BroadcastExchange" in p]
+
+
+def test_links_of_a_hot_node_are_split(spark):
+    size = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    conf = {size: "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    links = spark.createDataFrame([(0, i) for i in range(1, 4000)], "u bigint, v bigint")
+    got = []
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = plans(spark, lambda: got.extend(components(links).collect()))
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {r.node: r.component for r in got} == {i: 0 for i in range(4000)}
+    assert len(got) == 4000
+    assert any("SortMergeJoin(skew=true)" in p for p in found)
