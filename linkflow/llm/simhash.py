@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import fresh, saved
+from linkflow.llm.common import fresh, looked_up, saved
 from linkflow.llm.components import components
 
 PIVOTS = 16
@@ -161,9 +161,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                    "simhash-prints")
     of = saved(groups(prints, max_bits), "simhash-groups")
     least = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    smallest = of.join(least, "fp").groupBy("component").agg(F.min("id").alias("component_id"))
-    named = of.join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    smallest = of.join(least.hint("merge"), "fp").groupBy("component").agg(F.min("id").alias("component_id"))
+    named = looked_up(of, smallest, "component").select("fp", "component_id")
+    return prints.join(named.hint("merge"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -117,7 +117,7 @@ def plans(spark, run):
     return [v for k, v in seen().items() if k not in before]
 
 
-@pytest.mark.parametrize("of", [simhash.keep_one])
+@pytest.mark.parametrize("of", [simhash.near_duplicates, simhash.keep_one])
 def test_no_table_is_built_in_the_driver(spark, of):
     # small tables of fingerprints, far below the broadcast threshold
     text = " ".join(f"word{i}" for i in range(300))
